@@ -40,6 +40,14 @@ def floor_to_step(ts, step_minutes: int) -> Column:
     return plus_seconds(midnight, step_of_day(ts, step_minutes) * (step_minutes * 60))
 
 
+def step_start(ts: str, step_minutes: int) -> Column:
+    """Like :func:`floor_to_step` by plain arithmetic on the stored microseconds.
+
+    Rows without a time are dropped, and a projection may hold only one of these.
+    """
+    return F.window(ts, f"{step_minutes} minutes")["start"]
+
+
 def plus_seconds(ts, seconds) -> Column:
     seconds = seconds if isinstance(seconds, Column) else F.lit(seconds)
     return F.timestamp_add("SECOND", seconds, _col(ts))

@@ -46,9 +46,12 @@ def clip_columns(df: DataFrame, columns, lower=None, upper=None) -> DataFrame:
     return df.withColumns({c: S.clip(c, lower, upper) for c in columns})
 
 
-def quantile_caps(df: DataFrame, columns, q: float = CAP_QUANTILE) -> dict[str, float]:
+def quantile_caps(
+    df: DataFrame, columns, q: float = CAP_QUANTILE, superset: DataFrame | None = None
+) -> dict[str, float]:
     """The cap of each column over the whole table, as literals."""
-    row = exact_quantiles(df, {c: F.col(c) for c in columns}, [q]).first()
+    named = {c: F.col(c) for c in columns}
+    row = exact_quantiles(df, named, [q], superset=superset).first()
     return {c: row[c][0] if row[c] else None for c in columns}
 
 

@@ -11,7 +11,7 @@ from kilospan.functions.calendar import calendar_short, cyclical
 from kilospan.functions.clock import plus_seconds
 from kilospan.functions.errors import ROW_PCT_EPSILON, pct_error, rmse
 from kilospan.operators.features import lag_columns
-from kilospan.plans.series import Series
+from kilospan.plans.series import Series, first_rows
 from kilospan.plans.sizes import left_lookup
 from kilospan.schema import Frequency
 
@@ -121,12 +121,9 @@ def future_calendar(
 
 def last_rows(df: DataFrame, series: Series, value: str, rows: int) -> DataFrame:
     """The newest ``rows`` readings of each series with their age (1 = newest)."""
-    w = Window.partitionBy(*series.keys).orderBy(F.desc(series.ts))
-    return (
-        df.select(*series.keys, series.ts, value)
-        .withColumn("__age", F.row_number().over(w))
-        .where(F.col("__age") <= rows)
-    )
+    picked = df.select(*series.keys, series.ts, value)
+    newest = first_rows(picked, list(series.keys), F.desc(series.ts), rows)
+    return newest.withColumnRenamed("__place", "__age")
 
 
 def rollout_seasonal(

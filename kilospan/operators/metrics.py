@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kilospan.functions.errors import all_errors
 from kilospan.plans.ranks import global_rank
+from kilospan.plans.series import first_rows
 from kilospan.plans.sizes import left_lookup
 
 
@@ -68,10 +69,8 @@ def best_worst_entities(results: DataFrame, entity: str, n: int) -> DataFrame:
 
 
 def horizon_head(df: DataFrame, keys: list[str], ts: str, steps: int) -> DataFrame:
-    """The first ``steps`` rows of each series. Spark applies the limit before the
-    shuffle, so a long series sends no more than ``steps`` rows per input task."""
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy(ts))
-    return df.withColumn("__place", place).where(F.col("__place") <= steps).drop("__place")
+    """The first ``steps`` rows of each series."""
+    return first_rows(df, keys, F.asc(ts), steps).drop("__place")
 
 
 def horizon_kpis(

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from kilospan.functions.calendar import basic_vector
 from kilospan.functions.clock import step_of_day
-from kilospan.operators.clean import between_dates, with_min_history
+from kilospan.operators.clean import between_dates
 from kilospan.operators.features import past_stats, same_slot_stats
 from kilospan.operators.split import split_by_calendar
 from kilospan.plans.series import Series
-from kilospan.plans.sizes import keep_keys
+from kilospan.plans.sizes import greatest_in, keep_keys, settle
 
 HISTORY_MARGIN = 10
 
@@ -71,9 +73,11 @@ def sequence_dataset(
     """Two-branch samples of the best-covered entities, labelled by calendar split."""
     key = series.keys[0]
     rows = between_dates(df, series.ts, start, end)
-    rows = only_top_entities(rows, key, n_entities)
-    rows = with_min_history(rows, series.keys, k_steps + HISTORY_MARGIN)
-    series = series.measured(rows)
+    # One count serves the choice of entities, their least history and their length.
+    top = settle(top_entities(rows, key, n_entities))[0]
+    enough = top.where(F.col("n_readings") >= k_steps + HISTORY_MARGIN)
+    series = replace(series, largest=greatest_in(top, "n_readings") or 0)
+    rows = keep_keys(rows, enough, [key])
     rows = derived_features(rows, series, value, k_steps, step_minutes)
     derived = F.array(
         *[F.col(c).cast("float") for c in ("roll_mean", "roll_std", "past_days_mean", "past_days_std")]

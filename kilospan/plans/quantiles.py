@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilospan.plans.sizes import left_lookup, settle
+from kilospan.plans.sizes import greatest_in, left_lookup, match, settle
 
 MAX_DISTINCT = 500_000
 GRID = 200
@@ -28,14 +28,24 @@ def exact_quantiles(
     by: list[str] = (),
     *,
     max_distinct: int = MAX_DISTINCT,
+    superset: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per group with an array of quantiles (linear rule) per named column."""
+    """One row per group with an array of quantiles (linear rule) per named column.
+
+    ``superset`` may name a cheaper table that holds at least the values of ``df``;
+    then distinct values are measured there.
+    """
     by = list(by)
-    named = df.select(*by, *[c.cast("double").alias(n) for n, c in columns.items()])
-    sizes = named.groupBy(*by).agg(
+    pick = lambda t: t.select(
+        *by, *[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for n, c in columns.items()]
+    )
+    named = pick(df)
+    sizes = (named if superset is None else pick(superset)).groupBy(*by).agg(
         *[F.approx_count_distinct(n).alias(n) for n in columns]
     )
-    peaks = sizes.agg(*[F.max(n).alias(n) for n in columns]).first()
+    if by:
+        sizes = sizes.agg(*[F.max(n).alias(n) for n in columns])
+    peaks = sizes.first()
     narrow = [n for n in columns if (peaks[n] or 0) <= max_distinct]
     ps = F.array(*[F.lit(float(p)) for p in probs])
     out = named.groupBy(*by).agg(
@@ -44,114 +54,104 @@ def exact_quantiles(
     )
     for n in columns:
         if n not in narrow:
-            per_prob = None
-            for i, p in enumerate(probs):
-                one = _selected(named, n, p, by, max_distinct).withColumnRenamed(n, f"__q{i}")
-                per_prob = one if per_prob is None else _beside(per_prob, one, by)
-            arrays = F.array(*[F.col(f"__q{i}") for i in range(len(probs))])
-            out = _beside(out, per_prob.select(*by, arrays.alias(n)), by)
+            values = named.where(F.col(n).isNotNull()).select(*by, F.col(n).alias("__x"))
+            found = _selected(values, list(probs), by, max_distinct)
+            if by:
+                out = left_lookup(out, found.withColumnRenamed("__q", n), by)
+            else:
+                row = found.first()
+                out = out.withColumn(n, F.lit(row["__q"] if row else None).cast("array<double>"))
     return out.select(*by, *columns)
 
 
-def _beside(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
-    if by:
-        return left_lookup(left, right, by)
-    row = right.first()
-    return left.withColumns(
-        {c: F.lit(row[c]) if not isinstance(row[c], list) else F.array(*map(F.lit, row[c]))
-         for c in right.columns}
-    )
-
+def _selected(values: DataFrame, probs: list[float], by: list[str], max_distinct: int):
+    """Quantiles of ``__x`` per group: keep narrowing the range around each rank.
 
-def _selected(df: DataFrame, x: str, p: float, by: list[str], max_distinct: int):
-    """Quantile ``p`` of ``x`` per group, by narrowing the range around its rank."""
-    # A group id column keeps the ungrouped case the same as the grouped one.
-    keys = by or ["__all"]
-    values = df.where(F.col(x).isNotNull() & ~F.isnan(x)).select(
-        *([F.lit(0).alias("__all")] if not by else by), F.col(x).alias("__x")
-    )
-    place = F.lit(p) * (F.col("__n") - 1)
-    state = values.groupBy(*keys).agg(
+    The state has one row per group and probability: the range [lo, hi] that holds
+    the ranks r0 and r1, and how many values lie below lo.
+    """
+    keys = [*by, "__p"]
+    place = F.col("__p") * (F.col("__n") - 1)
+    state = values.groupBy(*by).agg(
         F.count(F.lit(1)).alias("__n"),
         F.min("__x").alias("__lo"),
         F.max("__x").alias("__hi"),
-    ).select(
+    ).withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).select(
         *keys, "__lo", "__hi",
         F.lit(0).cast("bigint").alias("__below"),
         F.floor(place).cast("bigint").alias("__r0"),
         F.ceil(place).cast("bigint").alias("__r1"),
-        (place - F.floor(place)).alias("__frac"),
     )
-    state = _kept(state)
+    state = settle(state)[0]
     grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    at = lambda i: F.element_at("__grid", (i + 1).cast("int"))
+    share = GRID / F.greatest(F.col("__m"), F.lit(1))
+    left = F.floor((F.col("__r0") - F.col("__below")) * share) - 1
+    right = F.ceil((F.col("__r1") - F.col("__below") + 1) * share) + 1
+    fixed = ["__lo", "__hi", "__below", "__r0", "__r1"]
     for _ in range(MAX_ROUNDS):
-        inside = _inside(values, state, keys)
-        guess = inside.groupBy(*keys).agg(
+        sketch = _inside(values, state, by).groupBy(*keys, *fixed).agg(
             F.count(F.lit(1)).alias("__m"),
             F.approx_count_distinct("__x").alias("__d"),
             F.percentile_approx("__x", grid, ACCURACY).alias("__grid"),
         )
-        share = GRID / F.greatest(F.col("__m"), F.lit(1))
-        left = F.floor((F.col("__r0") - F.col("__below")) * share) - 1
-        right = F.ceil((F.col("__r1") - F.col("__below") + 1) * share) + 1
-        at = lambda i: F.element_at("__grid", (i + 1).cast("int"))
-        guess = _kept(
-            left_lookup(guess, state, keys)
-            .withColumns(
-                {
-                    "__a": at(F.greatest(left, F.lit(0))),
-                    "__b": at(F.least(right, F.lit(GRID))),
-                }
-            )
-            .drop("__grid", "__m")
+        guess = sketch.select(
+            *keys, *fixed, "__d",
+            at(F.greatest(left, F.lit(0))).alias("__a"),
+            at(F.least(right, F.lit(GRID))).alias("__b"),
         )
-        if (guess.agg(F.max("__d")).first()[0] or 0) <= max_distinct:
+        guess = settle(guess)[0]
+        if (greatest_in(guess, "__d") or 0) <= max_distinct:
             break
-        guess = guess.drop("__d")
-        inside = _inside(values, guess, keys)
-        proof = inside.groupBy(*keys).agg(
+        proof = _inside(values, guess, by).groupBy(*keys, *fixed, "__a", "__b").agg(
             F.count_if(F.col("__x") < F.col("__a")).alias("__under"),
             F.count_if(F.col("__x") <= F.col("__b")).alias("__upto"),
         )
-        checked = left_lookup(guess, proof, keys)
-        raise_lo = F.col("__below") + F.col("__under") <= F.col("__r0")
-        lower_hi = F.col("__below") + F.col("__upto") > F.col("__r1")
-        moved = checked.select(
-            *keys,
-            F.when(raise_lo, F.col("__a")).otherwise(F.col("__lo")).alias("__lo"),
-            F.when(lower_hi, F.col("__b")).otherwise(F.col("__hi")).alias("__hi"),
-            F.when(raise_lo, F.col("__below") + F.col("__under"))
-            .otherwise(F.col("__below")).alias("__below"),
-            "__r0", "__r1", "__frac",
-            (
-                (raise_lo & (F.col("__a") > F.col("__lo")))
-                | (lower_hi & (F.col("__b") < F.col("__hi")))
-            ).alias("__moved"),
-        )
-        moved = _kept(moved)
-        state = moved.drop("__moved")
-        if not moved.agg(F.max("__moved")).first()[0]:
+        # The sketch only proposes. A bound moves when the counts confirm that both
+        # ranks stay inside it.
+        up = F.col("__below") + F.col("__under") <= F.col("__r0")
+        down = F.col("__below") + F.col("__upto") > F.col("__r1")
+        moved = (up & (F.col("__a") > F.col("__lo"))) | (down & (F.col("__b") < F.col("__hi")))
+        state = settle(
+            proof.select(
+                *keys,
+                F.when(up, F.col("__a")).otherwise(F.col("__lo")).alias("__lo"),
+                F.when(down, F.col("__b")).otherwise(F.col("__hi")).alias("__hi"),
+                (F.col("__below") + F.when(up, F.col("__under")).otherwise(0)).alias("__below"),
+                "__r0", "__r1", moved.cast("int").alias("__moved"),
+            )
+        )[0]
+        if not greatest_in(state, "__moved"):
             break
+    counted = _inside(values, state, by).groupBy(*keys, "__x", "__below", "__r0", "__r1").agg(
+        F.count(F.lit(1)).alias("__c")
+    )
     along = Window.partitionBy(*keys).orderBy("__x")
-    counted = _inside(values, state, keys).groupBy(
-        *keys, "__x", "__below", "__r0", "__r1", "__frac"
-    ).agg(F.count(F.lit(1)).alias("__c"))
     ranked = counted.withColumn("__end", F.col("__below") + F.sum("__c").over(along))
-    holds = lambda r: (F.col("__end") > r) & (F.col("__end") - F.col("__c") <= r)
-    picked = ranked.groupBy(*keys).agg(
-        F.max(F.when(holds(F.col("__r0")), F.col("__x"))).alias("__v0"),
-        F.max(F.when(holds(F.col("__r1")), F.col("__x"))).alias("__v1"),
-        F.first("__frac").alias("__frac"),
+    holds = lambda r: (F.col("__end") > F.col(r)) & (F.col("__end") - F.col("__c") <= F.col(r))
+    ends = ranked.groupBy(*keys).agg(
+        F.max(F.when(holds("__r0"), F.col("__x"))).alias("__v0"),
+        F.max(F.when(holds("__r1"), F.col("__x"))).alias("__v1"),
     )
-    value = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * F.col("__frac")
-    return picked.select(*by, value.alias(x))
-
-
-def _kept(table: DataFrame) -> DataFrame:
-    """Materialise a per-group table once, wherever its size allows."""
-    return settle(table)[0]
+    n = values.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
+    ends = left_lookup(ends, n, by) if by else ends.withColumn("__n", F.lit(n.first()[0]))
+    value = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * (place - F.floor(place))
+    got = F.map_from_entries(F.collect_list(F.struct("__p", value)))
+    wide = ends.groupBy(*by).agg(got.alias("__map"))
+    return wide.select(*by, F.array(*[F.col("__map")[float(p)] for p in probs]).alias("__q"))
 
 
-def _inside(values: DataFrame, state: DataFrame, keys: list[str]) -> DataFrame:
-    rows = left_lookup(values, state, keys)
-    return rows.where(F.col("__x").between(F.col("__lo"), F.col("__hi")))
+def _inside(values: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
+    """Rows within the range of each probability of their group."""
+    table, small = settle(state)
+    table = table.drop("__moved")
+    if not by:
+        # One row per probability: literals, no join.
+        ranges = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in table.columns])
+                           for r in table.collect()])
+        hit = F.filter(ranges, lambda r: F.col("__x").between(r["__lo"], r["__hi"]))
+        return values.select("__x", F.inline(hit))
+    table = table.withColumnsRenamed({c: f"__on_{c}" for c in by})
+    cond = match(values, table, by) & F.col("__x").between(F.col("__lo"), F.col("__hi"))
+    joined = values.join(F.broadcast(table) if small else table, cond)
+    return joined.drop(*[f"__on_{c}" for c in by])

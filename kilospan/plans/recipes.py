@@ -13,7 +13,7 @@ from kilospan.operators import clean
 from kilospan.operators.features import lag_columns, next_columns, rolling_columns
 from kilospan.operators.resample import interpolate, missing_steps
 from kilospan.plans.series import Series
-from kilospan.plans.sizes import left_lookup
+from kilospan.plans.sizes import checkpointed, left_lookup
 from kilospan.schema import (
     HOURLY, KWH_COLUMNS, SIMPLE_COLUMNS, UNIFIED_COLUMNS, Frequency,
 )
@@ -27,9 +27,15 @@ def regional_features(
 ) -> DataFrame:
     """Grid, interpolation, quartile clipping, calendar, lags and rolling columns;
     rows with any gap left are dropped."""
-    rows = clean.keep_first(df, [*series.keys, series.ts], tiebreak) if tiebreak else df
-    series = series.measured_grid(df, freq.step_seconds)
+    series = series.measured(df)
+    rows = df
+    if tiebreak:
+        rows = clean.keep_first(series.gathered(df), [*series.keys, series.ts], tiebreak)
+    series = replace(series, largest=None).measured_grid(df, freq.step_seconds)
     filled = interpolate(rows, series, value, freq.step_seconds)
+    if series.cut:
+        # Quartiles of a long series take several passes over the filled grid.
+        filled = checkpointed(filled)
     series = series.on_grid(freq.step_seconds)
     clipped = clean.iqr_clip(filled, series, value)
 
@@ -62,10 +68,11 @@ def meter_clean(
     if dict(df.dtypes)[ts] == "string":
         rows = clean.parse_timestamps(rows, ts)
     rows = rows.dropna(subset=[ts])
-    rows = clean.keep_first(rows.select(key, ts, tiebreak, *columns), [key, ts], tiebreak)
+    raw = rows.select(key, ts, tiebreak, *columns)
+    rows = clean.keep_first(raw, [key, ts], tiebreak)
     rows = clean.clip_columns(rows, columns, lower=0.0)
     if caps is None:
-        caps = clean.quantile_caps(rows, columns)
+        caps = clean.quantile_caps(rows, columns, superset=raw)
     rows = clean.cap_columns(rows, caps)
     rows = rows.withColumn("TOTAL_KWH", row_total(columns)).drop(tiebreak)
     keep = ("hour", "dayofweek", "month", "year", "is_weekend")
@@ -86,8 +93,16 @@ def _scaled(df, series: Series, value, tiebreak, freq, bounds) -> DataFrame:
         *([F.col(tiebreak).alias("__seq")] if tiebreak else []),
     )
     if tiebreak:
+        rows = replace(series, keys=("customer_id",), ts="datetime").gathered(rows)
         rows = clean.keep_first(rows, ["customer_id", "datetime"], "__seq").drop("__seq")
-    rows = clean.clip_and_scale(rows, "load_val", "load_scaled", bounds)
+        if series.cut:
+            # Cutting series counts the deduped rows before it moves them.
+            rows = checkpointed(rows)
+    return clean.clip_and_scale(rows, "load_val", "load_scaled", bounds)
+
+
+def _with_calendar(rows: DataFrame, freq: Frequency) -> DataFrame:
+    """Added after the windows: what the clock tells need not travel in a shuffle."""
     rows = rows.withColumns(calendar_short("datetime", freq.step_minutes))
     return rows.withColumns(
         {
@@ -132,7 +147,7 @@ def unified_features(
         )
 
     out = common.over(rows, ordered, before=max(lags.values()), after=1)
-    return out.select(*UNIFIED_COLUMNS).dropna("any")
+    return _with_calendar(out.dropna("any"), freq).select(*UNIFIED_COLUMNS)
 
 
 def simple_features(
@@ -147,7 +162,7 @@ def simple_features(
         rows, lambda d, w: d.withColumns(next_columns("datetime", TARGETS, w)),
         before=1, after=1,
     )
-    return out.select(*SIMPLE_COLUMNS).dropna("any")
+    return _with_calendar(out.dropna("any"), freq).select(*SIMPLE_COLUMNS)
 
 
 def prep_report(

@@ -23,6 +23,7 @@ from kilospan.functions.clock import MICROS_PER_DAY, epoch_micros, epoch_seconds
 from kilospan.plans.sizes import left_lookup
 
 ROWS_PER_BLOCK = 2_000_000
+SALTS = 64
 
 BLOCK, OWN, BUCKET = "__block", "__own", "__bucket"
 START, TOTAL, FIRST, CARRY = "__start", "__total", "__first", "__carry"
@@ -73,6 +74,14 @@ class Series:
             raise ValueError("call measured() first")
         return self.largest > self.rows_per_block
 
+    def gathered(self, df: DataFrame) -> DataFrame:
+        """Bring each series together ahead of a dedupe, unless one is too long.
+
+        A later aggregate on (keys, ts) and every window then reuse this exchange:
+        one shuffle of the readings instead of two.
+        """
+        return df if self.cut else df.repartition(*self.keys)
+
     def window(self, *extra: str) -> WindowSpec:
         return Window.partitionBy(*self.keys, *extra).orderBy(self.ts)
 
@@ -210,6 +219,22 @@ class Series:
         return left_lookup(rows, table, [*keys, BUCKET])
 
 
+def first_rows(df: DataFrame, keys: list[str], order: Column, n: int) -> DataFrame:
+    """The first ``n`` rows of each key by ``order``, with their ``__place`` from 1.
+
+    Spark limits such a rank ahead of the shuffle up to a configured ``n``. Beyond
+    that, the rows of a key are first limited in salted parts.
+    """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if n > limit:
+        salted = Window.partitionBy(*keys, "__salt").orderBy(order)
+        df = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        df = df.withColumn("__place", F.row_number().over(salted))
+        df = df.where(F.col("__place") <= n).drop("__salt", "__place")
+    placed = df.withColumn("__place", F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    return placed.where(F.col("__place") <= n)
+
+
 def _carry_type(df: DataFrame, ts: str, carry: Column) -> str:
     pair = df.select(F.struct(F.col(ts).alias("ts"), carry.alias("x")).alias("c"))
     return pair.schema["c"].dataType.simpleString()

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 LOCAL_ROWS = 100_000
@@ -36,10 +37,30 @@ def settle(df: DataFrame, max_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
     Up to ``max_rows`` rows come back as a literal table that is safe to
     broadcast. A larger result is checkpointed and must be joined by key.
     """
+    if getattr(df, "settled_rows", None) is not None:
+        return df, True
     rows = df.limit(max_rows + 1).toArrow()
-    if rows.num_rows <= max_rows:
-        return df.sparkSession.createDataFrame(rows, schema=df.schema), True
-    return checkpointed(df), False
+    if rows.num_rows > max_rows:
+        return checkpointed(df), False
+    table = df.sparkSession.createDataFrame(rows, schema=df.schema)
+    table.settled_rows = rows
+    return table, True
+
+
+def greatest_in(table: DataFrame, column: str):
+    """Greatest value of a column (None if there is none), without a job if settled."""
+    rows = getattr(table, "settled_rows", None)
+    if rows is not None:
+        return pc.max(rows[column]).as_py()
+    return table.agg(F.max(column)).first()[0]
+
+
+def match(df: DataFrame, table: DataFrame, on: list[str]) -> Column:
+    """Equality of the named columns in which NULL equals NULL; no names match all."""
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & df[c].eqNullSafe(table[f"__on_{c}"])
+    return cond
 
 
 def left_lookup(
@@ -51,14 +72,9 @@ def left_lookup(
     ordinary equi-join, whose hot keys adaptive execution splits.
     """
     table, small = settle(table, max_rows)
-    names = {c: f"__on_{c}" for c in on}
-    table = table.withColumnsRenamed(names)
-    cond = None
-    for c, renamed in names.items():
-        eq = df[c].eqNullSafe(table[renamed])
-        cond = eq if cond is None else cond & eq
-    joined = df.join(F.broadcast(table) if small else table, cond, "left")
-    return joined.drop(*names.values())
+    table = table.withColumnsRenamed({c: f"__on_{c}" for c in on})
+    joined = df.join(F.broadcast(table) if small else table, match(df, table, on), "left")
+    return joined.drop(*[f"__on_{c}" for c in on])
 
 
 def keep_keys(

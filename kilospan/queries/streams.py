@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 
+from kilospan.functions.clock import floor_to_step
 from kilospan.operators.clean import Bounds
 from kilospan.queries import query
 from kilospan.queries import views as V
@@ -45,7 +46,7 @@ def stream_clean(spark, d):
 
 @query("stream_dedupe", "SELECT DISTINCT user_id, date_trunc('hour', ts) AS ts FROM events")
 def stream_dedupe(spark, d):
-    hourly = _events(spark, d).select("user_id", V.floor_to_step("ts", 60).alias("ts"))
+    hourly = _events(spark, d).select("user_id", floor_to_step("ts", 60).alias("ts"))
     out = flows.dedupe(hourly, ["user_id"], "ts", "60 days").select("user_id", "ts")
     return _finished(spark, out)
 

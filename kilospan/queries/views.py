@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import floor_to_step
+from kilospan.functions.clock import step_start
 from kilospan.operators.clean import keep_first
 from kilospan.operators.forecast import naive_forecasts
 from kilospan.operators.resample import interpolate
@@ -27,15 +27,26 @@ KWH_OF_EVENT = {
 REGION_NAMES = sorted(KWH_OF_EVENT.values())
 
 
+# Declared, so that opening a table costs no schema-inference job.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, "
+    "o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+    "c_mktsegment string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def region_hourly(spark, d) -> DataFrame:
     """Load per event type and hour; hours without events are gaps."""
     return (
         table(spark, d, "events")
-        .groupBy(F.col("event_type").alias("region"), floor_to_step("ts", 60).alias("ts"))
+        .groupBy(F.col("event_type").alias("region"), step_start("ts", 60).alias("ts"))
         .agg(F.sum("value").alias("load_mw"))
     )
 
@@ -44,7 +55,7 @@ def region_raw(spark, d) -> DataFrame:
     """Single events as hourly readings with repeats."""
     return table(spark, d, "events").select(
         F.col("event_type").alias("region"),
-        floor_to_step("ts", 60).alias("ts"),
+        step_start("ts", 60).alias("ts"),
         F.col("value").alias("load_mw"),
         F.col("event_id").alias("seq"),
     )
@@ -54,7 +65,7 @@ def meter_raw(spark, d) -> DataFrame:
     """Half-hourly readings per user, with repeats and negative values."""
     return table(spark, d, "events").select(
         F.col("user_id").cast("int").alias("customer_id"),
-        floor_to_step("ts", 30).alias("ts"),
+        step_start("ts", 30).alias("ts"),
         (F.col("value") - 10.0).alias("load_val"),
         F.col("event_id").alias("seq"),
     )
@@ -68,7 +79,7 @@ def meter_wide(spark, d) -> DataFrame:
     events = table(spark, d, "events")
     return events.select(
         F.col("user_id").cast("int").alias("customer_id"),
-        floor_to_step("ts", 30).alias("ts"),
+        step_start("ts", 30).alias("ts"),
         F.col("event_id").alias("seq"),
         *[
             F.when(F.col("event_type") == e, F.col("value") - 10.0).alias(c)

@@ -13,6 +13,10 @@ def local_session(cores: int | str = "*", name: str = "kilospan") -> SparkSessio
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Small tables on one machine: keep a task per core, and skip recording the
+        # call site of every column expression.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.sql.dataFrameQueryContext.enabled", "false")
         .config("spark.driver.memory", "8g")
     )
     spark = builder.getOrCreate()
