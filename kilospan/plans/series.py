@@ -35,13 +35,14 @@ class Series:
 
     ``keys`` and ``ts`` must identify a row (dedupe first). ``step_seconds`` states
     that rows lie on a gapless grid of that step. ``largest`` is an upper bound on
-    rows per series; it is measured when absent.
+    rows per series and ``total`` the row count; they are measured when absent.
     """
 
     keys: tuple[str, ...]
     ts: str
     step_seconds: int | None = None
     largest: int | None = None
+    total: int | None = None
     rows_per_block: int = ROWS_PER_BLOCK
 
     @classmethod
@@ -53,7 +54,8 @@ class Series:
         if self.largest is not None:
             return self
         sizes = df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
-        return replace(self, largest=sizes.agg(F.max("n")).first()[0] or 0)
+        top, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        return replace(self, largest=top or 0, total=total or 0)
 
     def measured_grid(self, df: DataFrame, step_seconds: int) -> "Series":
         """Bound the length each series will have once its grid is filled."""
@@ -75,12 +77,16 @@ class Series:
         return self.largest > self.rows_per_block
 
     def gathered(self, df: DataFrame) -> DataFrame:
-        """Bring each series together ahead of a dedupe, unless one is too long.
+        """Bring each series together ahead of a dedupe, where they are of even size.
 
         A later aggregate on (keys, ts) and every window then reuse this exchange:
-        one shuffle of the readings instead of two.
+        one shuffle of the readings instead of two. If one series is more than twice
+        a task's fair share, the dedupe should shrink it before it moves.
         """
-        return df if self.cut else df.repartition(*self.keys)
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if self.cut or self.total is None or self.largest * tasks > 2 * self.total:
+            return df
+        return df.repartition(*self.keys)
 
     def window(self, *extra: str) -> WindowSpec:
         return Window.partitionBy(*self.keys, *extra).orderBy(self.ts)

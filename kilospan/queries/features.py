@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kilospan.functions import calendar as C
 from kilospan.functions.clock import step_of_day
+from kilospan.functions.scalars import rounded as half_away
 from kilospan.operators import clean, features, samples, split
 from kilospan.plans import recipes
 from kilospan.queries import query
@@ -57,12 +58,7 @@ def cyclical_features(spark, d):
         **C.cyclical(F.month("ts"), 12, "month"),
     }
     events = V.table(spark, d, "events")
-    return events.select("event_id", *[_plain_zero(c).alias(n) for n, c in cols.items()])
-
-
-def _plain_zero(c):
-    """Rounded, with -0.0 written as 0.0 like the SQL side does."""
-    return F.round(c, 6) + F.lit(0.0)
+    return events.select("event_id", *[half_away(c, 6).alias(n) for n, c in cols.items()])
 
 
 @query(
@@ -98,7 +94,7 @@ def basic_vector(spark, d):
     return vec.select(
         "event_id",
         F.size("v").alias("size"),
-        F.round(F.col("v")[0], 6).alias("load"),
+        half_away(F.col("v")[0], 6).alias("load"),
         (at(2, 48) + 1).alias("slot_at"),
         (at(50, 7) + 49).alias("weekday_at"),
         F.col("v")[56].alias("weekend"),
@@ -381,7 +377,7 @@ def _regional(df, series, **kw):
     # Means of 24 decimals often end in an exact half, which engines round either
     # way; at FLOAT storage precision both sides see the same number.
     out = rounded(out.withColumns({c: F.col(c).cast("float").cast("double") for c in ROLLED}), *ROLLED)
-    return out.withColumns({c: _plain_zero(F.col(c)) for c in REGIONAL_ROUNDED})
+    return out.withColumns({c: half_away(c, 6) for c in REGIONAL_ROUNDED})
 
 
 @query("regional_features", _sql_regional(V.SQL_REGION_HOURLY))
@@ -444,7 +440,7 @@ def _unified(raw, series):
     out = recipes.unified_features(
         raw, series, "load_val", HALF_HOURLY, _meter_bounds(raw), tiebreak="seq"
     )
-    return out.withColumns({c: _plain_zero(F.col(c)) for c in ROUNDED_UNIFIED})
+    return out.withColumns({c: half_away(c, 6) for c in ROUNDED_UNIFIED})
 
 
 @query("unified_features", SQL_UNIFIED)
@@ -467,7 +463,7 @@ def simple_features(spark, d):
     out = recipes.simple_features(
         raw, V.METER, "load_val", HALF_HOURLY, _meter_bounds(raw), tiebreak="seq"
     )
-    return out.withColumns({c: _plain_zero(F.col(c)) for c in ROUNDED_SIMPLE})
+    return out.withColumns({c: half_away(c, 6) for c in ROUNDED_SIMPLE})
 
 
 _clipped = ", ".join(f"CASE WHEN {c} IS NULL THEN NULL ELSE greatest({c}, 0) END AS {c}" for c in KWH)
@@ -497,4 +493,4 @@ def meter_clean(spark, d):
     out = recipes.meter_clean(V.meter_wide(spark, d), "customer_id", "ts", "seq", KWH)
     out = out.withColumnRenamed("TOTAL_KWH", "total_kwh")
     names = [*KWH, "total_kwh", "hour_sin", "hour_cos", "month_sin", "month_cos"]
-    return out.withColumns({c: _plain_zero(F.col(c)) for c in names})
+    return out.withColumns({c: half_away(c, 6) for c in names})

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.functions.clock import step_start
+from kilospan.functions.scalars import rounded as half_away
 from kilospan.operators.clean import keep_first
 from kilospan.operators.forecast import naive_forecasts
 from kilospan.operators.resample import interpolate
@@ -136,7 +137,7 @@ def region_daily(spark, d) -> DataFrame:
 
 
 def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
-    return df.withColumns({c: F.round(c, places) for c in columns})
+    return df.withColumns({c: half_away(c, places) for c in columns})
 
 
 # The same views in SQL.
