@@ -1,4 +1,4 @@
-"""Calendar, cyclical and one-hot expressions."""
+"""Calendar, cyclical and one-hot expressions over column names or SQL text."""
 
 from __future__ import annotations
 
@@ -7,64 +7,62 @@ import math
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import step_of_day
+from kilospan.functions.clock import sql_name, step_of_day_sql
 
 
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def day_of_week(ts) -> Column:
+def day_of_week(ts: str) -> Column:
     """Monday is 0."""
-    return F.weekday(_col(ts))
+    return F.expr(f"weekday({sql_name(ts)})")
 
 
-def is_weekend(ts) -> Column:
-    return (day_of_week(ts) >= 5).cast("int")
+def is_weekend(ts: str) -> Column:
+    return F.expr(f"cast(weekday({sql_name(ts)}) >= 5 AS int)")
 
 
-def cyclical(value, period: int, name: str) -> dict[str, Column]:
-    angle = _col(value) * F.lit(2 * math.pi) / F.lit(period)
-    return {f"{name}_sin": F.sin(angle), f"{name}_cos": F.cos(angle)}
+def cyclical(value: str, period: int, name: str) -> dict[str, Column]:
+    angle = f"{sql_name(value)} * {2 * math.pi!r}D / {int(period)}"
+    return {f"{name}_sin": F.expr(f"sin({angle})"), f"{name}_cos": F.expr(f"cos({angle})")}
 
 
-def calendar_long(ts) -> dict[str, Column]:
+def calendar_long(ts: str) -> dict[str, Column]:
     """The regional calendar set: hour to weekend flag."""
-    ts = _col(ts)
+    parts = ("hour", "month", "year", "dayofyear", "quarter")
+    named = {p: F.expr(f"{p}({sql_name(ts)})") for p in parts}
     return {
-        "hour": F.hour(ts),
+        "hour": named["hour"],
         "dayofweek": day_of_week(ts),
-        "month": F.month(ts),
-        "year": F.year(ts),
-        "dayofyear": F.dayofyear(ts),
-        "quarter": F.quarter(ts),
+        "month": named["month"],
+        "year": named["year"],
+        "dayofyear": named["dayofyear"],
+        "quarter": named["quarter"],
         "is_weekend": is_weekend(ts),
     }
 
 
-def calendar_short(ts, step_minutes: int) -> dict[str, Column]:
+def calendar_short(ts: str, step_minutes: int) -> dict[str, Column]:
     """The unified calendar set: slot, weekday, month, weekend flag."""
-    ts = _col(ts)
     return {
-        "step_of_day": step_of_day(ts, step_minutes),
+        "step_of_day": F.expr(step_of_day_sql(ts, step_minutes)),
         "day_of_week": day_of_week(ts),
-        "month": F.month(ts),
+        "month": F.expr(f"month({sql_name(ts)})"),
         "is_weekend": is_weekend(ts),
     }
 
 
-def one_hot(index, size: int, element: str = "float") -> Column:
-    index = _col(index)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (i == index).cast(element)
-    )
+def _one_hot_sql(index: str, size: int, element: str) -> str:
+    return f"transform(sequence(0, {size - 1}), i -> cast(i = {index} AS {element}))"
+
+
+def one_hot(index: str, size: int, element: str = "float") -> Column:
+    return F.expr(_one_hot_sql(sql_name(index), size, element))
 
 
-def basic_vector(value, ts, step_minutes: int, element: str = "float") -> Column:
+def basic_vector(value: str, ts: str, step_minutes: int, element: str = "float") -> Column:
     """value, one-hot slot, one-hot weekday, weekend flag in one array."""
-    return F.concat(
-        F.array(_col(value).cast(element)),
-        one_hot(step_of_day(ts, step_minutes), 1440 // step_minutes, element),
-        one_hot(day_of_week(ts), 7, element),
-        F.array(is_weekend(ts).cast(element)),
+    day = sql_name(ts)
+    slots = _one_hot_sql(step_of_day_sql(ts, step_minutes), 1440 // step_minutes, element)
+    days = _one_hot_sql(f"weekday({day})", 7, element)
+    return F.expr(
+        f"concat(array(cast({sql_name(value)} AS {element})), {slots}, {days}, "
+        f"array(cast(weekday({day}) >= 5 AS {element})))"
     )

@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kilospan.functions.clock import sql_name
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _lit(v) -> Column:
-    return v if isinstance(v, Column) else F.lit(v)
+def _text(v) -> str:
+    """A bound as SQL text; numbers keep every digit, None is no bound."""
+    if v is None:
+        return "cast(NULL AS double)"
+    return sql_name(v) if isinstance(v, str) else f"{float(v)!r}D"
 
 
 def lenient_timestamp(text, formats: tuple[str, ...] = ()) -> Column:
@@ -27,58 +32,55 @@ def nan_to_null(x) -> Column:
     return F.when(~F.isnan(x), x)
 
 
-def clip(x, lower=None, upper=None) -> Column:
+def clip(x: str, lower=None, upper=None) -> Column:
     """Limit to [lower, upper]. Missing stays missing: greatest/least alone would
-    turn a NULL or NaN into a bound."""
-    x = _col(x)
-    y = x
+    turn a NULL or NaN into a bound. Bounds are numbers, names or SQL text."""
+    x = y = sql_name(x)
     if lower is not None:
-        y = F.greatest(y, _lit(lower))
+        y = f"greatest({y}, {_text(lower)})"
     if upper is not None:
-        y = F.least(y, _lit(upper))
-    return F.when(x.isNotNull() & ~F.isnan(x), y)
+        y = f"least({y}, {_text(upper)})"
+    return F.expr(f"CASE WHEN NOT isnan({x}) AND {x} IS NOT NULL THEN {y} END")
 
 
-def cap_if_positive(x, cap) -> Column:
+def cap_if_positive(x: str, cap: float) -> Column:
     """Upper limit that applies only where the cap itself is above zero."""
-    x = _col(x)
-    cap = _lit(cap)
-    return F.when(cap > 0, clip(x, upper=cap)).otherwise(x)
+    return clip(x, upper=cap) if cap > 0 else F.col(x)
 
 
-def minmax(x, lo, hi) -> Column:
+def minmax(x: str, lo, hi) -> Column:
     """(x - lo) / (hi - lo); a range of no width scales to 0."""
-    x, lo, hi = _col(x), _lit(lo), _lit(hi)
-    return F.when(hi > lo, (x - lo) / (hi - lo)).when(x.isNotNull(), F.lit(0.0))
+    x, lo, hi = sql_name(x), _text(lo), _text(hi)
+    return F.expr(
+        f"CASE WHEN {hi} > {lo} THEN ({x} - {lo}) / ({hi} - {lo}) WHEN {x} IS NOT NULL THEN 0D END"
+    )
 
 
-def unscale(x, lo, hi, floor=None) -> Column:
-    y = _col(x) * (_lit(hi) - _lit(lo)) + _lit(lo)
-    return y if floor is None else clip(y, lower=floor)
+def unscale(x: str, lo, hi, floor=None) -> Column:
+    lo, hi = _text(lo), _text(hi)
+    y = f"({sql_name(x)} * ({hi} - {lo}) + {lo})"
+    return F.expr(y) if floor is None else clip(y, lower=floor)
 
 
 def row_total(columns) -> Column:
     """Sum over columns that skips missing cells (all missing gives 0)."""
-    total = F.lit(0.0)
-    for c in columns:
-        total = total + F.coalesce(_col(c).cast("double"), F.lit(0.0))
-    return total
+    return F.expr(" + ".join(f"coalesce(cast({sql_name(c)} AS double), 0D)" for c in columns))
 
 
 def energy_to_power(kwh, step_minutes: int) -> Column:
     return _col(kwh) * F.lit(60.0 / step_minutes)
 
 
-def rounded(x, places: int) -> Column:
-    """Round half away from zero in binary arithmetic.
+def rounded(x: str, places: int) -> Column:
+    """Round a column half away from zero in binary arithmetic.
 
     ``round`` on a DOUBLE goes through decimals and costs more than the features it
     would round. Meant for values below 10^18 / 10^places.
     """
-    x, unit = _col(x), float(10**places)
-    return F.signum(x) * F.floor(F.abs(x) * unit + 0.5) / unit + F.lit(0.0)
+    x, unit = sql_name(x), f"1e{places}D"
+    return F.expr(f"signum({x}) * floor(abs({x}) * {unit} + 0.5D) / {unit} + 0D")
 
 
-def outside(x, lower, upper) -> Column:
-    x = _col(x)
-    return (x < _lit(lower)) | (x > _lit(upper))
+def outside(x: str, lower: str, upper: str) -> Column:
+    x, lower, upper = sql_name(x), _text(lower), _text(upper)
+    return F.expr(f"{x} < {lower} OR {x} > {upper}")

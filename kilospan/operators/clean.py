@@ -94,7 +94,7 @@ def scale_within(df: DataFrame, series: Series, value: str, scaled: str) -> Data
         F.min(value).alias("__lo"), F.max(value).alias("__hi")
     )
     out = left_lookup(df, ends, list(series.keys))
-    return out.withColumn(scaled, S.minmax(value, F.col("__lo"), F.col("__hi"))).drop(
+    return out.withColumn(scaled, S.minmax(value, "__lo", "__hi")).drop(
         "__lo", "__hi"
     )
 
@@ -127,7 +127,7 @@ def with_fences(df: DataFrame, series: Series, value: str) -> DataFrame:
 def iqr_clip(df: DataFrame, series: Series, value: str) -> DataFrame:
     fenced = with_fences(df, series, value)
     return fenced.withColumn(
-        value, S.clip(value, F.col("lower"), F.col("upper"))
+        value, S.clip(value, "lower", "upper")
     ).drop("lower", "upper")
 
 
@@ -135,7 +135,7 @@ def iqr_outliers(df: DataFrame, series: Series, value: str) -> DataFrame:
     """Count and share of values outside the fence, per series."""
     fences = iqr_fences(df, series.keys, value)
     out = left_lookup(df, fences, list(series.keys))
-    flag = S.outside(value, F.col("lower"), F.col("upper")).cast("int")
+    flag = S.outside(value, "lower", "upper").cast("int")
     return out.groupBy(*series.keys).agg(
         F.sum(flag).alias("outliers"), (F.avg(flag) * 100).alias("outlier_pct")
     )

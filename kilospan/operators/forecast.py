@@ -34,10 +34,9 @@ def naive_forecasts(
         return d.withColumns(lag_columns(value, {**steps, **days}, w))
 
     rows = series.over(df, compute, before=max([*steps.values(), *days.values()]))
-    known = [F.when(F.col(c).isNotNull(), 1).otherwise(0) for c in days]
-    total = sum((F.coalesce(F.col(c), F.lit(0.0)) for c in days), F.lit(0.0))
-    count = sum(known, F.lit(0))
-    rows = rows.withColumn("slot_mean", F.when(count > 0, total / count))
+    total = " + ".join(f"coalesce({c}, 0D)" for c in days)
+    count = " + ".join(f"cast({c} IS NOT NULL AS int)" for c in days)
+    rows = rows.withColumn("slot_mean", F.expr(f"try_divide({total}, {count})"))
     keys = list(series.keys)
     return (
         rows.select(*keys, series.ts, F.col(value).alias("actual"), *NAIVE_MODELS)
@@ -108,7 +107,7 @@ def future_calendar(
         *series.keys, "__last", F.explode(F.sequence(F.lit(1), F.lit(steps))).alias("step")
     )
     rows = ahead.withColumn(
-        series.ts, plus_seconds("__last", F.col("step") * freq.step_seconds)
+        series.ts, plus_seconds("__last", f"step * {freq.step_seconds}")
     ).drop("__last")
     rows = rows.withColumns(calendar_short(series.ts, freq.step_minutes))
     return rows.withColumns(
@@ -145,7 +144,7 @@ def rollout_seasonal(
         *series.keys, "__last", F.explode(marks).alias("step"), F.col(value).alias("predicted")
     ).select(
         *series.keys, "step",
-        plus_seconds("__last", F.col("step") * freq.step_seconds).alias(series.ts),
+        plus_seconds("__last", f"step * {freq.step_seconds}").alias(series.ts),
         "predicted",
     )
 
@@ -188,10 +187,9 @@ def rollout_linear(
     rolled = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), recent, grow)
     ahead = F.reverse(F.slice(rolled, 1, steps))
     out = seeds.select(*series.keys, "__last", F.posexplode(ahead).alias("__i", "predicted"))
-    step = F.col("__i") + 1
     return out.select(
-        *series.keys, step.alias("step"),
-        plus_seconds("__last", step * freq.step_seconds).alias(series.ts), "predicted",
+        *series.keys, (F.col("__i") + 1).alias("step"),
+        plus_seconds("__last", f"(__i + 1) * {freq.step_seconds}").alias(series.ts), "predicted",
     )
 
 

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import epoch_seconds, plus_seconds
+from kilospan.functions.clock import epoch_seconds, epoch_seconds_sql, sql_name
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import left_lookup
 
@@ -70,27 +70,27 @@ def interpolate(df: DataFrame, series: Series, value: str, step_seconds: int) ->
         )
         pairs = _next_known(ts, value)(_known(rows, ts, value, step_seconds), w)
 
-    tail = (epoch_seconds("__last_ts") - epoch_seconds("__first_ts")) % step_seconds
-    last = F.coalesce(
-        plus_seconds("__nt", -step_seconds), plus_seconds("__last_ts", -tail)
-    )
-    steps = F.sequence(ts, last, F.make_dt_interval(secs=F.lit(step_seconds)))
-    gap = (epoch_seconds("__nt") - epoch_seconds(ts)) / step_seconds
+    t, v = sql_name(ts), sql_name(value)
+    span = f"({epoch_seconds_sql('__last_ts')} - {epoch_seconds_sql('__first_ts')})"
+    # The last grid step, for readings with none known after them.
+    end = f"timestampadd(SECOND, -({span} % {step_seconds}), __last_ts)"
+    last = f"coalesce(timestampadd(SECOND, -{step_seconds}, __nt), {end})"
+    steps = F.expr(f"sequence({t}, {last}, make_dt_interval(0, 0, 0, {step_seconds}))")
+    gap = F.expr(f"({epoch_seconds_sql('__nt')} - {epoch_seconds_sql(ts)}) / {step_seconds}")
     out = pairs.select(
         *keys, value, "__nx", gap.alias("__gap"), F.posexplode(steps).alias("__i", "__g")
     )
-    line = F.col(value) + (F.col("__nx") - F.col(value)) * F.col("__i") / F.col("__gap")
-    filled = F.when(F.col("__i") == 0, F.col(value)).otherwise(
-        F.when(F.col("__nx").isNull(), F.col(value)).otherwise(line)
+    filled = F.expr(
+        f"CASE WHEN __i = 0 OR __nx IS NULL THEN {v} ELSE {v} + (__nx - {v}) * __i / __gap END"
     )
     return out.select(*keys, F.col("__g").alias(ts), filled.alias(value))
 
 
 def _known(rows, ts: str, value: str, step_seconds: int) -> DataFrame:
     """On-grid readings that have a value; the first step is kept even without."""
-    since = epoch_seconds(ts) - epoch_seconds("__first_ts")
+    since = f"({epoch_seconds_sql(ts)} - {epoch_seconds_sql('__first_ts')})"
     return rows.where(
-        (since % step_seconds == 0) & (F.col(value).isNotNull() | (F.col(ts) == F.col("__first_ts")))
+        f"{since} % {step_seconds} = 0 AND ({sql_name(value)} IS NOT NULL OR {sql_name(ts)} = __first_ts)"
     )
 
 

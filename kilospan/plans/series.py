@@ -19,7 +19,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import MICROS_PER_DAY, epoch_micros, epoch_seconds
+from kilospan.functions.clock import MICROS_PER_DAY, epoch_micros, epoch_seconds, sql_name
 from kilospan.plans.sizes import left_lookup
 
 ROWS_PER_BLOCK = 2_000_000
@@ -61,11 +61,13 @@ class Series:
         """Bound the length each series will have once its grid is filled."""
         if self.largest is not None:
             return self
-        span = epoch_seconds(F.max(self.ts)) - epoch_seconds(F.min(self.ts))
+        ts = sql_name(self.ts)
+        span = epoch_seconds(f"max({ts})") - epoch_seconds(f"min({ts})")
         sizes = df.groupBy(*self.keys).agg(
             F.greatest(F.count(F.lit(1)), F.floor(span / step_seconds) + 1).alias("n")
         )
-        return replace(self, largest=sizes.agg(F.max("n")).first()[0] or 0)
+        top, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        return replace(self, largest=top or 0, total=total or 0)
 
     def on_grid(self, step_seconds: int) -> "Series":
         return replace(self, step_seconds=step_seconds)

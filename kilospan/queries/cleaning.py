@@ -217,7 +217,7 @@ FROM meter_raw""",
 )
 def inverse_scale(spark, d):
     raw = V.meter_raw(spark, d)
-    back = S.unscale(F.col("load_val") / 490.0, 0.5, 2.929, floor=0.0)
+    back = S.unscale("(load_val / 490D)", 0.5, 2.929, floor=0.0)
     return rounded(raw.select("customer_id", "ts", "seq", back.alias("load_kwh")), "load_kwh")
 
 

@@ -7,7 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from kilospan.functions import calendar as C
-from kilospan.functions.clock import step_of_day
+from kilospan.functions.clock import step_of_day, step_of_day_sql
 from kilospan.functions.scalars import rounded as half_away
 from kilospan.operators import clean, features, samples, split
 from kilospan.plans import recipes
@@ -53,12 +53,12 @@ def _sql_cyc(expr: str, period: int, name: str) -> str:
 )
 def cyclical_features(spark, d):
     cols = {
-        **C.cyclical(F.hour("ts"), 24, "hour"),
-        **C.cyclical(step_of_day("ts", 30), 48, "step"),
-        **C.cyclical(F.month("ts"), 12, "month"),
+        **C.cyclical("hour(ts)", 24, "hour"),
+        **C.cyclical(step_of_day_sql("ts", 30), 48, "step"),
+        **C.cyclical("month(ts)", 12, "month"),
     }
     events = V.table(spark, d, "events")
-    return events.select("event_id", *[half_away(c, 6).alias(n) for n, c in cols.items()])
+    return rounded(events.select("event_id", *[c.alias(n) for n, c in cols.items()]), *cols)
 
 
 @query(
@@ -67,8 +67,8 @@ def cyclical_features(spark, d):
 FROM events""",
 )
 def one_hot_slot(spark, d):
-    slots = C.one_hot(step_of_day("ts", 30), 48, "int")
-    weekdays = C.one_hot(C.day_of_week("ts"), 7, "int")
+    slots = C.one_hot(step_of_day_sql("ts", 30), 48, "int")
+    weekdays = C.one_hot("weekday(ts)", 7, "int")
     hot = V.table(spark, d, "events").select(
         "event_id", slots.alias("s"), weekdays.alias("w")
     )
@@ -94,7 +94,7 @@ def basic_vector(spark, d):
     return vec.select(
         "event_id",
         F.size("v").alias("size"),
-        half_away(F.col("v")[0], 6).alias("load"),
+        half_away("element_at(v, 1)", 6).alias("load"),
         (at(2, 48) + 1).alias("slot_at"),
         (at(50, 7) + 49).alias("weekday_at"),
         F.col("v")[56].alias("weekend"),
@@ -300,9 +300,9 @@ def sliding_windows(spark, d):
     total = F.aggregate("x", F.lit(0.0), lambda a, e: a + e["load"])
     return got.select(
         "region", "ts", F.size("x").alias("n"),
-        F.round(F.col("x")[0]["load"], 6).alias("x_first"),
-        F.round(F.col("x")[23]["load"], 6).alias("x_last"),
-        F.round(total, 4).alias("x_sum"), F.round("y", 6).alias("y"),
+        half_away("element_at(x, 1).load", 6).alias("x_first"),
+        half_away("element_at(x, 24).load", 6).alias("x_last"),
+        F.round(total, 4).alias("x_sum"), half_away("y", 6).alias("y"),
     )
 
 
