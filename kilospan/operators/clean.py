@@ -62,10 +62,11 @@ def cap_columns(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
 
 
 def scaler_bounds(
-    df: DataFrame, value: str, q: float = CAP_QUANTILE, fallback: float | None = FALLBACK_MAX
+    df: DataFrame, value: str, q: float = CAP_QUANTILE, fallback: float | None = FALLBACK_MAX,
+    at_most: int | None = None,
 ) -> DataFrame:
     """One row (min, max): 0 and the quantile of the values clipped at 0."""
-    got = exact_quantiles(df, {"max": S.clip(value, lower=0.0)}, [q])
+    got = exact_quantiles(df, {"max": S.clip(value, lower=0.0)}, [q], at_most=at_most)
     top = F.col("max")[0]
     if fallback is not None:
         top = F.when(top <= 0, F.lit(fallback)).otherwise(top)

@@ -29,23 +29,27 @@ def exact_quantiles(
     *,
     max_distinct: int = MAX_DISTINCT,
     superset: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """One row per group with an array of quantiles (linear rule) per named column.
 
     ``superset`` may name a cheaper table that holds at least the values of ``df``;
-    then distinct values are measured there.
+    then distinct values are measured there. ``at_most`` is a known row count.
     """
     by = list(by)
     pick = lambda t: t.select(
         *by, *[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for n, c in columns.items()]
     )
     named = pick(df)
-    sizes = (named if superset is None else pick(superset)).groupBy(*by).agg(
-        *[F.approx_count_distinct(n).alias(n) for n in columns]
-    )
-    if by:
-        sizes = sizes.agg(*[F.max(n).alias(n) for n in columns])
-    peaks = sizes.first()
+    if at_most is not None and at_most <= max_distinct:
+        peaks = dict.fromkeys(columns, at_most)
+    else:
+        sizes = (named if superset is None else pick(superset)).groupBy(*by).agg(
+            *[F.approx_count_distinct(n).alias(n) for n in columns]
+        )
+        if by:
+            sizes = sizes.agg(*[F.max(n).alias(n) for n in columns])
+        peaks = sizes.first()
     narrow = [n for n in columns if (peaks[n] or 0) <= max_distinct]
     ps = F.array(*[F.lit(float(p)) for p in probs])
     out = named.groupBy(*by).agg(

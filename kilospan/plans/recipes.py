@@ -50,9 +50,8 @@ def regional_features(
         )
 
     out = series.over(clipped, ordered, before=max(REGIONAL_LAGS.values()))
-    out = out.withColumns(calendar_long(series.ts))
-    out = out.withColumns({**cyclical("hour", 24, "hour"), **cyclical("month", 12, "month")})
-    return out.dropna("any")
+    out = out.dropna("any").withColumns(calendar_long(series.ts))
+    return out.withColumns({**cyclical("hour", 24, "hour"), **cyclical("month", 12, "month")})
 
 
 def meter_clean(

@@ -432,13 +432,14 @@ SQL_UNIFIED = f"""WITH {SQL_SCALED} SELECT {_common}, {SQL_STEP_CYC},
 FROM done WHERE target_load IS NOT NULL AND load_val IS NOT NULL"""
 
 
-def _meter_bounds(raw):
-    return clean.fetch_bounds(clean.scaler_bounds(raw, "load_val"))
+def _meter_bounds(raw, series):
+    return clean.fetch_bounds(clean.scaler_bounds(raw, "load_val", at_most=series.total))
 
 
 def _unified(raw, series):
+    series = series.measured(raw)
     out = recipes.unified_features(
-        raw, series, "load_val", HALF_HOURLY, _meter_bounds(raw), tiebreak="seq"
+        raw, series, "load_val", HALF_HOURLY, _meter_bounds(raw, series), tiebreak="seq"
     )
     return out.withColumns({c: half_away(c, 6) for c in ROUNDED_UNIFIED})
 
@@ -460,8 +461,9 @@ def unified_features_cut(spark, d):
 )
 def simple_features(spark, d):
     raw = V.meter_raw(spark, d)
+    series = V.METER.measured(raw)
     out = recipes.simple_features(
-        raw, V.METER, "load_val", HALF_HOURLY, _meter_bounds(raw), tiebreak="seq"
+        raw, series, "load_val", HALF_HOURLY, _meter_bounds(raw, series), tiebreak="seq"
     )
     return out.withColumns({c: half_away(c, 6) for c in ROUNDED_SIMPLE})
 
