@@ -100,6 +100,11 @@ def scale_within(df: DataFrame, series: Series, value: str, scaled: str) -> Data
     )
 
 
+def ensure_scaled(df: DataFrame, series: Series, value: str, scaled: str) -> DataFrame:
+    """``scale_within`` unless the table already has the scaled column."""
+    return df if scaled in df.columns else scale_within(df, series, value, scaled)
+
+
 def _fence(quartiles: Column) -> dict[str, Column]:
     q1, q3 = quartiles[0], quartiles[1]
     reach = (q3 - q1) * FENCE_WIDTH

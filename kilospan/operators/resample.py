@@ -7,18 +7,27 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import epoch_seconds, epoch_seconds_sql, sql_name
+from kilospan.functions.clock import epoch_seconds, epoch_seconds_sql, plus_seconds, sql_name
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import left_lookup
 
+RUN = 10_000
+
 
 def grid_spine(df: DataFrame, series: Series, step_seconds: int) -> DataFrame:
     """Every step from the first to the last reading of each series."""
     ends = df.groupBy(*series.keys).agg(
         F.min(series.ts).alias("__lo"), F.max(series.ts).alias("__hi")
     )
-    steps = F.sequence("__lo", "__hi", F.make_dt_interval(secs=F.lit(step_seconds)))
-    return ends.select(*series.keys, F.explode(steps).alias(series.ts))
+    span = f"({epoch_seconds_sql('__hi')} - {epoch_seconds_sql('__lo')})"
+    # In runs, so that no single array holds a long series.
+    runs = ends.select(
+        *series.keys, "__lo", F.expr(f"{span} div {step_seconds}").alias("__steps")
+    ).withColumn("__run", F.expr(f"explode(sequence(0L, __steps div {RUN}))"))
+    at = F.expr(f"sequence(__run * {RUN}, least((__run + 1) * {RUN} - 1, __steps))")
+    return runs.select(*series.keys, "__lo", F.explode(at).alias("__i")).select(
+        *series.keys, plus_seconds("__lo", f"__i * {step_seconds}").alias(series.ts)
+    )
 
 
 def reindex(df: DataFrame, series: Series, step_seconds: int) -> DataFrame:

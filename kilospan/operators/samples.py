@@ -38,6 +38,11 @@ def lookback_arrays(
     return out.select(*series.keys, series.ts, *arrays, *keep)
 
 
+def present(df: DataFrame, wanted: list[str]) -> list[str]:
+    """The feature columns out of ``wanted`` that the table has, in that order."""
+    return [c for c in wanted if c in df.columns]
+
+
 def top_entities(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` keys with most readings; ties go to the smaller key."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_readings"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.functions.calendar import calendar_long, calendar_short, cyclical
-from kilospan.functions.scalars import row_total
+from kilospan.functions.scalars import clip, outside, row_total
 from kilospan.operators import clean
 from kilospan.operators.features import lag_columns, next_columns, rolling_columns
 from kilospan.operators.resample import interpolate, missing_steps
@@ -21,12 +21,8 @@ from kilospan.schema import (
 REGIONAL_LAGS = {"lag_1h": 1, "lag_24h": 24, "lag_168h": 168}
 
 
-def regional_features(
-    df: DataFrame, series: Series, value: str, *, tiebreak: str | None = None,
-    freq: Frequency = HOURLY,
-) -> DataFrame:
-    """Grid, interpolation, quartile clipping, calendar, lags and rolling columns;
-    rows with any gap left are dropped."""
+def _regional_rows(df: DataFrame, series: Series, value: str, tiebreak, freq) -> DataFrame:
+    """Filled, fenced and clipped grid with its ordered columns and outlier flag."""
     series = series.measured_grid(df, freq.step_seconds)
     rows = df
     if tiebreak:
@@ -36,7 +32,10 @@ def regional_features(
         # Quartiles of a long series take several passes over the filled grid.
         filled = checkpointed(filled)
     series = series.on_grid(freq.step_seconds)
-    clipped = clean.iqr_clip(filled, series, value)
+    fenced = clean.with_fences(filled, series, value)
+    clipped = fenced.withColumns(
+        {"__out": outside(value, "lower", "upper"), value: clip(value, "lower", "upper")}
+    ).drop("lower", "upper")
 
     def ordered(d, w):
         return d.withColumns(
@@ -49,7 +48,16 @@ def regional_features(
             }
         )
 
-    out = series.over(clipped, ordered, before=max(REGIONAL_LAGS.values()))
+    return series.over(clipped, ordered, before=max(REGIONAL_LAGS.values()))
+
+
+def regional_features(
+    df: DataFrame, series: Series, value: str, *, tiebreak: str | None = None,
+    freq: Frequency = HOURLY,
+) -> DataFrame:
+    """Grid, interpolation, quartile clipping, calendar, lags and rolling columns;
+    rows with any gap left are dropped."""
+    out = _regional_rows(df, series, value, tiebreak, freq).drop("__out")
     out = out.dropna("any").withColumns(calendar_long(series.ts))
     return out.withColumns({**cyclical("hour", 24, "hour"), **cyclical("month", 12, "month")})
 
@@ -169,19 +177,17 @@ def prep_report(
     """Per series: rows in and out, duplicates, missing steps and clipped outliers."""
     keys = list(series.keys)
     series = series.measured_grid(df, freq.step_seconds)
-    rows = clean.keep_first(df, [*keys, series.ts], tiebreak)
     copies = df.groupBy(*keys, series.ts).agg(F.count(F.lit(1)).alias("__n"))
     report = copies.groupBy(*keys).agg(
         F.sum("__n").alias("rows_in"),
         (F.sum("__n") - F.count(F.lit(1))).alias("duplicates"),
     )
-    filled = interpolate(rows, series, value, freq.step_seconds)
-    done = regional_features(rows, series, value, freq=freq)
-    parts = {
-        "missing_steps": missing_steps(rows, series, freq.step_seconds),
-        "outliers": clean.iqr_outliers(filled, series, value),
-        "rows_out": done.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_out")),
-    }
-    for name, part in parts.items():
-        report = left_lookup(report, part.select(*keys, name), keys)
-    return report.withColumn("rows_out", F.coalesce("rows_out", F.lit(0)))
+    gaps = missing_steps(df, series, freq.step_seconds).select(*keys, "missing_steps")
+    rows = _regional_rows(df, series, value, tiebreak, freq)
+    whole = F.lit(True)
+    for c in rows.columns:
+        whole = whole & F.col(c).isNotNull()
+    done = rows.groupBy(*keys).agg(
+        F.count_if("__out").alias("outliers"), F.count_if(whole).alias("rows_out")
+    )
+    return left_lookup(left_lookup(report, gaps, keys), done, keys)

@@ -10,6 +10,7 @@ from kilospan.functions import calendar as C
 from kilospan.functions.clock import step_of_day, step_of_day_sql
 from kilospan.functions.scalars import rounded as half_away
 from kilospan.operators import clean, features, samples, split
+from kilospan.operators.sets import with_region_ids
 from kilospan.plans import recipes
 from kilospan.queries import query
 from kilospan.queries import views as V
@@ -289,7 +290,7 @@ def split_calendar(spark, d):
   SELECT region, ts, load_mw AS y, list(load_mw) OVER (
     PARTITION BY region ORDER BY ts ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS x FROM filled)
 SELECT region, ts, len(x)::INTEGER AS n, round(x[1], 6) AS x_first, round(x[24], 6) AS x_last,
-  round(list_sum(x), 4) AS x_sum, round(y, 6) AS y FROM x WHERE len(x) = 24""",
+  round(list_sum(x)::FLOAT::DOUBLE, 4) AS x_sum, round(y, 6) AS y FROM x WHERE len(x) = 24""",
 )
 def sliding_windows(spark, d):
     series = V.filled_series(spark, d)
@@ -302,7 +303,7 @@ def sliding_windows(spark, d):
         "region", "ts", F.size("x").alias("n"),
         half_away("element_at(x, 1).load", 6).alias("x_first"),
         half_away("element_at(x, 24).load", 6).alias("x_last"),
-        F.round(total, 4).alias("x_sum"), half_away("y", 6).alias("y"),
+        F.round(total.cast("float").cast("double"), 4).alias("x_sum"), half_away("y", 6).alias("y"),
     )
 
 
@@ -397,41 +398,53 @@ def regional_features_cut(spark, d):
     return _regional(V.region_hourly(spark, d), replace(V.REGION, rows_per_block=200))
 
 
-SQL_STEP_CYC = f"{_sql_cyc('step_of_day', 48, 'step')}, {_sql_cyc('month', 12, 'month')}"
+def _sql_step_cyc(steps: int) -> str:
+    return f"{_sql_cyc('step_of_day', steps, 'step')}, {_sql_cyc('month', 12, 'month')}"
+
+
+SQL_STEP_CYC = _sql_step_cyc(48)
 ROUNDED_SIMPLE = [
     "load_val", "load_scaled", "step_sin", "step_cos", "month_sin", "month_cos",
     "target_load", "target_scaled",
 ]
+UNIFIED_ROLLED = ["rolling_mean", "rolling_std"]
 ROUNDED_UNIFIED = ROUNDED_SIMPLE + [
     "lag_1", "lag_2", "lag_day", "lag_week", "rolling_mean", "rolling_std",
 ]
-SQL_SCALED = f"""{V.SQL_METER}, {SQL_BOUNDS},
-scaled AS (SELECT customer_id, ts AS datetime, least(greatest(load_val, lo), hi) AS load_val,
+def _sql_scaled(table: str, slot: str, day: int, week: int, rolled: int) -> str:
+    return f"""scaled AS (SELECT customer_id, ts AS datetime, least(greatest(load_val, lo), hi) AS load_val,
   (least(greatest(load_val, lo), hi) - lo) / (hi - lo) AS load_scaled,
-  {SQL_SLOT} AS step_of_day, (isodow(ts) - 1)::INTEGER AS day_of_week,
+  {slot} AS step_of_day, (isodow(ts) - 1)::INTEGER AS day_of_week,
   month(ts)::INTEGER AS month, (isodow(ts) >= 6)::INTEGER AS is_weekend
-  FROM meter, bounds),
+  FROM {table}, bounds),
 nexts AS (SELECT *, row_number() OVER w AS rn, lead(load_val) OVER w AS next_load,
   lead(load_scaled) OVER w AS next_scaled,
   coalesce(lag(load_scaled, 1) OVER w, 0) AS lag_1, coalesce(lag(load_scaled, 2) OVER w, 0) AS lag_2,
-  coalesce(lag(load_scaled, 48) OVER w, 0) AS lag_day,
-  coalesce(lag(load_scaled, 336) OVER w, 0) AS lag_week,
+  coalesce(lag(load_scaled, {day}) OVER w, 0) AS lag_day,
+  coalesce(lag(load_scaled, {week}) OVER w, 0) AS lag_week,
   avg(load_scaled) OVER r AS rolling_mean, coalesce(stddev_samp(load_scaled) OVER r, 0) AS rolling_std
   FROM scaled WINDOW w AS (PARTITION BY customer_id ORDER BY datetime),
-    r AS (PARTITION BY customer_id ORDER BY datetime ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)),
+    r AS (PARTITION BY customer_id ORDER BY datetime ROWS BETWEEN {rolled - 1} PRECEDING AND CURRENT ROW)),
 done AS (SELECT *, CASE WHEN rn = 1 THEN next_load ELSE coalesce(next_load, load_val) END AS target_load,
   CASE WHEN rn = 1 THEN next_scaled ELSE coalesce(next_scaled, load_scaled) END AS target_scaled
   FROM nexts)"""
+
+
+SQL_SCALED = f"{V.SQL_METER}, {SQL_BOUNDS},\n{_sql_scaled('meter', SQL_SLOT, 48, 336, 12)}"
 _common = """customer_id, datetime, round(load_val, 6) AS load_val, round(load_scaled, 6) AS load_scaled,
   step_of_day, day_of_week, month, is_weekend"""
 _targets = "round(target_load, 6) AS target_load, round(target_scaled, 6) AS target_scaled"
-SQL_UNIFIED = f"""WITH {SQL_SCALED} SELECT {_common}, {SQL_STEP_CYC},
+def _sql_unified(scaled: str, steps: int) -> str:
+    return f"""WITH {scaled} SELECT {_common}, {_sql_step_cyc(steps)},
   round(lag_1, 6) AS lag_1, round(lag_2, 6) AS lag_2, round(lag_day, 6) AS lag_day,
-  round(lag_week, 6) AS lag_week, round(rolling_mean, 6) AS rolling_mean,
-  round(rolling_std, 6) AS rolling_std, {_targets}
+  round(lag_week, 6) AS lag_week, round(rolling_mean::FLOAT::DOUBLE, 6) AS rolling_mean,
+  round(rolling_std::FLOAT::DOUBLE, 6) AS rolling_std, {_targets}
 FROM done WHERE target_load IS NOT NULL AND load_val IS NOT NULL"""
 
 
+SQL_UNIFIED = _sql_unified(SQL_SCALED, 48)
+
+
 def _meter_bounds(raw, series):
     return clean.fetch_bounds(clean.scaler_bounds(raw, "load_val", at_most=series.total))
 
@@ -441,6 +454,7 @@ def _unified(raw, series):
     out = recipes.unified_features(
         raw, series, "load_val", HALF_HOURLY, _meter_bounds(raw, series), tiebreak="seq"
     )
+    out = out.withColumns({c: F.col(c).cast("float").cast("double") for c in UNIFIED_ROLLED})
     return out.withColumns({c: half_away(c, 6) for c in ROUNDED_UNIFIED})
 
 
@@ -454,6 +468,26 @@ def unified_features_cut(spark, d):
     return _unified(V.meter_raw(spark, d), CUT_METER)
 
 
+SQL_NUMBERED = f"""{V.SQL_REGION_HOURLY},
+numbered AS (SELECT dense_rank() OVER (ORDER BY region)::INTEGER AS customer_id, ts, load_mw AS load_val
+  FROM region_hourly),
+bounds AS (SELECT 0.0::DOUBLE AS lo, quantile_cont(greatest(load_val, 0), 0.999) AS hi FROM numbered)"""
+
+
+@query(
+    "unified_regions",
+    _sql_unified(f"{SQL_NUMBERED},\n{_sql_scaled('numbered', 'hour(ts)::INTEGER', 24, 168, 24)}", 24),
+)
+def unified_regions(spark, d):
+    """The hourly form: numbered regions, bounds over all of them, lags by row."""
+    rows = with_region_ids(V.region_hourly(spark, d))
+    series = V.Series.of("customer_id", "ts").measured(rows)
+    bounds = clean.scaler_bounds(rows, "load_mw", fallback=None, at_most=series.total)
+    out = recipes.unified_features(rows, series, "load_mw", HOURLY, clean.fetch_bounds(bounds))
+    out = out.withColumns({c: F.col(c).cast("float").cast("double") for c in UNIFIED_ROLLED})
+    return out.withColumns({c: half_away(c, 6) for c in ROUNDED_UNIFIED})
+
+
 @query(
     "simple_features",
     f"WITH {SQL_SCALED} SELECT {_common}, {SQL_STEP_CYC}, {_targets} FROM done "

@@ -20,7 +20,7 @@ REGISTRY = [
     ("same_slot_week", "seasonal"),
     ("slot_mean", "averaging"),
 ]
-THRESHOLD = 500.0
+THRESHOLD = 250.0
 
 
 def _results(spark, d):
