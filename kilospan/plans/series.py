@@ -20,13 +20,14 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from kilospan.functions.clock import MICROS_PER_DAY, epoch_micros, epoch_seconds, sql_name
-from kilospan.plans.sizes import left_lookup
+from kilospan.plans.sizes import greatest_in, left_lookup, settle
 
 ROWS_PER_BLOCK = 2_000_000
 SALTS = 64
 
 BLOCK, OWN, BUCKET = "__block", "__own", "__bucket"
 START, TOTAL, FIRST, CARRY = "__start", "__total", "__first", "__carry"
+WIDEST = "__widest"
 
 
 @dataclass(frozen=True)
@@ -179,52 +180,49 @@ class Series:
         first position without sorting any row. Rows of short series get NULLs.
         """
         size = max(self.rows_per_block, before + after + 1)
-        keys = list(self.keys)
         width = MICROS_PER_DAY
         while True:
             bucket = F.floor(epoch_micros(self.ts) / F.lit(width)).cast("bigint")
-            aggs = [
-                F.count(F.lit(1)).alias("__n"),
-                F.min(self.ts).alias(FIRST),
-            ]
-            if carry is not None:
-                pair = F.struct(F.col(self.ts).alias("ts"), carry.alias("x"))
-                aggs.append(
-                    F.max_by(pair, F.when(carry.isNotNull(), F.col(self.ts))).alias(CARRY)
-                )
-            counts = df.groupBy(*keys, bucket.alias(BUCKET)).agg(*aggs)
-            peak = counts.agg(F.max("__n")).first()[0] or 0
+            table = settle(self._places(df, bucket, size, before, after, carry))[0]
+            peak = greatest_in(table, WIDEST) or 0
             if peak <= size or width == 1:
-                break
+                rows = df.withColumn(BUCKET, bucket)
+                return left_lookup(rows, table, [*self.keys, BUCKET]).drop(WIDEST)
             width = max(1, width // 2 ** math.ceil(math.log2(peak / size)))
 
+    def _places(self, df, bucket: Column, size: int, before: int, after: int, carry) -> DataFrame:
+        """Per bucket of a long series: first position and the blocks that need it."""
+        keys = list(self.keys)
+        aggs = [F.count(F.lit(1)).alias("__n"), F.min(self.ts).alias(FIRST)]
+        if carry is not None:
+            pair = F.struct(F.col(self.ts).alias("ts"), carry.alias("x"))
+            known = F.when(carry.isNotNull(), F.col(self.ts))
+            aggs.append(F.max_by(pair, known).alias(CARRY))
+        counts = df.groupBy(*keys, bucket.alias(BUCKET)).agg(*aggs)
+
         along = Window.partitionBy(*keys).orderBy(BUCKET)
         whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         earlier = along.rowsBetween(Window.unboundedPreceding, -1)
         placed = {
             START: F.coalesce(F.sum("__n").over(earlier), F.lit(0)),
             TOTAL: F.sum("__n").over(whole),
-            "__widest": F.max("__n").over(whole),
+            WIDEST: F.max("__n").over(whole),
             FIRST: F.min(FIRST).over(whole),
         }
         if carry is not None:
             placed[CARRY] = F.last(CARRY, ignorenulls=True).over(earlier)
-        first_reach = F.greatest(
-            F.col(START) - after - F.col("__widest") + 1, F.lit(0)
-        )
         own = F.floor(F.col(START) / size).cast("bigint")
-        lo = own if not after else F.floor(first_reach / size).cast("bigint")
-        last_reach = F.col(START) + F.col("__n") + before - 1
-        table = (
+        lo = own
+        if after:
+            reach = F.greatest(F.col(START) - after - F.col(WIDEST) + 1, F.lit(0))
+            lo = F.floor(reach / size).cast("bigint")
+        hi = F.floor((F.col(START) + F.col("__n") + before - 1) / size).cast("bigint")
+        return (
             counts.withColumns(placed)
             .where(F.col(TOTAL) > self.rows_per_block)
-            .withColumns(
-                {"__at": own, "__lo": lo, "__hi": F.floor(last_reach / size).cast("bigint")}
-            )
-            .drop("__n", "__widest")
+            .withColumns({"__at": own, "__lo": lo, "__hi": hi})
+            .drop("__n")
         )
-        rows = df.withColumn(BUCKET, bucket)
-        return left_lookup(rows, table, [*keys, BUCKET])
 
 
 def first_rows(df: DataFrame, keys: list[str], order: Column, n: int) -> DataFrame:

@@ -39,9 +39,13 @@ def settle(df: DataFrame, max_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
     """
     if getattr(df, "settled_rows", None) is not None:
         return df, True
+    if getattr(df, "settled_large", False):
+        return df, False
     rows = df.limit(max_rows + 1).toArrow()
     if rows.num_rows > max_rows:
-        return checkpointed(df), False
+        table = checkpointed(df)
+        table.settled_large = True
+        return table, False
     table = df.sparkSession.createDataFrame(rows, schema=df.schema)
     table.settled_rows = rows
     return table, True

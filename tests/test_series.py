@@ -232,3 +232,34 @@ def test_global_rank(spark, limit):
     got = global_rank(df, [F.col("v").asc()], max_rows=limit)
     want = df.withColumn("rank", F.rank().over(Window.orderBy("v")))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+@pytest.fixture()
+def nothing_is_small(monkeypatch):
+    """Make every lookup take the way beyond the size limit."""
+    from kilospan.plans import quantiles, ranks, series, sizes
+
+    real = sizes.settle
+    small = lambda df, max_rows=0: real(df, 0)
+    for module in (quantiles, ranks, series, sizes):
+        monkeypatch.setattr(module, "settle", small)
+
+
+def test_cut_series_with_a_large_place_table(nothing_is_small, df, pdf):
+    want = pdf.copy()
+    want["l"] = want.groupby("k").x.shift(24)
+    same(features.lags(df, SERIES[1], "x", {"l": 24}), want)
+    want = pdf.copy()
+    want["target"] = want.groupby("k").x.transform(lambda g: g.shift(-1).ffill())
+    same(features.lead_target(df, SERIES[1], "x"), want)
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_quantiles_with_large_state(nothing_is_small, df, pdf, by):
+    from kilospan.plans.quantiles import exact_quantiles
+
+    got = exact_quantiles(df, {"q": F.col("x")}, [0.25, 0.9], by, max_distinct=30).toPandas()
+    for r in got.itertuples():
+        x = pdf.x if not by else pdf[pdf.k == r.k].x
+        if x.notna().any():
+            assert np.allclose(r.q, x.quantile([0.25, 0.9]))
