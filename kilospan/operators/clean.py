@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilospan.functions import scalars as S
-from kilospan.plans.quantiles import exact_quantiles
+from kilospan.plans.quantiles import MAX_DISTINCT, exact_quantiles
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import keep_keys, left_lookup
 
@@ -121,7 +121,7 @@ def with_fences(df: DataFrame, series: Series, value: str) -> DataFrame:
     """Add ``lower`` and ``upper``. Series of moderate length find them in the
     window exchange they need anyway; longer ones through distributed quantiles."""
     series = series.measured(df)
-    if series.cut:
+    if series.cut or series.largest > MAX_DISTINCT:
         return left_lookup(df, iqr_fences(df, series.keys, value), list(series.keys))
     whole = series.window().rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.plans.quantiles import exact_quantiles
+from kilospan.plans.sizes import left_lookup
 
 
 def reading_counts(df: DataFrame, key: str) -> DataFrame:
@@ -50,7 +51,7 @@ def describe(df: DataFrame, value: str, by=()) -> DataFrame:
     ]
     quartiles = exact_quantiles(df, {"__q": F.col(value)}, [0.25, 0.5, 0.75], by)
     if by:
-        joined = df.groupBy(*by).agg(*row).join(quartiles, by)
+        joined = left_lookup(df.groupBy(*by).agg(*row), quartiles, by)
         q = F.col("__q")
     else:
         found = quartiles.first()["__q"] or [None] * 3

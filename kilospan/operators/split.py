@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.plans.series import Series
+from kilospan.plans.sizes import left_lookup
 
 
 def split_at(df: DataFrame, ts: str, date: str, name: str = "split") -> DataFrame:
@@ -45,9 +46,8 @@ def split_report(df: DataFrame, keys, ts: str, split: str = "split") -> DataFram
         F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
     totals = parts.groupBy(*keys).agg(F.sum("n_rows").alias("__all"))
-    joined = parts.join(totals, list(keys)) if keys else _with_total(parts, totals)
+    if keys:
+        joined = left_lookup(parts, totals, list(keys))
+    else:
+        joined = parts.withColumn("__all", F.lit(totals.first()[0]))
     return joined.withColumn("share", F.col("n_rows") / F.col("__all")).drop("__all")
-
-
-def _with_total(parts: DataFrame, totals: DataFrame) -> DataFrame:
-    return parts.withColumn("__all", F.lit(totals.first()[0]))

@@ -60,7 +60,7 @@ def wide_to_long(spark, d):
     return rounded(sets.wide_to_long(wide, ["ts"]), "load_val")
 
 
-@query("csv_to_parquet")
+@query("csv_to_parquet", "SELECT * FROM events")
 def csv_to_parquet(spark, d):
     return convert_csv(V.table(spark, d, "events"))
 

@@ -20,8 +20,12 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+# Fixed value: the default pattern would cut timestamps to milliseconds.
+NTZ_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("timestampNTZFormat", NTZ_FORMAT).csv(path)
 
 
 def write_parquet(
@@ -67,7 +71,8 @@ def csv_to_parquet(
     start = time.monotonic()
     rows = (
         spark.read.schema(schema).option("header", True)
-        .option("ignoreLeadingWhiteSpace", True).csv(source)
+        .option("ignoreLeadingWhiteSpace", True)
+        .option("timestampNTZFormat", NTZ_FORMAT).csv(source)
     )
     n = write_parquet(rows if select is None else rows.select(*select), target, codec)
     minutes = (time.monotonic() - start) / 60
