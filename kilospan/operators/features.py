@@ -8,56 +8,53 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilospan.plans.series import CARRY, FIRST, Series
+from kilospan.functions.clock import sql_name
+from kilospan.plans.series import CARRY, FIRST, Along, Series
 
 
-def lag_columns(value: str, lags: dict[str, int], w: WindowSpec, fill=None) -> dict[str, Column]:
-    out = {name: F.lag(value, n).over(w) for name, n in lags.items()}
+def lag_columns(value: str, lags: dict[str, int], w: Along, fill=None) -> dict[str, Column]:
+    x = sql_name(value)
+    out = {name: w.sql(f"lag({x}, {int(n)})") for name, n in lags.items()}
     if fill is not None:
-        out = {name: F.coalesce(c, F.lit(fill)) for name, c in out.items()}
-    return out
+        out = {name: f"coalesce({c}, {float(fill)!r}D)" for name, c in out.items()}
+    return {name: F.expr(c) for name, c in out.items()}
 
 
 def rolling_columns(
-    value: str, rows: int, w: WindowSpec, names: tuple[str, str], partial: bool
+    value: str, rows: int, w: Along, names: tuple[str, str], partial: bool
 ) -> dict[str, Column]:
     """Mean and sample deviation of the last ``rows`` rows.
 
     Full windows only, unless ``partial``: then short ones count too and a
     deviation of a single value is 0.
     """
-    frame = w.rowsBetween(-(rows - 1), 0)
-    mean, dev = F.avg(value).over(frame), F.stddev_samp(value).over(frame)
+    x = sql_name(value)
+    mean, dev = (w.sql(f"{f}({x})", 1 - rows) for f in ("avg", "stddev_samp"))
     if partial:
-        return {
-            names[0]: F.coalesce(mean, F.lit(0.0)),
-            names[1]: F.coalesce(dev, F.lit(0.0)),
-        }
-    full = F.count(value).over(frame) == rows
-    return {names[0]: F.when(full, mean), names[1]: F.when(full, dev)}
+        return {n: F.expr(f"coalesce({c}, 0D)") for n, c in zip(names, (mean, dev))}
+    full = f"{w.sql(f'count({x})', 1 - rows)} = {rows}"
+    return {n: F.expr(f"CASE WHEN {full} THEN {c} END") for n, c in zip(names, (mean, dev))}
 
 
-def past_columns(value: str, rows: int, w: WindowSpec, names: tuple[str, str]) -> dict[str, Column]:
+def past_columns(value: str, rows: int, w: Along, names: tuple[str, str]) -> dict[str, Column]:
     """Mean and deviation of up to ``rows`` rows before this one; none gives 0."""
-    frame = w.rowsBetween(-rows, -1)
-    return {
-        names[0]: F.coalesce(F.avg(value).over(frame), F.lit(0.0)),
-        names[1]: F.coalesce(F.stddev_samp(value).over(frame), F.lit(0.0)),
-    }
+    x = sql_name(value)
+    stats = (w.sql(f"{f}({x})", -rows, -1) for f in ("avg", "stddev_samp"))
+    return {n: F.expr(f"coalesce({c}, 0D)") for n, c in zip(names, stats)}
 
 
-def next_columns(ts: str, values: dict[str, str], w: WindowSpec) -> dict[str, Column]:
+def next_columns(ts: str, values: dict[str, str], w: Along) -> dict[str, Column]:
     """The next row's value, the last row repeating its own, for values never NULL."""
-    first = F.lag(ts).over(w).isNull()
-    return {
-        name: F.when(first, F.lead(v).over(w)).otherwise(
-            F.coalesce(F.lead(v).over(w), F.col(v))
-        )
-        for name, v in values.items()
-    }
+    inner = f"{w.sql(f'lag({sql_name(ts)})')} IS NOT NULL"
+    out = {}
+    for name, v in values.items():
+        x = sql_name(v)
+        after = w.sql(f"lead({x})")
+        out[name] = F.expr(f"coalesce({after}, CASE WHEN {inner} THEN {x} END)")
+    return out
 
 
 def lags(df: DataFrame, series: Series, value: str, steps: dict[str, int], fill=None) -> DataFrame:
@@ -101,7 +98,8 @@ def lead_target(df: DataFrame, series: Series, value: str, name: str = "target")
     """Next row's value; where that is missing, the last one known (the first row of
     a series never serves as its own target)."""
 
-    def compute(d: DataFrame, w: WindowSpec) -> DataFrame:
+    def compute(d: DataFrame, along: Along) -> DataFrame:
+        w = along.spec
         d = d.withColumn("__prev", F.lag(series.ts).over(w))
         head = F.col("__prev").isNull() & (
             F.col(FIRST).isNull() | (F.col(series.ts) == F.col(FIRST))

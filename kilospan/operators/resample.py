@@ -72,8 +72,8 @@ def interpolate(df: DataFrame, series: Series, value: str, step_seconds: int) ->
         rows = left_lookup(rows, ends, keys)
         pairs = series.over(_known(rows, ts, value, step_seconds), _next_known(ts, value), after=1)
     else:
-        w = series.window()
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        w = series.along()
+        whole = w.spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         rows = rows.withColumns(
             {"__first_ts": F.min(ts).over(whole), "__last_ts": F.max(ts).over(whole)}
         )
@@ -105,5 +105,6 @@ def _known(rows, ts: str, value: str, step_seconds: int) -> DataFrame:
 
 def _next_known(ts: str, value: str):
     return lambda d, w: d.withColumns(
-        {"__nt": F.lead(ts).over(w), "__nx": F.lead(value).over(w)}
+        {"__nt": F.expr(w.sql(f"lead({sql_name(ts)})")),
+         "__nx": F.expr(w.sql(f"lead({sql_name(value)})"))}
     )

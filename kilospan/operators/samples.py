@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.functions.calendar import basic_vector
-from kilospan.functions.clock import step_of_day
+from kilospan.functions.clock import sql_name, step_of_day
 from kilospan.operators.clean import between_dates
 from kilospan.operators.features import past_stats, same_slot_stats
 from kilospan.operators.split import split_by_calendar
-from kilospan.plans.series import Series
+from kilospan.plans.series import Along, Series
 from kilospan.plans.sizes import greatest_in, keep_keys, settle
 
 HISTORY_MARGIN = 10
@@ -28,10 +28,9 @@ def lookback_arrays(
     """
     inputs = {f"__in_{n}": c for n, c in arrays.items()}
 
-    def compute(d: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(-rows, -1)
+    def compute(d: DataFrame, w: Along) -> DataFrame:
         return d.withColumns(
-            {n: F.collect_list(f"__in_{n}").over(frame) for n in arrays}
+            {n: F.expr(w.sql(f"collect_list({sql_name(f'__in_{n}')})", -rows, -1)) for n in arrays}
         ).where(F.size(next(iter(arrays))) == rows)
 
     out = series.over(df.withColumns(inputs), compute, before=rows)

@@ -30,6 +30,35 @@ START, TOTAL, FIRST, CARRY = "__start", "__total", "__first", "__carry"
 WIDEST = "__widest"
 
 
+@dataclass(frozen=True)
+class Along:
+    """The ordered window of a series, as SQL text and as a specification.
+
+    A column written as text costs the driver one call instead of one per part.
+    """
+
+    by: tuple[str, ...]
+    ts: str
+
+    def sql(self, function: str, first: int | None = None, last: int = 0) -> str:
+        """``function`` over the series, on the rows ``first`` to ``last`` if given."""
+        keys = ", ".join(sql_name(k) for k in self.by)
+        frame = ""
+        if first is not None:
+            frame = f" ROWS BETWEEN {_edge(first)} AND {_edge(last)}"
+        return f"{function} OVER (PARTITION BY {keys} ORDER BY {sql_name(self.ts)}{frame})"
+
+    @property
+    def spec(self) -> WindowSpec:
+        return Window.partitionBy(*self.by).orderBy(self.ts)
+
+
+def _edge(rows: int) -> str:
+    if rows == 0:
+        return "CURRENT ROW"
+    return f"{abs(rows)} {'PRECEDING' if rows < 0 else 'FOLLOWING'}"
+
+
 @dataclass(frozen=True)
 class Series:
     """Which columns make a series, and how long the longest one is.
@@ -91,13 +120,16 @@ class Series:
             return df
         return df.repartition(*self.keys)
 
+    def along(self, *extra: str) -> Along:
+        return Along((*self.keys, *extra), self.ts)
+
     def window(self, *extra: str) -> WindowSpec:
-        return Window.partitionBy(*self.keys, *extra).orderBy(self.ts)
+        return self.along(*extra).spec
 
     def over(
         self,
         df: DataFrame,
-        compute: Callable[[DataFrame, WindowSpec], DataFrame],
+        compute: Callable[[DataFrame, Along], DataFrame],
         *,
         before: int = 0,
         after: int = 0,
@@ -117,12 +149,13 @@ class Series:
                     {CARRY: F.lit(None).cast(_carry_type(df, series.ts, carry)),
                      FIRST: F.lit(None).cast(df.schema[series.ts].dataType)}
                 )
-            return compute(df, series.window()).drop(CARRY, FIRST)
+            out = compute(df, series.along())
+            return out if carry is None else out.drop(CARRY, FIRST)
         if series.step_seconds and carry is None:
             blocks = series._grid_blocks(df, before, after)
         else:
             blocks = series._counted_blocks(df, before, after, carry)
-        out = compute(blocks, series.window(BLOCK))
+        out = compute(blocks, series.along(BLOCK))
         return out.where(F.col(OWN)).drop(BLOCK, OWN, CARRY, FIRST)
 
     def positions(self, df: DataFrame, pos: str = "pos", total: str = "n") -> DataFrame:
