@@ -10,13 +10,11 @@ from __future__ import annotations
 
 import json
 import os
-import re
 
 import numpy as np
 
 CACHE_WORDS = 600_000
 FILL = 2048
-_ODD_SPACE = re.compile(r"\s\s|^\s|\s$|[^\S \n]")
 _CODERS: dict[tuple[str, bool], "Coder"] = {}
 
 
@@ -27,6 +25,11 @@ def coder(path: str, places: bool = False) -> "Coder":
     return _CODERS[path, places]
 
 
+def _plainly_spaced(text: str) -> bool:
+    """All white space is single blanks and line breaks between other characters."""
+    return len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\0" not in text
+
+
 class Coder:
     """``ids(text)``: bytes of little-endian 32-bit ids. With ``places``, each id is
     followed by the first and end character of its token."""
@@ -57,9 +60,8 @@ class Coder:
             return [self._whole(t) for t in texts]
         flat, ends = [], []
         for t in texts:
-            if t and _ODD_SPACE.search(t) is None:
-                flat += t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0") \
-                    if "\0" not in t else [None]
+            if t and _plainly_spaced(t):
+                flat += t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
             elif t:
                 flat.append(None)
             ends.append(len(flat))
@@ -98,15 +100,14 @@ class Coder:
             if len(cuts) != len(part):
                 self.known.update((w, self._whole(w)) for w in part)
                 continue
-            packed, at, base = ids.tobytes(), 0, 0
-            places = made.offsets if self.places else None
+            if self.places:  # character spans, counted from the first of the word
+                size = np.array([len(w) + 1 for w in part])
+                count = np.diff(np.concatenate([[-1], cuts]))
+                base = np.repeat(np.cumsum(size) - size, count)
+                ids = np.column_stack([ids, np.array(made.offsets) - base[:, None]])
+            packed, at = ids.astype("<u4").tobytes(), 0
             for w, cut in zip(part, cuts.tolist()):
-                if places is None:
-                    self.known[w] = packed[4 * at : 4 * cut]
-                else:
-                    spans = [(a - base, b - base) for a, b in places[at:cut]]
-                    self.known[w] = self._pack(made.ids[at:cut], spans)
-                    base += len(w) + 1
+                self.known[w] = packed[self.width * at : self.width * cut]
                 at = cut + 1
 
     def _pack(self, ids, spans) -> bytes:
