@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilospan.llm import decontam, packing, token_counts, token_files
+from kilospan.llm import decontam, near_dup, packing, substrings, token_counts, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -41,6 +41,38 @@ def best_fit_packing(spark, d):
     )
 
 
+@query("op3_substring_dedup")
+def substring_dedup(spark, d):
+    return substrings.repeated_spans(table(spark, d, "documents")).drop("row_tag")
+
+
+NEAR_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+  FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id != y.doc_id GROUP BY 1, 2),
+edges AS (
+  SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+  WHERE 100 * common >= 85 * (p.n + q.n - common)),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM words
+  UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a),
+label AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM label LEFT JOIN sizes USING (doc_id)"""
+
+
+@query("op4_minhash_near_dedup", NEAR_SQL)
+def minhash_near_dedup(spark, d):
+    return near_dup.near_duplicates(table(spark, d, "documents"))
+
+
 @query("op5_token_files")
 def token_output(spark, d):
     docs = table(spark, d, "documents")
