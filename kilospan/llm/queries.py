@@ -48,8 +48,8 @@ def substring_dedup(spark, d):
 
 NEAR_SQL = r"""
 WITH RECURSIVE words AS (
-  SELECT doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM documents),
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 shingles AS (
   SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
   FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM words WHERE len(w) > 0)),
