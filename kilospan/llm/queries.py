@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilospan.llm import decontam, near_dup, packing, substrings, token_counts, token_files
+from kilospan.llm import (
+    decontam, near_dup, packing, substrings, token_counts, token_files, topk,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -127,3 +129,22 @@ def benchmark_decontamination(spark, d):
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+TOP_SQL = """
+WITH q AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.v::DOUBLE[], b.v::DOUBLE[])::BIGINT AS score
+  FROM q a JOIN q b ON a.vec_id != b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 50 = 0)
+SELECT query_id, (row_number() OVER w)::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 5"""
+
+
+@query("op10_top_k_search", TOP_SQL)
+def top_k_search(spark, d):
+    vectors = topk.kept_vectors(table(spark, d, "embeddings"))
+    return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)

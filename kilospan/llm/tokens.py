@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import islice
 
 import numpy as np
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 700_000
 FILL = 2048
 _CODERS: dict[tuple[str, bool], "Coder"] = {}
 
@@ -70,8 +71,9 @@ class Coder:
         if None in got:
             new = {w for w, g in zip(flat, got) if g is None and w is not None}
             if len(known) + len(new) > self.cache_words:
-                known.clear()
-                new = {w for w in flat if w is not None}
+                # the words met first are the frequent ones
+                self.known = known = dict(islice(known.items(), self.cache_words * 2 // 3))
+                new = {w for w in flat if w is not None and w not in known}
             self._learn(list(new))
             got = list(map(known.get, flat))
         out, lo = [], 0
