@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.llm import (
-    decontam, near_dup, packing, substrings, token_counts, token_files, topk,
+    decontam, langid, near_dup, packing, substrings, token_counts, token_files, topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,6 +84,14 @@ def token_output(spark, d):
     return token_files.read_back(manifest)
 
 
+@query("op6_language_id")
+def language_id(spark, d):
+    docs = table(spark, d, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    found = langid.identify(docs, learn_from=~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_section_tokens")
 def section_token_counts(spark, d):
     return token_counts.section_tokens(table(spark, d, "documents"), tokenizer_path())
