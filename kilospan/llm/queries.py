@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.llm import (
-    decontam, langid, near_dup, packing, substrings, token_counts, token_files, topk,
+    decontam, langid, near_dup, packing, pages, substrings, token_counts, token_files, topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,6 +43,13 @@ def best_fit_packing(spark, d):
     )
 
 
+@query("op2_html_extraction")
+def html_extraction(spark, d):
+    return pages.extract(table(spark, d, "pages")).withColumn(
+        "n_chars", F.char_length("text").cast("bigint")
+    )
+
+
 @query("op3_substring_dedup")
 def substring_dedup(spark, d):
     return substrings.repeated_spans(table(spark, d, "documents")).drop("row_tag")
