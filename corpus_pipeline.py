@@ -1,12 +1,71 @@
-"""From raw documents to packed sequences: five stages, each a written table."""
+"""From raw documents to packed sequences: five stages, each a written table.
+
+Every stage reads what its predecessor kept. All but the last return the columns of
+``documents``; the last returns the packing. A row's identity is its id and text, so
+repeated rows stay repeated rows until near-duplicate removal, which keeps one of them.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kilospan.llm import decontam, langid, near_dup, packing, substrings
+from kilospan.llm.common import scratch
+from kilospan.llm.queries import table, tokenizer_path
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents whose text is in none of the languages; adds nothing. The model
+    learns from the labels of its input."""
+    found = langid.identify(docs).where("not rejected").select(
+        F.col("doc_id").alias("__id"), F.col("row_tag").alias("__tag")
+    ).distinct()
+    same = docs["doc_id"].eqNullSafe(found["__id"]) & (F.xxhash64(docs["text"]) == found["__tag"])
+    return docs.join(found, same, "left_semi")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group: the one with the least id. Documents without words
+    or without an id are in no group and stay. Equal rows are one document."""
+    found = near_dup.near_duplicates(docs).where("not kept").select(
+        F.col("doc_id").alias("__id")
+    ).distinct()
+    return docs.join(found, docs["doc_id"] == found["__id"], "left_anti")
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts repeated passages out of all but the first document; n_chars follows."""
+    return substrings.without_spans(docs, substrings.repeated_spans(docs))
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
+    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__id")).distinct()
+    return docs.join(hit, docs["doc_id"] == hit["__id"], "left_anti")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of at most 2048 ids: doc_id, piece, start, length, ids_crc32, sequence_id,
+    offset."""
+    return packing.pack_documents(docs, tokenizer_path())
+
 
-STAGES = []
+STAGES = [
+    ("language_id", language_stage),
+    ("near_dedup", near_duplicate_stage),
+    ("substring_dedup", substring_stage),
+    ("decontamination", decontamination_stage),
+    ("packing", packing_stage),
+]
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        path = scratch(spark, name)
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+    return docs

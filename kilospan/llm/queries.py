@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.llm import (
-    decontam, langid, near_dup, packing, pages, substrings, token_counts, token_files, topk,
+    decontam, langid, licenses, near_dup, packing, pages, substrings, token_counts, token_files,
+    topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,6 +100,11 @@ def language_id(spark, d):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query("op7_license_scan")
+def license_scan(spark, d):
+    return licenses.license_paragraphs(table(spark, d, "documents"))
+
+
 @query("op8_section_tokens")
 def section_token_counts(spark, d):
     return token_counts.section_tokens(table(spark, d, "documents"), tokenizer_path())
