@@ -1,8 +1,7 @@
 """From raw documents to packed sequences: five stages, each a written table.
 
 Every stage reads what its predecessor kept. All but the last return the columns of
-``documents``; the last returns the packing. A row's identity is its id and text, so
-repeated rows stay repeated rows until near-duplicate removal, which keeps one of them.
+``documents``; the last returns the packing. Rows that share an id stay or go together.
 """
 
 from __future__ import annotations
@@ -27,7 +26,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: the one with the least id. Documents without words
-    or without an id are in no group and stay. Equal rows are one document."""
+    or without an id are in no group and stay."""
     found = near_dup.near_duplicates(docs).where("not kept").select(
         F.col("doc_id").alias("__id")
     ).distinct()

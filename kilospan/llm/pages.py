@@ -140,6 +140,11 @@ class _Builder(HTMLParser):
         if node is not None and node.parent is not None:
             self.at = node.parent
 
+    def parse_marked_section(self, i, report=1):
+        """What begins with <![ is a comment up to the next > in HTML."""
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
     def handle_data(self, data):
         if not self.silent:
             self.at.open_text.append(data)
@@ -148,11 +153,8 @@ class _Builder(HTMLParser):
 def parse(html: str) -> _Builder:
     """The block tree of any text; broken markup ends where the text ends."""
     builder = _Builder()
-    try:
-        builder.feed(html)
-        builder.close()
-    except (AssertionError, ValueError):  # markup declarations the parser cannot read
-        builder.feed(re.sub(r"<!\[?", "&lt;!", builder.rawdata)) if builder.rawdata else None
+    builder.feed(html)
+    builder.close()
     builder._flush()
     return builder
 

@@ -150,9 +150,10 @@ def repeated_spans(
     inside = units.where("again").select(*columns[:-1], F.col("doc_id").alias("first_doc_id"))
     home = ["doc_id", "row_tag"]
     order = Window.partitionBy(*home).orderBy("unit")
-    islands = across.union(inside).withColumn(
-        "island", F.col("unit") - F.row_number().over(order)
+    once = across.union(inside).withColumn("last", F.lag("unit").over(order)).where(
+        "last is null or last != unit"  # a repeated row has its units again
     )
+    islands = once.withColumn("island", F.col("unit") - F.row_number().over(order))
     return (
         islands.groupBy(*home, "island")
         .agg(
