@@ -55,13 +55,5 @@ def floor_to_step(ts: str, step_minutes: int) -> Column:
     return plus_seconds(f"cast(to_date({sql_name(ts)}) AS timestamp_ntz)", seconds)
 
 
-def step_start(ts: str, step_minutes: int) -> Column:
-    """Like :func:`floor_to_step` by plain arithmetic on the stored microseconds.
-
-    Rows without a time are dropped, and a projection may hold only one of these.
-    """
-    return F.window(ts, f"{step_minutes} minutes")["start"]
-
-
 def plus_seconds(ts: str, seconds: str | int) -> Column:
     return F.expr(f"timestampadd(SECOND, {seconds}, {sql_name(ts)})")

@@ -14,6 +14,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _scored(y, p) -> Column:
+    """The actual where there is a prediction to hold it against."""
+    return F.when(_col(p).isNotNull(), _col(y))
+
+
 def mae(y, p) -> Column:
     return F.avg(F.abs(_col(y) - _col(p)))
 
@@ -32,23 +37,24 @@ def mape(y, p, eps: float = MAPE_EPSILON) -> Column:
 
 
 def r2(y, p) -> Column:
-    """1 - SSE/SST; a constant actual gives 1 if predicted perfectly, else 0."""
-    y, p = _col(y), _col(p)
+    """1 - SSE/SST over rows that have both values; a constant actual gives 1 if
+    predicted perfectly, else 0, and no such row at all gives NULL."""
+    y, p = _scored(y, p), _col(p)
     sse = F.sum((y - p) * (y - p))
     sst = F.var_pop(y) * F.count(y)
-    return F.when(sst > 0, 1 - sse / sst).when(sse == 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.when(sst > 0, 1 - sse / sst).when(sse == 0, F.lit(1.0)).when(sse > 0, F.lit(0.0))
 
 
 def all_errors(y, p, places: int | None = 4) -> dict[str, Column]:
     """Every error as one set of aggregates, all found in the same pass."""
     cols = {
-        "n": F.count(F.lit(1)),
+        "n": F.count(_col(y) - _col(p)),
         "mae": mae(y, p),
         "mse": mse(y, p),
         "rmse": rmse(y, p),
         "mape": mape(y, p),
         "r2": r2(y, p),
-        "n_clamped": F.count_if(F.abs(_col(y)) < MAPE_EPSILON),
+        "n_clamped": F.count_if(F.abs(_scored(y, p)) < MAPE_EPSILON),
     }
     if places is None:
         return cols

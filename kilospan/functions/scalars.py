@@ -75,10 +75,14 @@ def rounded(x: str, places: int) -> Column:
     """Round a column half away from zero in binary arithmetic.
 
     ``round`` on a DOUBLE goes through decimals and costs more than the features it
-    would round. Meant for values below 10^18 / 10^places.
+    would round. From 2^52 / 10^places on a DOUBLE has no such places left, and the
+    value stays as it is.
     """
     x, unit = sql_name(x), f"1e{places}D"
-    return F.expr(f"signum({x}) * floor(abs({x}) * {unit} + 0.5D) / {unit} + 0D")
+    return F.expr(
+        f"CASE WHEN abs({x}) * {unit} < 4503599627370496D "
+        f"THEN signum({x}) * floor(abs({x}) * {unit} + 0.5D) / {unit} + 0D ELSE {x} END"
+    )
 
 
 def outside(x: str, lower: str, upper: str) -> Column:

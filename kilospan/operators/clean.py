@@ -12,6 +12,7 @@ from kilospan.plans.quantiles import MAX_DISTINCT, exact_quantiles
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import keep_keys, left_lookup
 
+# Quantile of the cap, width of the fence, upper bound of a flat table.
 CAP_QUANTILE = 0.999
 FENCE_WIDTH = 1.5
 FALLBACK_MAX = 10.0
@@ -69,7 +70,8 @@ def scaler_bounds(
     got = exact_quantiles(df, {"max": S.clip(value, lower=0.0)}, [q], at_most=at_most)
     top = F.col("max")[0]
     if fallback is not None:
-        top = F.when(top <= 0, F.lit(fallback)).otherwise(top)
+        # neither a flat table nor one without values has a width of its own
+        top = F.when(top > 0, top).otherwise(F.lit(fallback))
     return got.select(F.lit(0.0).alias("min"), top.alias("max"))
 
 
@@ -79,11 +81,6 @@ def fetch_bounds(table: DataFrame) -> Bounds:
     return Bounds(row["min"], row["max"])
 
 
-def sampled_bounds(df: DataFrame, value: str, fraction: float, seed: int = 42) -> DataFrame:
-    """Bounds estimated from a sample of the rows."""
-    return scaler_bounds(df.sample(fraction, seed), value)
-
-
 def clip_and_scale(df: DataFrame, value: str, scaled: str, b: Bounds) -> DataFrame:
     clipped = df.withColumn(value, S.clip(value, b.lo, b.hi))
     return clipped.withColumn(scaled, S.minmax(value, b.lo, b.hi))

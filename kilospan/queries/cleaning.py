@@ -35,7 +35,7 @@ def entity_series_query(spark, d):
 
 @query(
     "profile_table",
-    """SELECT count(*) AS n_rows, 6 AS n_columns, round(avg(value), 6) AS mean,
+    """SELECT count(value) AS n_rows, 6 AS n_columns, round(avg(value), 6) AS mean,
   round(stddev_samp(value), 6) AS std, min(value) AS min,
   round(quantile_cont(value, 0.25), 6) AS p25, round(quantile_cont(value, 0.5), 6) AS p50,
   round(quantile_cont(value, 0.75), 6) AS p75, max(value) AS max
@@ -50,13 +50,13 @@ def profile_table(spark, d):
 
 @query(
     "wide_to_long",
-    f"WITH {V.SQL_REGION_HOURLY} SELECT ts, region, round(load_mw, 6) AS load_val FROM region_hourly",
+    f"WITH {V.SQL_REGION_HOURLY} SELECT ts, region, round(load_mw, 6) AS load_val FROM region_hourly "
+    "WHERE load_mw IS NOT NULL",
 )
 def wide_to_long(spark, d):
-    wide = (
-        V.region_hourly(spark, d).groupBy("ts").pivot("region", V.REGION_NAMES)
-        .agg(F.first("load_mw"))
-    )
+    hourly = V.region_hourly(spark, d)
+    regions = sorted(r[0] for r in hourly.select("region").distinct().collect() if r[0] is not None)
+    wide = hourly.groupBy("ts").pivot("region", regions).agg(F.first("load_mw"))
     return rounded(sets.wide_to_long(wide, ["ts"]), "load_val")
 
 
@@ -84,7 +84,7 @@ def dedupe_keep_first(spark, d):
 
 @query(
     "clip_negative",
-    f"WITH {V.SQL_METER_RAW} SELECT customer_id, ts, greatest(load_val, 0) AS load_val, seq FROM meter_raw",
+    f"WITH {V.SQL_METER_RAW} SELECT customer_id, ts, CASE WHEN load_val IS NOT NULL THEN greatest(load_val, 0) END AS load_val, seq FROM meter_raw",
 )
 def clip_negative(spark, d):
     return clean.clip_columns(V.meter_raw(spark, d), ["load_val"], lower=0.0)
@@ -110,7 +110,7 @@ def cap_p999(spark, d):
 
 @query(
     "clip_bounds",
-    f"WITH {V.SQL_METER_RAW} SELECT customer_id, ts, least(greatest(load_val, 0), 100) AS load_val, seq FROM meter_raw",
+    f"WITH {V.SQL_METER_RAW} SELECT customer_id, ts, CASE WHEN load_val IS NOT NULL THEN least(greatest(load_val, 0), 100) END AS load_val, seq FROM meter_raw",
 )
 def clip_bounds(spark, d):
     return clean.clip_columns(V.meter_raw(spark, d), ["load_val"], 0.0, 100.0)
@@ -118,7 +118,7 @@ def clip_bounds(spark, d):
 
 SQL_BOUNDS = """bounds AS (
   SELECT 0.0::DOUBLE AS lo, CASE WHEN m <= 0 THEN 10.0 ELSE m END AS hi
-  FROM (SELECT quantile_cont(greatest(load_val, 0), 0.999) AS m FROM meter_raw))"""
+  FROM (SELECT quantile_cont(greatest(load_val, 0), 0.999) AS m FROM meter_raw WHERE load_val IS NOT NULL))"""
 
 
 @query(
@@ -129,11 +129,6 @@ def scaler_bounds(spark, d):
     return rounded(clean.scaler_bounds(V.meter_raw(spark, d), "load_val"), "max")
 
 
-@query("bounds_sampled")
-def bounds_sampled(spark, d):
-    return clean.sampled_bounds(V.meter_raw(spark, d), "load_val", 0.25)
-
-
 SQL_UNION = """regions AS (
   SELECT event_type AS region, date_trunc('day', ts) AS ts, sum(value) AS load_val
   FROM events GROUP BY 1, 2
@@ -145,7 +140,7 @@ SQL_UNION = """regions AS (
 @query(
     "scaler_bounds_all",
     f"""WITH {SQL_UNION} SELECT 0.0::DOUBLE AS min,
-  round(quantile_cont(greatest(load_val, 0), 0.999), 4) AS max FROM regions""",
+  round(quantile_cont(greatest(load_val, 0), 0.999), 4) AS max FROM regions WHERE load_val IS NOT NULL""",
 )
 def scaler_bounds_all(spark, d):
     both = sets.union_all([V.region_daily(spark, d), V.segment_daily(spark, d)])
@@ -184,8 +179,8 @@ def iqr_outliers(spark, d):
 @query(
     "minmax_scale",
     f"""WITH {V.SQL_METER_RAW}, {SQL_BOUNDS}
-SELECT customer_id, ts, seq, round(least(greatest(load_val, lo), hi), 6) AS load_val,
-  round((least(greatest(load_val, lo), hi) - lo) / (hi - lo), 6) AS load_scaled
+SELECT customer_id, ts, seq, round(CASE WHEN load_val IS NOT NULL THEN least(greatest(load_val, lo), hi) END, 6) AS load_val,
+  round(CASE WHEN load_val IS NOT NULL THEN (least(greatest(load_val, lo), hi) - lo) / (hi - lo) END, 6) AS load_scaled
 FROM meter_raw, bounds""",
 )
 def minmax_scale(spark, d):
@@ -212,7 +207,7 @@ def minmax_scale_self(spark, d):
 @query(
     "inverse_scale",
     f"""WITH {V.SQL_METER_RAW}
-SELECT customer_id, ts, seq, round(greatest(load_val / 490.0 * (2.929 - 0.5) + 0.5, 0), 6) AS load_kwh
+SELECT customer_id, ts, seq, round(CASE WHEN load_val IS NOT NULL THEN greatest(load_val / 490.0 * (2.929 - 0.5) + 0.5, 0) END, 6) AS load_kwh
 FROM meter_raw""",
 )
 def inverse_scale(spark, d):
@@ -398,8 +393,9 @@ def rows_removed(spark, d):
 @query(
     "prep_report",
     f"""WITH {V.SQL_REGION_FIRST}, {V.SQL_SPINE}, {V.SQL_FILL}, {SQL_FENCES},
-raw AS (SELECT event_type AS region, count(*) AS rows_in,
-    count(*) - count(DISTINCT date_trunc('hour', ts)) AS duplicates FROM events GROUP BY 1),
+raw AS (SELECT event_type AS region, count(*) AS rows_in, count(*)
+    - count(DISTINCT coalesce(date_trunc('hour', ts), TIMESTAMP '1900-01-01')) AS duplicates
+  FROM events GROUP BY 1),
 gaps AS (SELECT region, (date_diff('hour', min(ts), max(ts)) + 1 - count(*))::BIGINT AS missing_steps
   FROM region_hourly GROUP BY 1),
 outs AS (SELECT f.region, sum((load_mw < lower OR load_mw > upper)::INTEGER)::BIGINT AS outliers,

@@ -64,7 +64,8 @@ def cyclical_features(spark, d):
 
 @query(
     "one_hot_slot",
-    f"""SELECT event_id, 1 AS n_set, {SQL_SLOT} + 1 AS slot_at, isodow(ts)::INTEGER AS weekday_at
+    f"""SELECT event_id, CASE WHEN ts IS NOT NULL THEN 1 END AS n_set, coalesce({SQL_SLOT} + 1, 0) AS slot_at,
+  coalesce(isodow(ts)::INTEGER, 0) AS weekday_at
 FROM events""",
 )
 def one_hot_slot(spark, d):
@@ -84,7 +85,7 @@ def one_hot_slot(spark, d):
 @query(
     "basic_vector",
     f"""SELECT event_id, 57 AS size, round(value, 6) AS load,
-  {SQL_SLOT} + 2 AS slot_at, (isodow(ts) - 1 + 50)::INTEGER AS weekday_at,
+  coalesce({SQL_SLOT} + 2, 1) AS slot_at, coalesce((isodow(ts) - 1 + 50)::INTEGER, 49) AS weekday_at,
   (isodow(ts) >= 6)::INTEGER::DOUBLE AS weekend FROM events""",
 )
 def basic_vector(spark, d):
@@ -322,7 +323,7 @@ stats AS (SELECT customer_id, ts, load_val::FLOAT::DOUBLE AS load, (isodow(ts) >
   FROM kept WINDOW p AS (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING),
     q AS (PARTITION BY customer_id, slot ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
 seq AS (SELECT customer_id, ts, load AS y, count(*) OVER f AS n,
-  sum(load + 2 + wk) OVER f AS basic_sum, sum(m1 + s1 + m2 + s2) OVER f AS derived_sum
+  CASE WHEN count(load) OVER f = 12 THEN sum(load + 2 + wk) OVER f END AS basic_sum, sum(m1 + s1 + m2 + s2) OVER f AS derived_sum
   FROM stats WINDOW f AS (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)),
 lab AS (SELECT *, {SQL_PART} AS split FROM seq WHERE n = 12)
 SELECT customer_id, ts, split, round(y, 3) AS y, 12 AS n_steps, 57 AS n_basic, 4 AS n_derived,
@@ -412,8 +413,8 @@ ROUNDED_UNIFIED = ROUNDED_SIMPLE + [
     "lag_1", "lag_2", "lag_day", "lag_week", "rolling_mean", "rolling_std",
 ]
 def _sql_scaled(table: str, slot: str, day: int, week: int, rolled: int) -> str:
-    return f"""scaled AS (SELECT customer_id, ts AS datetime, least(greatest(load_val, lo), hi) AS load_val,
-  (least(greatest(load_val, lo), hi) - lo) / (hi - lo) AS load_scaled,
+    return f"""scaled AS (SELECT customer_id, ts AS datetime, CASE WHEN load_val IS NOT NULL THEN least(greatest(load_val, lo), hi) END AS load_val,
+  CASE WHEN load_val IS NOT NULL THEN (least(greatest(load_val, lo), hi) - lo) / (hi - lo) END AS load_scaled,
   {slot} AS step_of_day, (isodow(ts) - 1)::INTEGER AS day_of_week,
   month(ts)::INTEGER AS month, (isodow(ts) >= 6)::INTEGER AS is_weekend
   FROM {table}, bounds),
@@ -471,7 +472,8 @@ def unified_features_cut(spark, d):
 SQL_NUMBERED = f"""{V.SQL_REGION_HOURLY},
 numbered AS (SELECT dense_rank() OVER (ORDER BY region)::INTEGER AS customer_id, ts, load_mw AS load_val
   FROM region_hourly),
-bounds AS (SELECT 0.0::DOUBLE AS lo, quantile_cont(greatest(load_val, 0), 0.999) AS hi FROM numbered)"""
+bounds AS (SELECT 0.0::DOUBLE AS lo, quantile_cont(greatest(load_val, 0), 0.999) AS hi FROM numbered
+  WHERE load_val IS NOT NULL)"""
 
 
 @query(
@@ -513,7 +515,7 @@ _out = ", ".join(f"round({c}, 6) AS {c}" for c in KWH)
 
 @query(
     "meter_clean",
-    f"""WITH {V.SQL_METER_WIDE}, firsts AS (SELECT * FROM meter_wide
+    f"""WITH {V.SQL_METER_WIDE}, firsts AS (SELECT * FROM meter_wide WHERE ts IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY customer_id, ts ORDER BY seq) = 1),
 clipped AS (SELECT customer_id, ts, {_clipped} FROM firsts),
 caps AS (SELECT {_caps} FROM clipped),

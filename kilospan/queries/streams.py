@@ -33,9 +33,9 @@ SQL_CLOSED = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 HOUR FROM
 
 @query(
     "stream_clean",
-    """SELECT event_id, ts, least(greatest(value, 0), 400) AS value,
-  round(least(greatest(value, 0), 400) / 400, 6) AS value_scaled,
-  ((hour(ts) * 60 + minute(ts)) // 30)::INTEGER AS step_of_day FROM events""",
+    """SELECT event_id, ts, CASE WHEN value IS NOT NULL THEN least(greatest(value, 0), 400) END AS value,
+  round(CASE WHEN value IS NOT NULL THEN least(greatest(value, 0), 400) / 400 END, 6) AS value_scaled,
+  ((hour(ts) * 60 + minute(ts)) // 30)::INTEGER AS step_of_day FROM events WHERE ts IS NOT NULL""",
 )
 def stream_clean(spark, d):
     rows = _events(spark, d).select("event_id", "ts", "value")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import step_start
+from kilospan.functions.clock import floor_to_step
 from kilospan.functions.scalars import rounded as half_away
 from kilospan.operators.clean import keep_first
 from kilospan.operators.forecast import naive_forecasts
@@ -25,7 +25,6 @@ KWH_OF_EVENT = {
     "net_generation": "signup",
     "other": "error",
 }
-REGION_NAMES = sorted(KWH_OF_EVENT.values())
 
 
 # Declared, so that opening a table costs no schema-inference job.
@@ -44,10 +43,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def region_hourly(spark, d) -> DataFrame:
-    """Load per event type and hour; hours without events are gaps."""
+    """Load per event type and hour; hours without events are gaps. A load has a time."""
     return (
         table(spark, d, "events")
-        .groupBy(F.col("event_type").alias("region"), step_start("ts", 60).alias("ts"))
+        .dropna(subset=["ts"])
+        .groupBy(F.col("event_type").alias("region"), floor_to_step("ts", 60).alias("ts"))
         .agg(F.sum("value").alias("load_mw"))
     )
 
@@ -56,7 +56,7 @@ def region_raw(spark, d) -> DataFrame:
     """Single events as hourly readings with repeats."""
     return table(spark, d, "events").select(
         F.col("event_type").alias("region"),
-        step_start("ts", 60).alias("ts"),
+        floor_to_step("ts", 60).alias("ts"),
         F.col("value").alias("load_mw"),
         F.col("event_id").alias("seq"),
     )
@@ -66,21 +66,21 @@ def meter_raw(spark, d) -> DataFrame:
     """Half-hourly readings per user, with repeats and negative values."""
     return table(spark, d, "events").select(
         F.col("user_id").cast("int").alias("customer_id"),
-        step_start("ts", 30).alias("ts"),
+        floor_to_step("ts", 30).alias("ts"),
         (F.col("value") - 10.0).alias("load_val"),
         F.col("event_id").alias("seq"),
     )
 
 
 def meter(spark, d) -> DataFrame:
-    return keep_first(meter_raw(spark, d), ["customer_id", "ts"], "seq")
+    return keep_first(meter_raw(spark, d).dropna(subset=["ts"]), ["customer_id", "ts"], "seq")
 
 
 def meter_wide(spark, d) -> DataFrame:
     events = table(spark, d, "events")
     return events.select(
         F.col("user_id").cast("int").alias("customer_id"),
-        step_start("ts", 30).alias("ts"),
+        floor_to_step("ts", 30).alias("ts"),
         F.col("event_id").alias("seq"),
         *[
             F.when(F.col("event_type") == e, F.col("value") - 10.0).alias(c)
@@ -144,11 +144,11 @@ def rounded(df: DataFrame, *columns: str, places: int = 6) -> DataFrame:
 
 SQL_REGION_HOURLY = """region_hourly AS (
   SELECT event_type AS region, date_trunc('hour', ts) AS ts, sum(value) AS load_mw
-  FROM events GROUP BY 1, 2)"""
+  FROM events WHERE ts IS NOT NULL GROUP BY 1, 2)"""
 
 SQL_REGION_FIRST = """region_hourly AS (
   SELECT event_type AS region, date_trunc('hour', ts) AS ts, value AS load_mw
-  FROM events
+  FROM events WHERE ts IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY event_id) = 1)"""
 
 SQL_SPINE = """ends AS (
@@ -187,7 +187,7 @@ SQL_METER_RAW = """meter_raw AS (
 
 SQL_METER = f"""{SQL_METER_RAW},
 meter AS (
-  SELECT * FROM meter_raw
+  SELECT * FROM meter_raw WHERE ts IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY customer_id, ts ORDER BY seq) = 1)"""
 
 SQL_METER_WIDE = (
