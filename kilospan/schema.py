@@ -65,6 +65,7 @@ METER_RENAMES = {
     "GENERAL_SUPPLY_KWH": "load_val",
 }
 
+# The 20 columns of the feature table, in order.
 UNIFIED_SCHEMA = T.StructType(
     [
         T.StructField("customer_id", T.IntegerType()),
@@ -108,10 +109,12 @@ def narrowed(df: DataFrame, schema: T.StructType = UNIFIED_SCHEMA) -> DataFrame:
 
 
 def pick_column(columns: list[str], patterns: tuple[str, ...], default=None) -> str:
-    """First column whose lower-cased name contains one of ``patterns``."""
-    for name in columns:
-        if any(p.lower() in name.lower() for p in patterns):
-            return name
+    """The column whose lower-cased name contains one of ``patterns``; several are refused."""
+    found = [c for c in columns if any(p.lower() in c.lower() for p in patterns)]
+    if len(found) > 1:
+        raise ValueError(f"several columns of {columns} match {patterns}: {found}")
+    if found:
+        return found[0]
     if default is not None and default in columns:
         return default
     raise ValueError(f"no column of {columns} matches {patterns}")

@@ -14,35 +14,84 @@ from kilospan.operators.sets import union_all, wide_to_long
 from kilospan.schema import KWH_COLUMNS, METER_SCHEMA, pick_column
 
 FILE_ORDER = "__order"
+BLOCK_BITS = 44
 
 
 def _csv(spark: SparkSession):
     return spark.read.option("header", True).option("ignoreLeadingWhiteSpace", True)
 
 
-def with_file_order(df: DataFrame, name: str = FILE_ORDER) -> DataFrame:
-    """Mark each row's place in its files, so that "first" has a meaning.
+def _files(spark: SparkSession, paths, pattern: str | None = None) -> list[str]:
+    """Files behind paths, folders and patterns, in name order; no content is read."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    rows = reader.load(paths).select("_metadata.file_path").collect()
+    return sorted(r[0] for r in rows)
 
-    Call it directly on the scan: row ids grow within a split, and the file name
-    and the split's offset order the splits.
+
+def _headers(spark: SparkSession, files: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """Files by their header: trimmed names, none of them twice. Empty files have none."""
+    found: dict[tuple[str, ...], list[str]] = {}
+    for file in files:
+        names = tuple(c.strip() for c in spark.read.option("header", True).csv(file).columns)
+        if not names:
+            continue
+        bare = [n.lower() for n in names]
+        if len(set(bare)) < len(bare):
+            raise ValueError(f"{file} has columns of the same name: {names}")
+        found.setdefault(names, []).append(file)
+    return found
+
+
+def with_file_order(df: DataFrame, files: list[str], name: str = FILE_ORDER) -> DataFrame:
+    """Mark each row's place in the listed files with one BIGINT, so that "first" has a
+    meaning: the file's number, and below it the split's offset and the row in the split.
+
+    Call it directly on the scan. A row takes two bytes at least, so the rows of a split
+    are fewer than its bytes and never reach the offset of the next one.
     """
-    place = F.struct(
-        F.col("_metadata.file_path"),
-        F.col("_metadata.file_block_start"),
-        F.monotonically_increasing_id().alias("row"),
+    spark = df.sparkSession
+    # one short row per file that the driver has listed anyway
+    numbers = spark.createDataFrame(list(enumerate(files)), "__number bigint, __file string")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    placed = df.select(
+        "*", F.col("_metadata.file_path").alias("__path"),
+        (F.col("_metadata.file_block_start") + row).alias("__row"),
     )
-    return df.withColumn(name, place)
+    joined = placed.join(F.broadcast(numbers), F.col("__path") == F.col("__file"))
+    place = F.col("__number") * F.lit(1 << BLOCK_BITS) + F.col("__row")
+    return joined.withColumn(name, place).drop("__path", "__row", "__number", "__file")
+
+
+def _scan(spark, files, names, types, ordered_by: list[str] | None) -> DataFrame:
+    """Files of one header, each column under its own name with its declared type."""
+    schema = T.StructType([T.StructField(n, types.get(n, T.StringType())) for n in names])
+    df = _csv(spark).schema(schema).option("enforceSchema", True).csv(files)
+    return with_file_order(df, ordered_by) if ordered_by else df
 
 
 def read_meters(spark: SparkSession, paths, columns=None, ordered: bool = False) -> DataFrame:
-    """Typed scan of meter files. Header names are trimmed to the declared ones."""
-    df = _csv(spark).schema(METER_SCHEMA).option("enforceSchema", True).csv(paths)
-    if ordered:
-        df = with_file_order(df)
-    df = df.withColumns({c: nan_to_null(c) for c in KWH_COLUMNS})
-    if columns is None:
-        return df
-    return df.select(*columns, *([FILE_ORDER] if ordered else []))
+    """Typed scan of meter files by column name.
+
+    Columns may stand in any order and among others. A name that is asked for (all
+    declared ones, unless ``columns`` says which) must be there once. Files with the same
+    header are one scan.
+    """
+    wanted = list(columns or METER_SCHEMA.names)
+    types = {f.name: f.dataType for f in METER_SCHEMA.fields}
+    files = _files(spark, paths)
+    frames = []
+    for names, mine in _headers(spark, files).items():
+        missing = [c for c in wanted if c not in names]
+        if missing:
+            raise ValueError(f"{mine[0]} has no columns {missing}: {names}")
+        df = _scan(spark, mine, names, types, files if ordered else None)
+        typed = [nan_to_null(c).alias(c) if c in KWH_COLUMNS else F.col(c) for c in wanted]
+        frames.append(df.select(*typed, *([FILE_ORDER] if ordered else [])))
+    if not frames:
+        raise FileNotFoundError(f"no meter file in {paths}")
+    return union_all(frames)
 
 
 def name_from_file(suffixes=("_hourly.csv", "_preprocessed.csv")) -> Column:
@@ -62,39 +111,47 @@ def model_and_entity_from_file(ending: str = r"\.csv") -> dict[str, Column]:
     }
 
 
-REGION_SCHEMA = T.StructType(
-    [T.StructField("ts", T.StringType()), T.StructField("load_val", T.DoubleType())]
-)
-
-
-def read_regions(spark: SparkSession, paths, ordered: bool = False) -> DataFrame:
-    """All two-column regional files in one scan: region, ts, load_val.
+def read_regions(
+    spark: SparkSession, paths, ordered: bool = False, fallback=None,
+    fallback_pattern: str = "*_preprocessed.csv",
+) -> DataFrame:
+    """Regional files of any layout as one table: region, ts, load_val.
 
-    The value column is named differently in each file, so it is taken by place.
+    Time and load column are found by name in each header; files with the same header are
+    one scan. Where ``paths`` match no file, the files in the ``fallback`` folder are read.
     """
-    df = _csv(spark).schema(REGION_SCHEMA).option("enforceSchema", True).csv(paths)
-    if ordered:
-        df = with_file_order(df)
-    df = df.select(
+    try:
+        files = _files(spark, paths)
+    except AnalysisException as e:
+        if fallback is None or e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        files = []
+    if not files and fallback is not None:
+        files = [f for f in _files(spark, fallback, fallback_pattern) if "unified" not in f.rpartition("/")[2]]
+    frames = [
+        _region_rows(_scan(spark, mine, names, {}, files if ordered else None), names, ordered)
+        for names, mine in _headers(spark, files).items()
+    ]
+    if not frames:
+        raise FileNotFoundError(f"no regional file in {paths}")
+    return union_all(frames)
+
+
+def _region_rows(raw: DataFrame, names, ordered: bool = False) -> DataFrame:
+    when = pick_column(list(names), ("date", "time"))
+    rest = [c for c in names if c != when]
+    load = pick_column(rest, ("mw", "load"), default=rest[0] if len(rest) == 1 else None)
+    return raw.select(
         name_from_file().alias("region"),
-        lenient_timestamp("ts").alias("ts"),
-        nan_to_null("load_val").alias("load_val"),
+        lenient_timestamp(F.col(f"`{when}`")).alias("ts"),
+        nan_to_null(F.col(f"`{load}`").try_cast("double")).alias("load_val"),
         *([FILE_ORDER] if ordered else []),
-    )
-    return df.where(F.col("ts").isNotNull())
+    ).where(F.col("ts").isNotNull())
 
 
 def read_region(spark: SparkSession, path: str) -> DataFrame:
     """One regional file of any layout: its time and load column are found by name."""
-    raw = _csv(spark).csv(path)
-    when = pick_column(raw.columns, ("date", "time"))
-    rest = [c for c in raw.columns if c != when]
-    load = pick_column(rest, ("mw", "load"), default=rest[0] if rest else None)
-    return raw.select(
-        name_from_file().alias("region"),
-        lenient_timestamp(when).alias("ts"),
-        nan_to_null(F.col(load).try_cast("double")).alias("load_val"),
-    ).where(F.col("ts").isNotNull())
+    return read_regions(spark, path)
 
 
 def read_region_files(spark: SparkSession, paths: list[str]) -> DataFrame:

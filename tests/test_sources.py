@@ -90,6 +90,55 @@ def test_regions_by_place_and_by_name(spark, tmp_path):
         readings.read_region_files(spark, [str(tmp_path / "gone.csv")])
 
 
+def test_meter_columns_go_by_name(spark, tmp_path):
+    values = {"CUSTOMER_ID": "7", "READING_DATETIME": "2020-01-01 00:00:00", "CALENDAR_KEY": "1", "EVENT_KEY": "2"}
+    values |= dict.fromkeys(KWH_COLUMNS, "0.5")
+
+    def write(name, names, extra=()):
+        lines = [", ".join([*names, *extra]), ", ".join([*[values[n.strip()] for n in names], *extra])]
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    names = list(METER_SCHEMA.names)
+    swapped = write("b.csv", [names[1], names[0], *names[2:]])
+    wider = write("a.csv", names, ("REMARK",))
+    both = readings.read_meters(spark, [swapped, wider], ordered=True)
+    assert both.columns == [*names, readings.FILE_ORDER]
+    rows = both.orderBy(readings.FILE_ORDER).collect()
+    assert [(r["CUSTOMER_ID"], r["READING_DATETIME"], r["OTHER_KWH"]) for r in rows] == [
+        (7, "2020-01-01 00:00:00", 0.5)
+    ] * 2
+    assert rows[0][readings.FILE_ORDER] < 1 << readings.BLOCK_BITS <= rows[1][readings.FILE_ORDER]
+    few = write("c.csv", names[:3])
+    with pytest.raises(ValueError, match="EVENT_KEY"):
+        readings.read_meters(spark, few)
+    assert readings.read_meters(spark, few, ["CUSTOMER_ID"]).first()[0] == 7
+    twice = tmp_path / "d.csv"
+    twice.write_text("CUSTOMER_ID, customer_id\n1, 2\n")
+    with pytest.raises(ValueError):
+        readings.read_meters(spark, str(twice), ["CUSTOMER_ID"])
+
+
+def test_file_order_dedupes_in_a_hash_aggregate(spark, meter_csv):
+    raw = readings.read_meters(spark, meter_csv, ["CUSTOMER_ID", "EVENT_KEY", "OTHER_KWH"], ordered=True)
+    once = keep_first(raw, ["CUSTOMER_ID", "EVENT_KEY"], readings.FILE_ORDER)
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_region_files_fall_back_and_refuse_doubt(spark, tmp_path):
+    write_region(tmp_path, "EAST_preprocessed.csv", "load_val", [("2020-01-01 00:00:00", 5)])
+    write_region(tmp_path, "all_unified_preprocessed.csv", "load_val", [("2020-01-01 00:00:00", 9)])
+    got = readings.read_regions(spark, str(tmp_path / "*_hourly.csv"), fallback=str(tmp_path))
+    assert [(r["region"], r["load_val"]) for r in got.collect()] == [("EAST", 5.0)]
+    (tmp_path / "odd_hourly.csv").write_text("load_a,Datetime,load_b\n1,2020-01-01 00:00:00,2\n")
+    with pytest.raises(ValueError, match="several"):
+        readings.read_regions(spark, str(tmp_path / "odd_hourly.csv"))
+    (tmp_path / "turned_hourly.csv").write_text("X_MW, Datetime\n1,2020-01-01 00:00:00\n")
+    row = readings.read_regions(spark, str(tmp_path / "turned_hourly.csv")).first()
+    assert (row["region"], row["load_val"]) == ("turned", 1.0)
+
+
 def test_wide_regions(spark, tmp_path):
     path = tmp_path / "all.csv"
     path.write_text("Datetime,A,B\n2020-01-01 00:00:00,1,\n2020-01-01 01:00:00,2,3\n")
