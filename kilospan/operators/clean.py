@@ -16,6 +16,8 @@ from kilospan.plans.sizes import keep_keys, left_lookup
 CAP_QUANTILE = 0.999
 FENCE_WIDTH = 1.5
 FALLBACK_MAX = 10.0
+# Rows a series needs in each part to be fitted and scored.
+MIN_PART_ROWS = {"train": 10, "val": 5, "test": 5}
 
 
 @dataclass(frozen=True)
@@ -150,6 +152,17 @@ def with_min_history(df: DataFrame, keys, rows: int) -> DataFrame:
     return keep_keys(df, counts.where(F.col("__n") >= rows), list(keys))
 
 
+def with_min_history_by_part(
+    df: DataFrame, keys, split: str = "split", rows: dict[str, int] = MIN_PART_ROWS
+) -> DataFrame:
+    """Drop series that have too few rows in any of the named parts."""
+    enough = F.lit(True)
+    for part, n in rows.items():
+        enough = enough & (F.count_if(F.col(split) == part) >= n)
+    counts = df.groupBy(*keys).agg(enough.alias("__enough"))
+    return keep_keys(df, counts.where("__enough"), list(keys))
+
+
 def between_dates(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     """Rows from the start of ``start`` to the last instant of ``end``."""
     first = F.to_date(F.lit(start)).cast("timestamp_ntz")

@@ -22,13 +22,11 @@ def forecast_metrics(
 
 def mape_pivot(results: DataFrame, entity: str, models: list[str]) -> DataFrame:
     """Entities by models, with a last row "Average" of the column means."""
-    table = (
-        results.groupBy(F.col(entity).cast("string").alias(entity))
-        .pivot("model", models)
-        .agg(F.first("mape"))
-    )
-    means = table.agg(*[F.avg(m).alias(m) for m in models])
-    return table.unionByName(means.select(F.lit("Average").alias(entity), *models))
+    # every result counts once in its entity's row and once in the last one
+    names = F.array(F.col(entity).cast("string"), F.lit("Average"))
+    rows = results.select(F.posexplode(names).alias("__last", entity), "model", "mape")
+    by_model = [F.avg(F.when(F.col("model") == m, F.col("mape"))).alias(m) for m in models]
+    return rows.groupBy("__last", entity).agg(*by_model).drop("__last")
 
 
 def mape_by_model(results: DataFrame) -> DataFrame:
@@ -55,8 +53,8 @@ def best_model_overall(results: DataFrame) -> DataFrame:
 
 def best_worst_entities(results: DataFrame, entity: str, n: int) -> DataFrame:
     """The ``n`` lowest and ``n`` highest MAPE entities of the best model overall."""
-    winner = best_model_overall(results).first()
-    model = results.where(F.col("model") == F.lit(winner["model"] if winner else None))
+    winner = best_model_overall(results).select(F.col("model").alias("__winner"))
+    model = results.join(winner, F.col("model") == F.col("__winner")).select(entity, "mape")
 
     def ends(order: list[Column], label: str) -> DataFrame:
         picked = model.orderBy(*order).limit(n)

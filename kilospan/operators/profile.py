@@ -64,10 +64,12 @@ def describe(df: DataFrame, value: str, by=()) -> DataFrame:
 
 
 def rows_removed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Rows in, out and removed of a cleaning step."""
-    n_out = after.agg(F.count(F.lit(1)).alias("n")).first()[0]
-    return before.agg(F.count(F.lit(1)).alias("rows_in")).select(
-        "rows_in",
-        F.lit(n_out).cast("bigint").alias("rows_out"),
-        (F.col("rows_in") - n_out).alias("rows_removed"),
+    """Rows in, out and removed of a cleaning step, counted in one plan."""
+    marks = before.select(F.lit(1).alias("i"), F.lit(0).alias("o")).union(
+        after.select(F.lit(0), F.lit(1))
+    )
+    return marks.agg(
+        F.coalesce(F.sum("i"), F.lit(0)).alias("rows_in"),
+        F.coalesce(F.sum("o"), F.lit(0)).alias("rows_out"),
+        F.coalesce(F.sum("i") - F.sum("o"), F.lit(0)).alias("rows_removed"),
     )

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kilospan.plans.series import Series
-from kilospan.plans.sizes import left_lookup
 
 
 def split_at(df: DataFrame, ts: str, date: str, name: str = "split") -> DataFrame:
@@ -45,9 +44,6 @@ def split_report(df: DataFrame, keys, ts: str, split: str = "split") -> DataFram
     parts = df.groupBy(*keys, split).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts")
     )
-    totals = parts.groupBy(*keys).agg(F.sum("n_rows").alias("__all"))
-    if keys:
-        joined = left_lookup(parts, totals, list(keys))
-    else:
-        joined = parts.withColumn("__all", F.lit(totals.first()[0]))
-    return joined.withColumn("share", F.col("n_rows") / F.col("__all")).drop("__all")
+    # one row per series and part: the window sees a handful of rows per key
+    whole = F.sum("n_rows").over(Window.partitionBy(*keys))
+    return parts.withColumn("share", F.col("n_rows") / whole)

@@ -1,4 +1,4 @@
-"""Small tables: measure first, broadcast only what was measured."""
+"""Lookup joins, and tables that are computed once."""
 
 from __future__ import annotations
 
@@ -67,23 +67,17 @@ def match(df: DataFrame, table: DataFrame, on: list[str]) -> Column:
     return cond
 
 
-def left_lookup(
-    df: DataFrame, table: DataFrame, on: list[str], max_rows: int = LOCAL_ROWS
-) -> DataFrame:
+def left_lookup(df: DataFrame, table: DataFrame, on: list[str]) -> DataFrame:
     """Add the columns of a keyed ``table`` to every row of ``df``; NULL keys match.
 
-    The table is broadcast when :func:`settle` found it small. Otherwise it is an
-    ordinary equi-join, whose hot keys adaptive execution splits.
+    An ordinary equi-join: adaptive execution broadcasts a table that turns out small and
+    splits hot keys where it is not.
     """
-    table, small = settle(table, max_rows)
     table = table.withColumnsRenamed({c: f"__on_{c}" for c in on})
-    joined = df.join(F.broadcast(table) if small else table, match(df, table, on), "left")
+    joined = df.join(table, match(df, table, on), "left")
     return joined.drop(*[f"__on_{c}" for c in on])
 
 
-def keep_keys(
-    df: DataFrame, keys_table: DataFrame, on: list[str], max_rows: int = LOCAL_ROWS
-) -> DataFrame:
-    """Rows whose key is in ``keys_table`` (left semi join, same size rule)."""
-    table, small = settle(keys_table.select(*on), max_rows)
-    return df.join(F.broadcast(table) if small else table, on, "left_semi")
+def keep_keys(df: DataFrame, keys_table: DataFrame, on: list[str]) -> DataFrame:
+    """Rows whose key is in ``keys_table``."""
+    return df.join(keys_table.select(*on), on, "left_semi")

@@ -44,11 +44,17 @@ def stream_clean(spark, d):
     return rounded(_finished(spark, out), "value_scaled")
 
 
-@query("stream_dedupe", "SELECT DISTINCT user_id, date_trunc('hour', ts) AS ts FROM events")
+@query(
+    "stream_dedupe",
+    """WITH hourly AS (SELECT user_id, date_trunc('hour', ts) AS ts, event_id, value FROM events)
+SELECT * FROM hourly WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM hourly)
+QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1""",
+)
 def stream_dedupe(spark, d):
-    hourly = _events(spark, d).select("user_id", floor_to_step("ts", 60).alias("ts"))
-    out = flows.dedupe(hourly, ["user_id"], "ts", "60 days").select("user_id", "ts")
-    return _finished(spark, out)
+    hourly = _events(spark, d).select(
+        "user_id", floor_to_step("ts", 60).alias("ts"), "event_id", "value"
+    )
+    return _finished(spark, flows.keep_first(hourly, ["user_id"], "ts", "event_id", DELAY))
 
 
 SQL_STEPS = f"""steps AS (SELECT event_type, time_bucket(INTERVAL '30 minutes', ts) AS ts,

@@ -59,11 +59,6 @@ METER_SCHEMA = T.StructType(
         *[T.StructField(c, T.FloatType()) for c in KWH_COLUMNS],
     ]
 )
-METER_RENAMES = {
-    "CUSTOMER_ID": "customer_id",
-    "READING_DATETIME": "datetime",
-    "GENERAL_SUPPLY_KWH": "load_val",
-}
 
 # The 20 columns of the feature table, in order.
 UNIFIED_SCHEMA = T.StructType(

@@ -41,11 +41,25 @@ def with_watermark(df: DataFrame, ts: str, delay: str, name: str = "event_time")
 
 
 def dedupe(df: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """Drop repeats of a reading that arrive within the watermark delay."""
+    """Drop repeats of a reading that arrive within the watermark delay. The copy that
+    comes first is given out at once; :func:`keep_first` waits and picks."""
     timed = with_watermark(df, ts, delay)
     return timed.dropDuplicatesWithinWatermark([*keys, ts])
 
 
+def keep_first(
+    df: DataFrame, keys: list[str], ts: str, tiebreak: str, delay: str
+) -> DataFrame:
+    """The copy of each reading with the least ``tiebreak``, given out once the watermark
+    has passed the reading's time: until then an earlier copy may still come."""
+    timed = with_watermark(df, ts, delay)
+    values = [c for c in df.columns if c not in (*keys, ts, tiebreak)]
+    first = timed.groupBy("event_time", *keys).agg(
+        F.min(tiebreak).alias(tiebreak), *[F.min_by(c, tiebreak).alias(c) for c in values]
+    )
+    return first.withColumn(ts, as_naive(F.col("event_time"))).select(*df.columns)
+
+
 def clean_scaled(df: DataFrame, ts: str, value: str, bounds: clean.Bounds, freq: Frequency):
     """Row-wise cleaning with fixed bounds: clip, scale, calendar, cyclical columns."""
     if dict(df.dtypes)[ts] == "string":

@@ -132,3 +132,42 @@ def test_narrowed_quantiles_match_pandas(spark, by):
         want = pdf.groupby("k").x.quantile(probs).unstack()
         for k, q in zip(got["k"], got["q"]):
             assert np.allclose(q, want.loc[k], rtol=1e-12)
+
+
+def test_min_history_by_part(spark):
+    rows = [(k, p) for k, n in {"a": (10, 5, 5), "b": (9, 50, 50), "c": (10, 5, 4)}.items()
+            for p, m in zip(("train", "val", "test"), n) for _ in range(m)]
+    df = spark.createDataFrame(rows, "k string, split string")
+    got = clean.with_min_history_by_part(df, ["k"])
+    assert got.count() == 20 and got.select("k").distinct().first()[0] == "a"
+
+
+def test_scaled_only_if_missing_and_columns_present(spark):
+    from kilospan.operators.samples import present
+
+    df = spark.createDataFrame([("a", DAY, 1.0), ("a", DAY + dt.timedelta(hours=1), 3.0)], "k string, ts timestamp_ntz, x double")
+    series = Series.of("k", "ts")
+    once = clean.ensure_scaled(df, series, "x", "s")
+    assert sorted(column(once, "s")) == [0.0, 1.0]
+    assert clean.ensure_scaled(once, series, "x", "s") is once
+    assert present(once, ["hour_sin", "s", "x"]) == ["s", "x"]
+
+
+def test_bounds_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "x double")
+    assert tuple(clean.scaler_bounds(df, "x").first()) == (0.0, clean.FALLBACK_MAX)
+
+
+def test_errors_only_where_a_prediction_is(spark):
+    from kilospan.functions.errors import all_errors
+
+    rows = [(float(i), None if i % 2 else i + 0.5) for i in range(10)]
+    df = spark.createDataFrame(rows, "y double, p double")
+    got = df.agg(*[c.alias(n) for n, c in all_errors("y", "p").items()]).first()
+    part = df.where("p IS NOT NULL").agg(*[c.alias(n) for n, c in all_errors("y", "p").items()]).first()
+    assert got == part and got["n"] == 5
+
+
+def test_rounded_beyond_its_range(spark):
+    df = spark.createDataFrame([(1e13,), (-2.5e300,), (1.23456749,)], "x double")
+    assert column(df.select(S.rounded("x", 6).alias("x")), "x") == [1e13, -2.5e300, 1.234567]

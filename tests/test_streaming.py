@@ -58,6 +58,18 @@ def test_dedupe_across_files(spark, folder):
     assert got.count() == 3
 
 
+def test_keep_first_across_files(spark, folder):
+    folder([("a", START, 1.0, 7), ("a", START, 2.0, 3), ("b", START, 9.0, 1)])
+    folder([("a", START, None, 2), ("a", START + dt.timedelta(hours=1), 4.0, 8)])
+    folder([("a", START + dt.timedelta(hours=9), 5.0, 9)])
+    stream = flows.read_stream(spark, folder.path, SCHEMA, max_files=1)
+    got = run(spark, flows.keep_first(stream, ["k"], "ts", "seq", "2 hours"), folder)
+    assert got.columns == ["k", "ts", "x", "seq"]
+    assert {(r["k"], r["ts"].hour, r["x"], r["seq"]) for r in got.collect()} == {
+        ("a", 0, None, 2), ("b", 0, 9.0, 1), ("a", 1, 4.0, 8)
+    }
+
+
 def test_clean_equals_batch(spark, folder):
     folder(rows([0, 15, 45, 700]))
     bounds = clean.Bounds(10.0, 500.0)
