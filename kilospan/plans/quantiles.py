@@ -2,7 +2,8 @@
 
 ``percentile`` keeps a count per distinct value of a group in one place. That is
 exact and fast while few distinct values exist (quantised meters), and impossible
-for billions. :func:`exact_quantiles` measures the distinct count first. Beyond the
+for billions. :func:`exact_quantiles` measures the distinct count first, and counts
+rows per value before they meet, so that place gets each value once. Beyond the
 limit it narrows each group to the value range that must hold the wanted rank, with
 a bounded sketch as the guess and exact counts as the proof, until few values are
 left to sort.
@@ -52,9 +53,12 @@ def exact_quantiles(
         peaks = sizes.first()
     narrow = [n for n in columns if (peaks[n] or 0) <= max_distinct]
     ps = F.array(*[F.lit(float(p)) for p in probs])
-    out = named.groupBy(*by).agg(
+    out = _counted(named, narrow, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[F.percentile(n, ps).alias(n) for n in narrow],
+        *[
+            F.percentile(F.when(F.col("__c") == i, F.col("__x")), ps, F.col("__n")).alias(n)
+            for i, n in enumerate(narrow)
+        ],
     )
     for n in columns:
         if n not in narrow:
@@ -68,6 +72,16 @@ def exact_quantiles(
     return out.select(*by, *columns)
 
 
+def _counted(named: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
+    """Values with their counts, in one shuffle by value for all columns: what the tasks
+    of the next step gather is a row per distinct value, however many tasks have seen it."""
+    cells = [F.struct(F.lit(i).alias("__c"), F.col(n).alias("__x")) for i, n in enumerate(columns)]
+    none = F.struct(F.lit(-1).alias("__c"), F.lit(None).cast("double").alias("__x"))
+    rows = named.select(*by, F.explode(F.array(*(cells or [none]))).alias("__cell"))
+    values = rows.select(*by, "__cell.*")
+    return values.groupBy(*by, "__c", "__x").agg(F.count(F.lit(1)).alias("__n"))
+
+
 def _selected(values: DataFrame, probs: list[float], by: list[str], max_distinct: int):
     """Quantiles of ``__x`` per group: keep narrowing the range around each rank.
 
