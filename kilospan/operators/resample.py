@@ -24,6 +24,8 @@ def grid_spine(df: DataFrame, series: Series, step_seconds: int) -> DataFrame:
     runs = ends.select(
         *series.keys, "__lo", F.expr(f"{span} div {step_seconds}").alias("__steps")
     ).withColumn("__run", F.expr(f"explode(sequence(0L, __steps div {RUN}))"))
+    # A row per run is little to move; a long series is then expanded by many tasks.
+    runs = runs.repartition(*series.keys, "__run")
     at = F.expr(f"sequence(__run * {RUN}, least((__run + 1) * {RUN} - 1, __steps))")
     return runs.select(*series.keys, "__lo", F.explode(at).alias("__i")).select(
         *series.keys, plus_seconds("__lo", f"__i * {step_seconds}").alias(series.ts)
@@ -84,15 +86,23 @@ def interpolate(df: DataFrame, series: Series, value: str, step_seconds: int) ->
     # The last grid step, for readings with none known after them.
     end = f"timestampadd(SECOND, -({span} % {step_seconds}), __last_ts)"
     last = f"coalesce(timestampadd(SECOND, -{step_seconds}, __nt), {end})"
-    steps = F.expr(f"sequence({t}, {last}, make_dt_interval(0, 0, 0, {step_seconds}))")
     gap = F.expr(f"({epoch_seconds_sql('__nt')} - {epoch_seconds_sql(ts)}) / {step_seconds}")
-    out = pairs.select(
-        *keys, value, "__nx", gap.alias("__gap"), F.posexplode(steps).alias("__i", "__g")
+    gaps = pairs.select(*keys, ts, value, "__nx", gap.alias("__gap"), F.expr(last).alias("__to"))
+    n = f"({epoch_seconds_sql('__to')} - {epoch_seconds_sql(ts)}) div {step_seconds}"
+    # In runs, so that no single array holds a long gap.
+    runs = gaps.select(
+        *keys, ts, value, "__nx", "__gap", F.expr(n).alias("__steps"),
+    ).withColumn("__run", F.expr(f"explode(sequence(0L, __steps div {RUN}))"))
+    at = F.expr(f"sequence(__run * {RUN}, least((__run + 1) * {RUN} - 1, __steps))")
+    out = runs.select(*keys, ts, value, "__nx", "__gap", F.explode(at).alias("__i")).withColumn(
+        "__g", plus_seconds(ts, f"__i * {step_seconds}")
     )
     filled = F.expr(
         f"CASE WHEN __i = 0 OR __nx IS NULL THEN {v} ELSE {v} + (__nx - {v}) * __i / __gap END"
     )
-    return out.select(*keys, F.col("__g").alias(ts), filled.alias(value))
+    return out.select(*keys, F.col("__g").alias("__at"), filled.alias(value)).withColumnRenamed(
+        "__at", ts
+    )
 
 
 def _known(rows, ts: str, value: str, step_seconds: int) -> DataFrame:

@@ -263,3 +263,22 @@ def test_quantiles_with_large_state(nothing_is_small, df, pdf, by):
         x = pdf.x if not by else pdf[pdf.k == r.k].x
         if x.notna().any():
             assert np.allclose(r.q, x.quantile([0.25, 0.9]))
+
+
+def test_one_long_gap_is_filled_in_runs(spark):
+    import datetime as dt
+
+    from kilospan.operators import resample
+
+    first = dt.datetime(2000, 1, 1)
+    steps = 1_000_000
+    df = spark.createDataFrame(
+        [("a", first, 0.0), ("a", first + dt.timedelta(minutes=steps), float(steps))],
+        "k string, ts timestamp_ntz, x double",
+    )
+    got = resample.interpolate(df, Series.of("k", "ts"), "x", 60)
+    n, total, last = got.agg(F.count("*"), F.sum("x"), F.max("ts")).first()
+    assert (n, last) == (steps + 1, first + dt.timedelta(minutes=steps))
+    assert total == steps * (steps + 1) / 2
+    spine = resample.grid_spine(df, Series.of("k", "ts"), 60)
+    assert spine.count() == spine.distinct().count() == steps + 1
