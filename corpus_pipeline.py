@@ -2,6 +2,8 @@
 
 Every stage reads what its predecessor kept. All but the last return the columns of
 ``documents``; the last returns the packing. Rows that share an id stay or go together.
+The ids to drop are written first, so that the join that drops them knows how many they
+are: few are broadcast and the texts stay where they are, many are joined by key.
 """
 
 from __future__ import annotations
@@ -10,26 +12,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.llm import decontam, langid, near_dup, packing, substrings
-from kilospan.llm.common import scratch
+from kilospan.llm.common import kept, scratch
 from kilospan.llm.queries import table, tokenizer_path
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose text is in none of the languages; adds nothing. The model
     learns from the labels of its input."""
-    found = langid.identify(docs).where("not rejected").select(
-        F.col("doc_id").alias("__id"), F.col("row_tag").alias("__tag")
-    ).distinct()
+    found = kept(
+        langid.identify(docs).where("rejected").select(
+            F.col("doc_id").alias("__id"), F.col("row_tag").alias("__tag")
+        ).distinct(),
+        "rejected",
+    )
     same = docs["doc_id"].eqNullSafe(found["__id"]) & (F.xxhash64(docs["text"]) == found["__tag"])
-    return docs.join(found, same, "left_semi")
+    return docs.join(found, same, "left_anti")
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group: the one with the least id. Documents without words
     or without an id are in no group and stay."""
-    found = near_dup.near_duplicates(docs).where("not kept").select(
-        F.col("doc_id").alias("__id")
-    ).distinct()
+    found = kept(
+        near_dup.near_duplicates(docs).where("not kept").select(
+            F.col("doc_id").alias("__id")
+        ).distinct(),
+        "copies",
+    )
     return docs.join(found, docs["doc_id"] == found["__id"], "left_anti")
 
 
@@ -41,7 +49,9 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a window of a benchmark item."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    hit = found.where("n_hit > 0").select(F.col("doc_id").alias("__id")).distinct()
+    hit = kept(
+        found.where("n_hit > 0").select(F.col("doc_id").alias("__id")).distinct(), "contaminated"
+    )
     return docs.join(hit, docs["doc_id"] == hit["__id"], "left_anti")
 
 

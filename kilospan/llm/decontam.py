@@ -80,7 +80,7 @@ def build_index(
 
     A segment ends once it has ``segment_words`` words, so a list is no longer than that
     plus one document. Documents without words are in the document list, too. Ids must be
-    integers; null ids are kept as documents without a name and left out.
+    integers. A row with a null id cannot be named in a result and is left out here.
     """
     terms = docs.sparkSession.sparkContext.broadcast(tests.terms)
     gap = tests.window
