@@ -45,6 +45,29 @@ def naive_forecasts(
     )
 
 
+def linear_forecasts(
+    df: DataFrame, series: Series, value: str, split_at: str, model: str = "linear"
+) -> DataFrame:
+    """One-step forecasts of a fitted model on the rows from ``split_at`` on.
+
+    The model is one line through (value before, value), pooled over all series and fitted
+    on the rows before ``split_at`` alone: an aggregate whose one row comes to the driver.
+    """
+    rows = series.over(
+        df, lambda d, w: d.withColumns(lag_columns(value, {"__before": 1}, w)), before=1
+    ).select(*series.keys, series.ts, value, "__before").dropna(subset=[value, "__before"])
+    at = F.lit(split_at).cast("timestamp_ntz")
+    line = rows.where(F.col(series.ts) < at).agg(
+        F.regr_slope(value, "__before").alias("slope"),
+        F.regr_intercept(value, "__before").alias("intercept"),
+    ).first()
+    predicted = F.col("__before") * F.lit(line["slope"]) + F.lit(line["intercept"])
+    return rows.where(F.col(series.ts) >= at).select(
+        *series.keys, series.ts, F.lit(model).alias("model"), F.col(value).alias("actual"),
+        predicted.cast("double").alias("predicted"),
+    ).dropna(subset=["predicted"])
+
+
 def with_errors(
     df: DataFrame, actual: str = "actual", predicted: str = "predicted",
     eps: float | None = ROW_PCT_EPSILON,

@@ -312,3 +312,57 @@ def ml_forecast_metrics(spark, d):
         }
     )
     return metrics.forecast_metrics(scored, ["customer_id"])
+
+
+# -- a fitted model beside the baselines ---------------------------------------------
+
+SPLIT_AT = "2024-01-22"
+SQL_FITTED = f"""{V.SQL_PREDICTIONS},
+before AS (SELECT region, ts, load_mw AS actual, lag(load_mw) OVER (PARTITION BY region ORDER BY ts) AS x
+  FROM filled),
+line AS (SELECT regr_slope(actual, x) AS slope, regr_intercept(actual, x) AS intercept
+  FROM before WHERE ts < TIMESTAMP '{SPLIT_AT}'),
+fitted AS (SELECT region, ts, model, actual, predicted FROM pred
+  UNION ALL SELECT region, ts, 'linear', actual, x * slope + intercept FROM before, line
+  WHERE ts >= TIMESTAMP '{SPLIT_AT}' AND x IS NOT NULL AND actual IS NOT NULL)"""
+FITTED_MODELS = [*MODELS, "linear"]
+
+
+def _fitted(spark, d):
+    filled, series = V.region_filled(spark, d), V.filled_series(spark, d)
+    linear = forecast.linear_forecasts(filled, series, "load_mw", SPLIT_AT)
+    return V.predictions(spark, d).unionByName(linear)
+
+
+@query(
+    "fitted_model_grid",
+    f"WITH {SQL_FITTED} SELECT region, model, {V.SQL_ERRORS} FROM fitted GROUP BY ALL",
+)
+def fitted_model_grid(spark, d):
+    """Baselines on all rows, the fitted line on the rows it has not seen."""
+    return metrics.forecast_metrics(_fitted(spark, d), ["region", "model"])
+
+
+_fitted_pivot = ", ".join(f"max(CASE WHEN model = '{m}' THEN mape END) AS {m}" for m in FITTED_MODELS)
+_fitted_means = ", ".join(f"round(avg({m}), 4) AS {m}" for m in FITTED_MODELS)
+
+
+@query(
+    "fitted_mape_pivot",
+    f"""WITH {SQL_FITTED}, results AS (SELECT region, model, {V.SQL_ERRORS} FROM fitted GROUP BY ALL),
+p AS (SELECT region, {_fitted_pivot} FROM results GROUP BY region)
+SELECT * FROM p UNION ALL SELECT 'Average', {_fitted_means} FROM p""",
+)
+def fitted_mape_pivot(spark, d):
+    results = metrics.forecast_metrics(_fitted(spark, d), ["region", "model"])
+    return rounded(metrics.mape_pivot(results, "region", FITTED_MODELS), *FITTED_MODELS, places=4)
+
+
+@query(
+    "fitted_leaderboard",
+    f"""WITH {SQL_FITTED}, m AS (SELECT model, {V.SQL_ERRORS} FROM fitted GROUP BY model)
+SELECT model, mae, rmse, mape, r2, rank() OVER (ORDER BY rmse NULLS LAST)::INTEGER AS rank FROM m""",
+)
+def fitted_leaderboard(spark, d):
+    scores = metrics.forecast_metrics(_fitted(spark, d), ["model"])
+    return metrics.leaderboard(scores).select("model", "mae", "rmse", "mape", "r2", "rank")
