@@ -144,7 +144,13 @@ def training_rows(lines: DataFrame, max_negatives: int = MAX_NEGATIVES) -> DataF
         .orderBy(F.xxhash64("text"), "text")
         .limit(max_negatives)
     )
-    return spark.createDataFrame(fixed, "family string, text string").union(plain)
+    return _literal_rows(spark, fixed, "family", "text").union(plain)
+
+
+def _literal_rows(spark, rows: list[tuple[str, str]], *names: str) -> DataFrame:
+    """A fixed table as literals of the plan."""
+    cells = [F.struct(*[F.lit(x).alias(n) for x, n in zip(row, names)]) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*cells)))
 
 
 class Classifier:
@@ -188,9 +194,8 @@ def license_paragraphs(
     lines = paragraphs(docs, id_col, text_col)
     known = Classifier(training_rows(lines, max_negatives))
     spark = docs.sparkSession
-    wording = spark.createDataFrame(
-        [(f, t) for f, texts in NOTICES.items() for t in texts], "known string, notice string"
-    ).groupBy("known").agg(
+    notices = [(f, t) for f, texts in NOTICES.items() for t in texts]
+    wording = _literal_rows(spark, notices, "known", "notice").groupBy("known").agg(
         F.array_distinct(F.flatten(F.collect_list(grams(F.col("notice"))))).alias("wording")
     )
     rows = known.hash.transform(
