@@ -54,14 +54,16 @@ class SortedLists:
         n, used = len(self.ids), np.flatnonzero(query)
         weight = query[used].astype(float)
         alive = np.arange(n)
+        if not len(used):  # no list tells rows apart
+            return alive
         for depth in DEPTHS:
             read = min(n, max(k + 1, int(n * depth)))
             parts = [slice(n - read, n) if w > 0 else slice(0, read) for w in weight]
-            rows = np.concatenate([self.order[d, p] for d, p in zip(used, parts)] or [alive[:0]])
+            rows = np.concatenate([self.order[d, p] for d, p in zip(used, parts)])
             seen = [self.sorted[d, p] * w for d, p, w in zip(used, parts, weight)]
             # the reading head bounds what a list has not shown; at the end nothing is left
             head = [c[0] if w > 0 else c[-1] for c, w in zip(seen, weight)]
-            more = np.concatenate([c - h for c, h in zip(seen, head)] or [np.zeros(0)])
+            more = np.concatenate([c - h for c, h in zip(seen, head)])
             upper = sum(head) + np.bincount(rows, more, n)
             bar = floor
             if floor == -np.inf and n - own.sum() >= k:
@@ -69,7 +71,7 @@ class SortedLists:
                     w * (self.sorted[d, 0] if w > 0 else self.sorted[d, -1])
                     for d, w in zip(used, weight)
                 ]
-                more = np.concatenate([c - m for c, m in zip(seen, least)] or [np.zeros(0)])
+                more = np.concatenate([c - m for c, m in zip(seen, least)])
                 lower = sum(least) + np.bincount(rows, more, n)
                 lower[own] = -np.inf
                 bar = np.partition(lower, n - k)[n - k]
@@ -133,8 +135,8 @@ def _in_blocks(asked, candidates, n_asked, n_rows, k, block_rows, query_rows) ->
         asked = asked.withColumn("floor", F.lit(None).cast("bigint"))
     blocks, groups = -(-n_rows // block_rows) or 1, -(-n_asked // query_rows) or 1
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = asked.select(
-        "vec_id", "q", "floor",
+    left = asked.select(  # names of their own: both sides may come from one table
+        F.col("vec_id").alias("query_id"), F.col("q").alias("asked"), "floor",
         F.pmod(F.xxhash64("vec_id", F.lit(1)), groups).cast("int").alias("g"),
         every(blocks).alias("b"),
     )
@@ -147,8 +149,8 @@ def _in_blocks(asked, candidates, n_asked, n_rows, k, block_rows, query_rows) ->
         found = []
         for width, part in rows.groupby(rows["q"].map(len)):
             lists = SortedLists(part["vec_id"].to_numpy(), np.stack(part["q"].to_numpy()))
-            mine = asked_rows[asked_rows["q"].map(len) == width]
-            for query_id, q, floor in zip(mine["vec_id"], mine["q"], mine["floor"]):
+            mine = asked_rows[asked_rows["asked"].map(len) == width]
+            for query_id, q, floor in zip(mine["query_id"], mine["asked"], mine["floor"]):
                 bar = -np.inf if pd.isna(floor) else float(floor)
                 ids, scores = lists.search(query_id, np.asarray(q), k, bar)
                 found.append(np.stack([np.full(len(ids), query_id), ids, scores], axis=1))
