@@ -7,18 +7,19 @@
    ``THRESHOLD`` symbols, some chunk differs in at most ERRORS of them (pigeonhole). So
    every chunk is entered once for each choice of ERRORS symbols left out, and all pairs
    under the threshold meet in a key. At J = 0.85 that leaves out fewer than 1e-7 of links.
-3. Links. In a key, the least representative is a pivot and every member is compared with
-   it: first the signatures, then the full sets. Members it is linked with are done. The
-   distance 1 - J is a metric, so of the members that are not linked only those within
-   twice the limit of the pivot can have links to the linked ones; those pairs are made.
-   The rest goes on with a new pivot, and after ROUNDS rounds is compared in blocks.
-   So a key of one large family costs one comparison per member, and no pair is skipped.
+3. Links. In a key, the most central member is a pivot; every member is compared with it,
+   and with the NEAREST others by signature. Comparisons of signatures are arrays in blocks;
+   only these few pairs per member go on to the full sets. They connect families, with an
+   original or without. Then all pairs under the threshold that are still in different
+   components go on, each in the first key it shares. So a large family costs a few
+   comparisons of sets per member, and no pair that could connect anything is skipped.
 4. Components of the links, joined back to all documents.
 """
 
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -35,9 +36,13 @@ CHUNK = 5
 ERRORS = 1
 SYMBOLS = CHUNKS * CHUNK
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
-ROUNDS = 3
+NEAREST = 4
 BLOCK = 1000
 BROADCAST_IDS = 2_000_000
+_OUT = list(combinations(range(CHUNK), ERRORS))
+_CHOICES = [
+    [c * CHUNK + i for i in range(CHUNK) if i not in out] for c in range(CHUNKS) for out in _OUT
+]
 SIGNATURE = "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, signature binary"
 
 
@@ -103,15 +108,18 @@ def signature_rows(
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col)).mapInArrow(sign, SIGNATURE)
 
 
+def _keys_of(rows: np.ndarray) -> np.ndarray:
+    """A row of keys per choice of symbols, for signatures as 64-bit numbers."""
+    keys = np.zeros((len(_CHOICES), len(rows)), np.uint64)
+    for k, (choice, salt) in enumerate(zip(_CHOICES, seeds(len(_CHOICES), 31))):
+        for c in choice:
+            keys[k] = (keys[k] << np.uint64(16)) | rows[:, c]
+        keys[k] = mix64(keys[k] ^ salt)
+    return keys
+
+
 def index_keys(classes: DataFrame) -> DataFrame:
     """(key, id): one row per chunk and choice of ERRORS symbols left out."""
-    choices = [
-        [c * CHUNK + i for i in range(CHUNK) if i not in out]
-        for c in range(CHUNKS)
-        for out in combinations(range(CHUNK), ERRORS)
-    ]
-    salt = seeds(len(choices), 31)
-
     def enter(batches):
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -119,16 +127,11 @@ def index_keys(classes: DataFrame) -> DataFrame:
             rows = rows.reshape(len(ids), SYMBOLS).astype(np.uint64)
             step = 4096
             for lo in range(0, len(ids), step):
-                keys = []
-                for choice, s in zip(choices, salt):
-                    packed = np.zeros(len(rows[lo : lo + step]), np.uint64)
-                    for c in choice:
-                        packed = (packed << np.uint64(16)) | rows[lo : lo + step, c]
-                    keys.append(mix64(packed ^ s))
+                keys = _keys_of(rows[lo : lo + step])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(signed(np.concatenate(keys))),
-                        pa.array(np.tile(ids[lo : lo + step], len(choices))),
+                        pa.array(signed(keys.ravel())),
+                        pa.array(np.tile(ids[lo : lo + step], len(keys))),
                     ],
                     ["key", "id"],
                 )
@@ -136,12 +139,8 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(enter, "key bigint, id bigint")
 
 
-def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: int, width: int):
-    """(a, b, shared, total) of the pairs that may lie within twice the distance limit:
-    by signature first, with room for its error, then on the full sets."""
-    limit = min(1.0, 2 * (1 - percent / 100))
-    most = min(SYMBOLS, int(SYMBOLS * limit + 4.5 * (SYMBOLS * limit * (1 - limit)) ** 0.5))
-    most = max(most, THRESHOLD)
+def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose signatures are under the threshold."""
     one = classes.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
     two = classes.select(F.col("id").alias("b"), F.col("signature").alias("sb"))
 
@@ -153,9 +152,16 @@ def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: in
                 np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(-1, SYMBOLS)
                 for i in (2, 3)
             )
-            keep = pa.array((sa != sb).sum(axis=1) <= most)
+            keep = pa.array((sa != sb).sum(axis=1) <= THRESHOLD)
             yield batch.select([0, 1]).filter(keep)
 
+    signed_pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
+    return signed_pairs.mapInArrow(close, "a bigint, b bigint")
+
+
+def _judged(near: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(a, b, shared, total) of the full shingle sets of each pair."""
+
     def judge(batches):
         for batch in batches:
             known: dict[bytes, np.ndarray] = {}
@@ -178,8 +184,6 @@ def _similar(pairs: DataFrame, classes: DataFrame, texts: DataFrame, percent: in
                 ["a", "b", "shared", "total"],
             )
 
-    signed_pairs = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb")
-    near = signed_pairs.mapInArrow(close, "a bigint, b bigint")
     ta = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     tb = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
     full = near.join(ta, "a").join(tb, "b").select("a", "b", "ta", "tb")
@@ -198,67 +202,140 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = 85, width: int = S
     """(a, b): representatives whose sets have 100 * shared >= percent * total, enough of
     them to connect every two classes that links connect."""
     entries = kept(index_keys(classes), "keys")
-    sizes = entries.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n"))
-    shared_keys = sizes.where("n > 1").select(F.col("key").alias("k"), "pivot")
-    star = kept(
-        entries.join(shared_keys, F.col("key") == F.col("k")).select("key", "id", "pivot"), "star"
+    sizes = entries.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    shared = kept(
+        entries.join(sizes.withColumnRenamed("key", "k"), F.col("key") == F.col("k")).drop("k"),
+        "shared",
     )
-    texts = _texts_of(docs, star.select("id").distinct())
-    linked = (F.col("shared") * 100 >= F.col("total") * percent)
-    within = (F.col("shared") * 100 >= F.col("total") * max(0, 2 * percent - 100))
-    found = None
-    for _ in range(ROUNDS):
-        pairs = star.where("id != pivot").select(
-            F.col("pivot").alias("a"), F.col("id").alias("b")
-        ).distinct()
-        judged = kept(_similar(pairs, classes, texts, percent, width), "judged")
-        links_now = judged.where(linked).select("a", "b")
-        found = links_now if found is None else found.union(links_now)
-        graded = star.where("id != pivot").join(
-            judged.select(
-                F.col("a").alias("pivot"), F.col("b").alias("id"),
-                F.when(linked, 2).when(within, 1).otherwise(0).alias("grade"),
-                (F.col("shared") / F.col("total")).alias("j"),
-            ),
-            ["pivot", "id"], "left",
-        ).select("key", "pivot", "id", F.coalesce("grade", F.lit(0)).alias("grade"), "j")
-        graded = kept(graded, "graded")
-        # what is near the pivot but not linked, against what is linked with it
-        near = graded.where("grade = 1").select("key", F.col("id").alias("a"), F.col("j").alias("ja"))
-        done = graded.where("grade = 2").select(
-            F.col("key").alias("k"), F.col("id").alias("b"), F.col("j").alias("jb")
-        )
-        gap = F.abs(F.col("ja") - F.col("jb")) <= (1 - percent / 100) + 1e-9
-        cross = near.join(done, (F.col("key") == F.col("k")) & gap).select("a", "b").distinct()
-        more = kept(_similar(cross, classes, texts, percent, width).where(linked).select("a", "b"), "links")
-        found = found.union(more)
-        rest = graded.where("grade < 2").select("key", "id")
-        again = rest.groupBy("key").agg(F.min("id").alias("pivot"), F.count("*").alias("n"))
-        again = again.where("n > 1").select(F.col("key").alias("k"), "pivot", "n")
-        star = kept(
-            rest.join(again, F.col("key") == F.col("k")).select("key", "id", "pivot", "n"), "star"
-        )
-    left = kept(_similar(_block_pairs(star), classes, texts, percent, width), "judged")
-    return found.union(left.where(linked).select("a", "b"))
-
-
-def _block_pairs(star: DataFrame) -> DataFrame:
-    """All pairs that share a key, the members of a large key dealt to pairs of blocks."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    dealt = star.select(
-        "key", "id", F.pmod(F.xxhash64("id"), blocks).alias("block"), blocks.alias("blocks")
+    # how central a member is: the original of a family is in more of its keys than a copy
+    # that differs from it here and there. The fraction parts equals.
+    part = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
+    weights = shared.groupBy("id").agg((F.sum("n") + F.first(part)).alias("weight"))
+    members = kept(shared.join(weights, "id"), "members")
+    texts = _texts_of(docs, members.select("id").distinct())
+    linked = F.col("shared") * 100 >= F.col("total") * percent
+
+    first = _close(_pivot_pairs(members), classes).union(_block_pairs(members, classes, NEAREST))
+    found = kept(_judged(first.distinct(), texts, width).where(linked).select("a", "b"), "links")
+    labels = components(found).withColumnRenamed("node", "id")
+    labelled = kept(
+        members.select("key", "id", "n").join(labels, "id", "left").select(
+            "key", "id", "n", F.coalesce("component", "id").alias("label")
+        ),
+        "labelled",
     )
+    apart = labelled.groupBy("key").agg(
+        F.min("label").alias("x"), F.max("label").alias("y")
+    ).where("x != y").select(F.col("key").alias("k"))
+    rest = labelled.join(apart, F.col("key") == F.col("k")).drop("k")
+    last = _judged(_block_pairs(rest, classes).distinct(), texts, width).where(linked)
+    return found.union(kept(last.select("a", "b"), "links"))
+
+
+def _pivot_pairs(members: DataFrame) -> DataFrame:
+    """(a, b): the most central member of each key, and each other member."""
+    heads = members.groupBy("key").agg(F.max_by("id", "weight").alias("pivot"))
+    heads = heads.withColumnRenamed("key", "k")
+    pairs = members.join(heads, F.col("key") == F.col("k")).where("id != pivot")
+    return pairs.select(
+        F.least("id", "pivot").alias("a"), F.greatest("id", "pivot").alias("b")
+    ).distinct()
+
+
+def _block_pairs(members: DataFrame, classes: DataFrame, nearest: int | None = None) -> DataFrame:
+    """Pairs that share a key and whose signatures are under the threshold: of each member
+    with its ``nearest`` ones, or all of different labels, and these in the first key they
+    share alone. The members of a large key are dealt to pairs of blocks, so no task holds
+    more than two blocks."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    label = F.col("label") if "label" in members.columns else F.col("id")
+    dealt = members.select(
+        "key", "id", F.pmod(F.xxhash64("id"), blocks).alias("block"), blocks.alias("blocks"),
+        label.alias("label"),
+    ).join(classes.select("id", "signature"), "id")
     spread = dealt.select(
-        "key", "id", "block",
+        "key", "id", "block", "signature", "label",
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
     ).select(
-        "key", "id", "block",
-        F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
+        "id", "block", "signature", "label",
+    )
+    group = ["key", "x", "y"]
+    return spread.repartition(*group).sortWithinPartitions(*group).mapInArrow(
+        partial(_compare_groups, nearest=nearest), "a bigint, b bigint"
+    )
+
+
+def _compare_groups(batches, nearest):
+    """Rows (key, x, y, id, block, signature, label) sorted by group."""
+    waiting = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        waiting = rows if waiting is None else pa.concat_tables([waiting, rows])
+        groups = np.stack([waiting.column(i).to_numpy() for i in range(3)], axis=1)
+        last = np.flatnonzero((groups != groups[-1]).any(axis=1))
+        done = int(last[-1]) + 1 if len(last) else 0
+        yield _pairs_of(waiting.slice(0, done), groups[:done], nearest)
+        waiting = waiting.slice(done)
+    if waiting is not None:
+        groups = np.stack([waiting.column(i).to_numpy() for i in range(3)], axis=1)
+        yield _pairs_of(waiting, groups, nearest)
+
+
+def _choice_of(keys: np.ndarray, signatures: np.ndarray) -> np.ndarray:
+    """Which choice of symbols made each of these keys."""
+    return (signed(_keys_of(signatures.astype(np.uint64))) == keys).argmax(axis=0)
+
+
+def _first_key(differ: np.ndarray) -> np.ndarray:
+    """The first choice that two signatures share, from where they differ."""
+    by_chunk = differ.reshape(len(differ), CHUNKS, CHUNK)
+    chunk = (by_chunk.sum(axis=2) <= ERRORS).argmax(axis=1)
+    inside = by_chunk[np.arange(len(differ)), chunk]
+    kept_symbols = np.stack([inside[:, [i for i in range(CHUNK) if i not in out]].any(axis=1) for out in _OUT])
+    return chunk * len(_OUT) + (~kept_symbols).argmax(axis=0)
+
+
+def _pairs_of(rows: pa.Table, groups: np.ndarray, nearest: int | None) -> pa.RecordBatch:
+    a, b = [], []
+    if len(groups):
+        ids, block, label = (rows.column(i).to_numpy() for i in (3, 4, 6))
+        signature = np.frombuffer(b"".join(rows.column(5).to_pylist()), "<u2").reshape(-1, SYMBOLS)
+        edges = np.flatnonzero((groups[1:] != groups[:-1]).any(axis=1)) + 1
+        first, size = np.append(0, edges), np.diff(np.concatenate([[0], edges, [len(groups)]]))
+        # most keys have two members: all of these at once
+        two = first[size == 2]
+        differ = signature[two] != signature[two + 1]
+        near = (differ.sum(axis=1) <= THRESHOLD) & (label[two] != label[two + 1])
+        near &= (groups[two, 1] == groups[two, 2]) | (block[two] != block[two + 1])
+        near &= ids[two] != ids[two + 1]
+        if nearest is None:
+            near &= _first_key(differ) == _choice_of(groups[two, 0], signature[two])
+        two = two[near]
+        a += np.minimum(ids[two], ids[two + 1]).tolist()
+        b += np.maximum(ids[two], ids[two + 1]).tolist()
+        for lo, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
+            hi, across, choice = lo + n, groups[lo, 1] != groups[lo, 2], None
+            for i in range(lo, hi):
+                differ = signature[i] != signature[lo:hi]
+                apart = differ.sum(axis=1)
+                near = (apart <= THRESHOLD) & (label[lo:hi] != label[i])
+                if across:
+                    near &= block[lo:hi] != block[i]
+                if nearest is None:
+                    near &= ids[lo:hi] > ids[i]
+                found = np.flatnonzero(near)
+                if nearest is None and len(found):
+                    if choice is None:
+                        choice = _choice_of(groups[lo : lo + 1, 0], signature[lo : lo + 1])[0]
+                    found = found[_first_key(differ[found]) == choice]
+                if nearest is not None and len(found) > nearest:
+                    found = found[np.argsort(apart[found], kind="stable")[:nearest]]
+                a += np.minimum(ids[i], ids[lo:hi][found]).tolist()
+                b += np.maximum(ids[i], ids[lo:hi][found]).tolist()
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
     )
-    one = spread.select("key", "x", "y", F.col("id").alias("a"), F.col("block").alias("ba"))
-    two = spread.select("key", "x", "y", F.col("id").alias("b"), F.col("block").alias("bb"))
-    met = one.join(two, ["key", "x", "y"]).where("a < b and (x = y or ba != bb)")
-    return met.select("a", "b").distinct()
 
 
 def near_duplicates(

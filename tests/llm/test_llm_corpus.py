@@ -81,9 +81,9 @@ def variants():
     return list(enumerate(rows))
 
 
-@pytest.mark.parametrize("rounds, block", [(near_dup.ROUNDS, near_dup.BLOCK), (0, 7)])
-def test_near_duplicates(spark, monkeypatch, rounds, block):
-    monkeypatch.setattr(near_dup, "ROUNDS", rounds)
+@pytest.mark.parametrize("nearest, block", [(near_dup.NEAREST, near_dup.BLOCK), (1, 7)])
+def test_near_duplicates(spark, monkeypatch, nearest, block):
+    monkeypatch.setattr(near_dup, "NEAREST", nearest)
     monkeypatch.setattr(near_dup, "BLOCK", block)
     rows = variants()
     docs = spark.createDataFrame(
@@ -290,3 +290,15 @@ def test_pipeline_with_odd_rows(spark, tmp_path):
     spark.createDataFrame([(1, "x y z")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     got = corpus_pipeline.run(spark, str(tmp_path)).toPandas()
     assert sorted(got["doc_id"].fillna(-1)) == [-1, -1, 3, 3]
+
+
+def test_a_pair_has_one_first_key():
+    r = np.random.default_rng(2)
+    for _ in range(300):
+        a = r.integers(0, 1 << 16, near_dup.SYMBOLS).astype(np.uint64)
+        b = a.copy()
+        b[r.choice(near_dup.SYMBOLS, r.integers(0, 18), replace=False)] ^= np.uint64(1)
+        keys = near_dup._keys_of(np.stack([a, b]))
+        shared = np.flatnonzero(keys[:, 0] == keys[:, 1])
+        assert near_dup._first_key((a != b)[None])[0] == shared[0]
+        assert near_dup._choice_of(near_dup.signed(keys[shared[:1], 0]), a[None]) == shared[0]
