@@ -42,8 +42,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts repeated passages out of all but the first document; n_chars follows."""
-    return substrings.without_spans(docs, substrings.repeated_spans(docs))
+    """Cuts repeated lines and passages but the first of each; n_chars follows."""
+    return substrings.without_spans(docs, substrings.repeated_spans(docs, whole_lines=True))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def html_extraction(spark, d):
 
 @query("op3_substring_dedup")
 def substring_dedup(spark, d):
-    return substrings.repeated_spans(table(spark, d, "documents")).drop("row_tag")
+    return substrings.repeated_spans(table(spark, d, "documents"), whole_lines=True).drop("row_tag")
 
 
 NEAR_SQL = r"""

@@ -1,16 +1,18 @@
-"""Passages that repeat across documents, found by hashed units and removed but once.
+"""Lines and passages that repeat across documents, found by hashed units, removed but once.
 
-The unit is the line; a line is cut further into phrases of about nine words, since a
-passage is often pasted into the middle of a line. Cuts lie where the hash of two
+Lines are hashed whole: of a line that repeats, every occurrence but the earliest goes,
+whatever its length (``whole_lines``). A line is also cut into phrases of about nine words,
+since a passage is often pasted into the middle of a line. Cuts lie where the hash of two
 neighbouring words is the least within REACH gaps to either side, so they depend on the
 words around them alone and fall alike in every copy. Units are normalised (A-Z lowered,
 white space ignored), hashed, and grouped over all documents. The occurrence in the least
-document, and there the first, stays. Repeated units next to each other make a span, and a
-span of at least ``min_words`` words is removed. Offsets are code points of the original.
+document, and there the first, stays. Offsets are code points of the original.
 
-A passage of 50 words has at least 20 of them in whole units in all but rare cases, so 20
-is the default; its first and last words may stay where they share a unit with their
-surroundings. Shorter repeated lines alone are no evidence and stay.
+Repeated phrases next to each other make an island. Each of its ends is widened word by
+word against the copy that stays, so a passage goes up to its first and last word, and one
+whole phrase in it is enough to find it. A widened island of at least ``min_words`` words
+is removed. A common run that goes on past the phrase next to an island and REACH + 1 words
+would have that phrase in the island, so no more words than these are compared.
 """
 
 from __future__ import annotations
@@ -26,11 +28,14 @@ from kilospan.llm.common import (
 
 REACH = 4
 MIN_WORDS = 20
+ASKS = 500_000
 UNITS = (
-    "digest bigint, doc_id bigint, row_tag int, unit int, start int, end int, words int, "
-    "again boolean"
+    "digest bigint, doc_id bigint, row_tag int, unit int, word int, start int, end int, "
+    "words int, origin int"
 )
+AROUND = "doc_id bigint, row_tag int, ask int, hashes array<bigint>, places array<int>"
 _PAIR = seeds(2, 41)
+_LINE = seeds(1, 43)[0]
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -54,52 +59,119 @@ def unit_starts(words: np.ndarray, line: np.ndarray, reach: int = REACH) -> np.n
     return np.concatenate([[0], np.flatnonzero(cut) + 1])
 
 
-def unit_rows(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """All units of (doc_id, row_tag, text) rows: see UNITS. ``again`` marks a unit whose
-    digest occurs earlier in the same text."""
+def _texts_apart(texts, reader, reach: int):
+    """Per slice of texts: its rows lo..hi, hashes of words, text, line and characters of
+    each word, and the first word of each phrase."""
+    data, at = text_bytes(texts)
+    for lo, hi in row_slices(at):
+        raw, edges = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+        bounds = _words_apart(reader, raw, edges)
+        if bounds is None:
+            continue
+        words, first, end = bounds
+        doc = np.searchsorted(edges, first, "right") - 1
+        line = np.concatenate([[0], np.cumsum(raw == 10)])[first] + doc
+        chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
+        head = chars[edges[doc]]
+        yield (
+            lo, hi, words, doc, line, chars[first] - head, chars[end] - head,
+            unit_starts(words, line, reach),
+        )
+
+
+def unit_rows(docs: DataFrame, reach: int = REACH, whole_lines: bool = False) -> DataFrame:
+    """All units of (doc_id, row_tag, text) rows: see UNITS. ``word`` is the number of the
+    first word in the text, ``origin`` the first unit of the same digest there. With
+    ``whole_lines``, lines are rows too, numbered -1, -2 ...; their digests are never those
+    of phrases."""
 
     def cut(batches):
         reader = spaced_words()
         for batch in batches:
-            data, at = text_bytes(batch.column(2))
             ids = batch.column(0).to_numpy()
             tags = batch.column(1).to_numpy()
-            for lo, hi in row_slices(at):
-                raw, edges = data[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
-                bounds = _words_apart(reader, raw, edges)
-                if bounds is None:
-                    continue
-                words, first, end = bounds
-                doc = np.searchsorted(edges, first, "right") - 1
-                breaks = np.concatenate([[0], np.cumsum(raw == 10)])
-                begin = unit_starts(words, breaks[first] + doc, reach)
-                stop = np.append(begin[1:], len(words))
+            for lo, hi, words, doc, line, left, right, phrases in _texts_apart(
+                batch.column(2), reader, reach
+            ):
                 up, down = _powers(len(words) + 1)
                 run = np.zeros(len(words) + 1, np.uint64)
                 np.cumsum(words * up[: len(words)], out=run[1:])
-                size = stop - begin
-                digest = signed(mix64((run[stop] - run[begin]) * down[begin] + size.astype(np.uint64)))
-                chars = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])
-                home = doc[begin]
-                head = chars[edges[home]]
-                order = np.lexsort((begin, digest, home))
-                repeat = np.zeros(len(begin), bool)
-                repeat[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (
-                    home[order[1:]] == home[order[:-1]]
-                )
-                number = np.arange(len(begin)) - np.searchsorted(home, home, "left")
+                lines = np.append(0, np.flatnonzero(line[1:] != line[:-1]) + 1)
+                kinds = [(phrases, np.uint64(0))] + [(lines, _LINE)] * whole_lines
+                for begin, salt in kinds:
+                    stop = np.append(begin[1:], len(words))
+                    size = stop - begin
+                    whole = (run[stop] - run[begin]) * down[begin] + size.astype(np.uint64)
+                    digest = signed(mix64(whole ^ salt))
+                    home = doc[begin]
+                    number = np.arange(len(begin)) - np.searchsorted(home, home, "left")
+                    if salt:
+                        number = -1 - number
+                    order = np.lexsort((begin, digest, home))
+                    fresh = np.ones(len(begin), bool)
+                    fresh[1:] = (digest[order[1:]] != digest[order[:-1]]) | (
+                        home[order[1:]] != home[order[:-1]]
+                    )
+                    group = np.maximum.accumulate(np.where(fresh, np.arange(len(begin)), 0))
+                    origin = np.empty(len(begin), np.int32)
+                    origin[order] = number[order[group]]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(digest), pa.array(ids[lo:hi][home]), pa.array(tags[lo:hi][home]),
+                            pa.array(number.astype(np.int32)),
+                            pa.array((begin - np.searchsorted(doc, home, "left")).astype(np.int32)),
+                            pa.array(left[begin].astype(np.int32)),
+                            pa.array(right[stop - 1].astype(np.int32)),
+                            pa.array(size.astype(np.int32)), pa.array(origin),
+                        ],
+                        ["digest", "doc_id", "row_tag", "unit", "word", "start", "end", "words", "origin"],
+                    )
+
+    return docs.mapInArrow(cut, UNITS)
+
+
+def words_around(asked: DataFrame, reach: int = REACH) -> DataFrame:
+    """Words next to phrases of (doc_id, row_tag, text, asks) rows, the nearest first: see
+    AROUND. An ask is twice the number of a phrase, plus 1 for the words behind it; places
+    are the outer edges of the words."""
+
+    def look(batches):
+        reader = spaced_words()
+        for batch in batches:
+            ids, tags = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            asks = batch.column(3).to_pylist()
+            for lo, hi, words, doc, _, left, right, begin in _texts_apart(
+                batch.column(2), reader, reach
+            ):
+                words = signed(words)
+                out = [[], [], [], [], []]
+                units = np.searchsorted(doc[begin], np.arange(hi - lo + 1))
+                inside = np.searchsorted(doc, np.arange(hi - lo + 1))
+                begin = np.append(begin, len(words))
+                for i in range(hi - lo):
+                    for ask in asks[lo + i]:
+                        k = int(units[i]) + ask // 2
+                        if ask % 2:
+                            a = begin[k + 1]
+                            b = begin[min(k + 2, units[i + 1])] + reach + 1
+                            b = max(a, min(b, inside[i + 1]))
+                            found, places = words[a:b], right[a:b]
+                        else:
+                            b = begin[k]
+                            a = max(begin[max(k - 1, units[i])] - reach - 1, inside[i])
+                            found, places = words[a:b][::-1], left[a:b][::-1]
+                        for column, value in zip(out, (ids[lo + i], tags[lo + i], ask, found, places)):
+                            column.append(value)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(digest), pa.array(ids[lo:hi][home]), pa.array(tags[lo:hi][home]),
-                        pa.array(number.astype(np.int32)),
-                        pa.array((chars[first[begin]] - head).astype(np.int32)),
-                        pa.array((chars[end[stop - 1]] - head).astype(np.int32)),
-                        pa.array(size.astype(np.int32)), pa.array(repeat),
+                        pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()),
+                        pa.array(out[2], pa.int32()), pa.array(out[3], pa.list_(pa.int64())),
+                        pa.array(out[4], pa.list_(pa.int32())),
                     ],
-                    ["digest", "doc_id", "row_tag", "unit", "start", "end", "words", "again"],
+                    ["doc_id", "row_tag", "ask", "hashes", "places"],
                 )
 
-    return docs.mapInArrow(cut, UNITS)
+    return asked.select("doc_id", "row_tag", "text", "asks").mapInArrow(look, AROUND)
 
 
 def _words_apart(reader, raw: np.ndarray, edges: np.ndarray):
@@ -126,42 +198,136 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).where("doc_id is not null and text is not null")
 
 
+def _widened(islands: DataFrame, holders: DataFrame, rows: DataFrame, reach: int) -> DataFrame:
+    """Islands with both ends moved outwards over all words that are alike in the copy that
+    stays: that of the first phrase for the start, that of the last one for the end."""
+    home = ["doc_id", "row_tag"]
+
+    def ends(side: int, name: str) -> DataFrame:
+        end = F.col(name)
+        return islands.select(
+            *home, "island", F.lit(side).alias("side"), (end["unit"] * 2 + side).alias("ask"),
+            end["digest"].alias("digest"), end["origin"].alias("origin"),
+        )
+
+    edges = ends(0, "head").union(ends(1, "tail"))
+    held = holders.select(F.col("digest").alias("known"), "first_doc_id", "first_tag", "first_unit")
+    across = edges.where("origin is null").join(held, F.col("digest") == F.col("known")).select(
+        *home, "island", "side", "ask", "first_doc_id", "first_tag",
+        (F.col("first_unit") * 2 + F.col("side")).alias("first_ask"),
+    )
+    inside = edges.where("origin is not null").select(
+        *home, "island", "side", "ask", F.col("doc_id").alias("first_doc_id"),
+        F.col("row_tag").alias("first_tag"),
+        (F.col("origin") * 2 + F.col("side")).alias("first_ask"),
+    )
+    pairs = kept(across.union(inside), "edges")
+    asks = kept(
+        pairs.select(*home, "ask").union(pairs.select("first_doc_id", "first_tag", "first_ask"))
+        .groupBy(*home).agg(F.collect_set("ask").alias("asks")),
+        "asks",
+    )
+    n = asks.agg(F.sum(F.size("asks"))).first()[0] or 0
+    wanted = asks.select(F.col("doc_id").alias("d"), F.col("row_tag").alias("t"), "asks")
+    side = F.broadcast(wanted) if n <= ASKS else wanted
+    asked = rows.join(side, (F.col("doc_id") == F.col("d")) & (F.col("row_tag") == F.col("t")))
+    around = kept(words_around(asked, reach), "around").dropDuplicates([*home, "ask"])
+    theirs = around.select(
+        F.col("doc_id").alias("first_doc_id"), F.col("row_tag").alias("first_tag"),
+        F.col("ask").alias("first_ask"), F.col("hashes").alias("their_hashes"),
+    )
+    both = pairs.join(around, [*home, "ask"]).join(
+        theirs, ["first_doc_id", "first_tag", "first_ask"]
+    )
+    alike = F.zip_with("hashes", "their_hashes", lambda x, y: x.eqNullSafe(y))
+    unlike = F.array_position(alike, F.lit(False)).cast("int")
+    both = both.withColumn("more", F.when(unlike > 0, unlike - 1).otherwise(F.size(alike)))
+    place = F.when(F.col("more") > 0, F.try_element_at("places", F.greatest("more", F.lit(1))))
+    moved = both.withColumn("place", place).groupBy(*home, "island").agg(
+        *[
+            F.max(F.when(F.col("side") == i, F.col(c))).alias(f"{c}_{i}")
+            for c in ("more", "place") for i in (0, 1)
+        ]
+    )
+    return islands.join(moved, [*home, "island"]).select(
+        *home, F.coalesce("place_0", "start").alias("start"),
+        F.coalesce("place_1", "end").alias("end"), (F.col("word") - F.col("more_0")).alias("word"),
+        (F.col("stop") + F.col("more_1")).alias("stop"), F.col("head")["first_doc_id"].alias("first_doc_id"),
+    )
+
+
 def repeated_spans(
     docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
-    reach: int = REACH,
+    reach: int = REACH, whole_lines: bool = False,
 ) -> DataFrame:
     """One row per span to remove: doc_id, row_tag, start and end (code points of the
     original text), n_words, first_doc_id (the document whose copy of its first unit stays).
 
+    Passages of ``min_words`` words or more; with ``whole_lines``, also every repeated line.
     Null and empty texts and rows with a null id have no spans and keep nothing from being
     removed. Rows that share an id are one document: they are not held against each other.
     """
-    units = kept(unit_rows(_rows(docs, id_col, text_col), reach), "units")
-    fresh = units.where("not again")
+    rows = _rows(docs, id_col, text_col)
+    units = kept(unit_rows(rows, reach, whole_lines), "units")
+    fresh = units.where("origin = unit")
     first = fresh.groupBy("digest").agg(
         F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
     ).where("first_doc_id != last_doc_id").select(
         F.col("digest").alias("known"), "first_doc_id"
     )
-    columns = ["doc_id", "row_tag", "unit", "start", "end", "words", "first_doc_id"]
-    across = fresh.join(first, F.col("digest") == F.col("known")).where(
-        "doc_id != first_doc_id"
-    ).select(*columns)
-    inside = units.where("again").select(*columns[:-1], F.col("doc_id").alias("first_doc_id"))
+    matched = kept(
+        fresh.join(first, F.col("digest") == F.col("known")).drop("known", "origin"), "matched"
+    )
+    columns = ["digest", "doc_id", "row_tag", "unit", "word", "start", "end", "words", "first_doc_id"]
+    across = matched.where("doc_id != first_doc_id").select(
+        *columns, F.lit(None).cast("int").alias("origin")
+    )
+    inside = units.where("origin != unit").select(
+        *columns[:-1], F.col("doc_id").alias("first_doc_id"), "origin"
+    )
     home = ["doc_id", "row_tag"]
     order = Window.partitionBy(*home).orderBy("unit")
-    once = across.union(inside).withColumn("last", F.lag("unit").over(order)).where(
+    again = across.union(inside)
+    once = again.where("unit >= 0").withColumn("last", F.lag("unit").over(order)).where(
         "last is null or last != unit"  # a repeated row has its units again
     )
-    islands = once.withColumn("island", F.col("unit") - F.row_number().over(order))
+    end = F.struct("first_doc_id", "digest", "unit", "origin")
+    islands = kept(
+        once.withColumn("island", F.col("unit") - F.row_number().over(order))
+        .groupBy(*home, "island")
+        .agg(
+            F.min("start").alias("start"), F.max("end").alias("end"), F.min("word").alias("word"),
+            F.max(F.col("word") + F.col("words")).alias("stop"),
+            F.min_by(end, "unit").alias("head"), F.max_by(end, "unit").alias("tail"),
+        ),
+        "islands",
+    )
+    holders = matched.where("doc_id = first_doc_id and unit >= 0").groupBy(
+        "digest", "first_doc_id"
+    ).agg(F.min(F.struct("row_tag", "unit")).alias("at")).select(
+        "digest", "first_doc_id", F.col("at.row_tag").alias("first_tag"), F.col("at.unit").alias("first_unit")
+    )
+    spans = _widened(islands, holders, rows, reach).where(F.col("stop") - F.col("word") >= min_words)
+    if whole_lines:
+        spans = spans.union(
+            again.where("unit < 0").select(
+                *home, "start", "end", "word", (F.col("word") + F.col("words")).alias("stop"),
+                "first_doc_id",
+            )
+        )
+    # spans that overlap or follow each other are one
+    order = Window.partitionBy(*home).orderBy("word", "stop")
+    before = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    apart = spans.withColumn("apart", F.coalesce((F.col("word") > before).cast("int"), F.lit(1)))
     return (
-        islands.groupBy(*home, "island")
+        apart.withColumn("span", F.sum("apart").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*home, "span")
         .agg(
             F.min("start").alias("start"), F.max("end").alias("end"),
-            F.sum("words").alias("n_words"), F.min_by("first_doc_id", "unit").alias("first_doc_id"),
+            (F.max("stop") - F.min("word")).cast("bigint").alias("n_words"),
+            F.min_by("first_doc_id", "word").alias("first_doc_id"),
         )
-        .where(F.col("n_words") >= min_words)
-        .drop("island")
+        .drop("span")
     )
 
 

@@ -179,6 +179,34 @@ def test_repeats_inside_one_text_and_counts(spark):
     assert out[1]["text"].split().count(words(60, 7)[30]) == 1 and out[2]["text"].startswith("漢 漢")
 
 
+def test_every_later_copy_of_a_line_goes(spark):
+    rows = [(i, f"{' '.join(words(30, i))}\nSHORT  shared line.\n{' '.join(words(9, 50 + i))}\nshort shared line.") for i in range(8)]
+    rows += [(20, "a short shared line. in a line\nOne"), (21, "one\nshort shared line. in\n\nend"), (None, "end")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    spans = substrings.repeated_spans(docs, whole_lines=True)
+    by = {r["doc_id"]: r["text"] for r in substrings.without_spans(docs, spans).collect()}
+    for i, t in rows[:8]:
+        parts = t.split("\n")
+        assert by[i].split("\n") == parts[: 3 if i == 0 else 1] + ([] if i == 0 else [parts[2]]) + [""]
+    assert by[20] == rows[8][1] and by[21] == "short shared line. in\n\nend"
+
+
+def test_short_passages_go_whole(spark):
+    """Passages of 51 to 60 words in mid-line: none is missed, none loses a word too few."""
+    rows, found = [], {}
+    for i in range(400):
+        inner = words(51 + i % 10, 9000 + i)
+        for k in (0, 1):
+            own = [f"x{i}y{k}", *words(12, 20_000 + 2 * i + k), f"v{i}w{k}"]
+            rows.append((1000 * k + i, " ".join([*own, *inner, *own[::-1]])))
+            found[1000 * k + i] = " ".join(inner)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = substrings.repeated_spans(docs, whole_lines=True).toPandas()
+    texts = dict(rows)
+    cut = {s.doc_id: texts[s.doc_id][s.start : s.end] for s in got.itertuples()}
+    assert len(got) == 400 and cut == {i: t for i, t in found.items() if i >= 1000}
+
+
 def test_units_of_a_passage_do_not_depend_on_what_is_around():
     from kilospan.llm.common import spaced_words
 
