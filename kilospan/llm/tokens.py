@@ -16,6 +16,9 @@ import numpy as np
 
 CACHE_WORDS = 700_000
 FILL = 2048
+# white space but blanks and line breaks: in texts of ASCII, and beyond
+_OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
+_BEYOND = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 _CODERS: dict[tuple[str, bool], "Coder"] = {}
 
 
@@ -28,7 +31,10 @@ def coder(path: str, places: bool = False) -> "Coder":
 
 def _plainly_spaced(text: str) -> bool:
     """All white space is single blanks and line breaks between other characters."""
-    return len(text.split()) == text.count(" ") + text.count("\n") + 1 and "\0" not in text
+    if len(text.split()) != text.count(" ") + text.count("\n") + 1 or "\0" in text:
+        return False
+    # other white space between words would make up for a line break too many
+    return not any(c in text for c in (_OTHER if text.isascii() else _OTHER + _BEYOND))
 
 
 class Coder:

@@ -58,6 +58,17 @@ def test_coder_equals_the_library(texts):
                 assert [tuple(r) for r in rows[:, 1:].tolist()] == made.offsets
 
 
+@pytest.mark.parametrize("places", [False, True])
+def test_tabs_do_not_hide_line_breaks_from_the_coder(places):
+    texts = ["a\tb\tc\n\n\nd", "a\tb\n\nc", "a\u3000b  c", "x\x1cy\n\nz", "a\u00a0b c\n\nd", "a\u2028b \nc", " a\tb", "a\x85b\n"]
+    coder = Coder(tokenizer_path(), places)
+    for text, packed in zip(texts, coder.encode(texts)):
+        made = coder.tokenizer.encode(text, add_special_tokens=False)
+        rows = np.frombuffer(packed, "<u4").reshape(-1, 3 if places else 1)
+        assert rows[:, 0].tolist() == made.ids
+        assert not places or [tuple(r) for r in rows[:, 1:].tolist()] == made.offsets
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.binary(max_size=60))
 def test_words_of_bytes(data):
