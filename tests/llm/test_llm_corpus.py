@@ -1,5 +1,6 @@
 """Operators that compare texts or vectors with each other, against brute force."""
 
+import math
 import random
 import re
 
@@ -111,6 +112,12 @@ def test_near_duplicates_without_rows_and_with_shared_ids(spark):
     assert dict(zip(got["doc_id"], got["component_id"])) == {5: 5, 7: 5, 8: 5, 9: 9}
 
 
+def test_links_over_the_threshold_are_rare():
+    n, most = near_dup.SYMBOLS, near_dup.THRESHOLD
+    over = {p: sum(math.comb(n, k) * (1 - p) ** k * p ** (n - k) for k in range(most + 1, n + 1)) for p in (0.8, 0.85)}
+    assert over[0.8] < 1e-5 and over[0.85] < 1e-7
+
+
 def test_pigeonhole_keys(spark):
     """Any two signatures within the threshold share a key."""
     r = np.random.default_rng(1)
