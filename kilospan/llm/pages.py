@@ -6,7 +6,9 @@ aligned by simple tree matching: the largest set of matched nodes that keeps par
 sibling order. The wrapper of a host is the merged tree; a node whose text has been the
 same on every page is template, one whose text varies is a slot. Slots hold content,
 unless the page itself marks them as something else (navigation, notices, adverts, forms,
-comments ...); of the rest, an article or main element is taken alone if the page has one.
+comments ...); of the rest, article and main elements are taken alone if they hold most.
+A class or id marks an element by its whole name or its head word, and never one that holds
+an article, main or h1 or most of the page's text.
 
 Wrappers are merged like partial sums: first over the pages of a task, then over tasks in
 groups of FAN_IN. They are as large as a page's structure, not as the number of pages, so a
@@ -58,18 +60,56 @@ APART_NAMES = frozenset(
 APART_ROLES = frozenset(
     "navigation banner contentinfo complementary search form dialog alert menu menubar".split()
 )
+# Words behind a name that make it a part of the same kind, and words before a name that
+# say what something else looks like.
+PART_WORDS = frozenset(
+    "list links link buttons button box wrap wrapper inner container area block section bar slot "
+    "unit units items item posts form content".split()
+)
+LOOKS = frozenset("has with without no not is hide show hidden left right".split())
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
 
 
 class Node:
-    __slots__ = ("tag", "label", "apart", "texts", "children", "parent", "open_text")
+    __slots__ = ("tag", "label", "apart", "named", "texts", "children", "parent", "open_text")
 
-    def __init__(self, tag, label, apart, parent):
+    def __init__(self, tag, label, apart, parent, named=False):
         self.tag, self.label, self.apart, self.parent = tag, label, apart, parent
+        self.named = named
         self.texts, self.children, self.open_text = [], [], []
 
 
+def names_apart(names: str) -> bool:
+    """Whether one of these names says that an element is no content."""
+    for name in names.split():
+        words = _NAME.findall(name)
+        if words and words[0] not in LOOKS:
+            while len(words) > 1 and words[-1] in PART_WORDS:
+                words.pop()
+            if words[-1] in APART_NAMES:
+                return True
+    return False
+
+
+def _mark_apart(builder: "_Builder") -> None:
+    """Settle what stands apart: by tag, role and hidden at once, by name only if it does not
+    hold the page's content."""
+    nodes = [builder.root]
+    for node in nodes:
+        nodes += node.children
+    size = {id(n): sum(map(len, n.texts)) for n in nodes}
+    holds = {id(n): n.tag == "h1" or n.tag in ("article", "main") and not n.named for n in nodes}
+    for node in reversed(nodes[1:]):
+        size[id(node.parent)] += size[id(node)]
+        holds[id(node.parent)] |= holds[id(node)]
+    most = size[id(builder.root)]
+    for node in nodes[1:]:
+        by_name = node.named and node.tag not in ("html", "body", "article", "main")
+        by_name = by_name and not holds[id(node)] and 2 * size[id(node)] <= most
+        node.apart = node.parent.apart or node.apart or by_name
+
+
 class _Builder(HTMLParser):
     """Blocks and their texts, in page order. Inline elements do not cut a text."""
 
@@ -102,10 +142,9 @@ class _Builder(HTMLParser):
             return
         self._flush()
         self._imply(tag)
-        named = not APART_NAMES.isdisjoint(_NAME.findall(names)) and tag not in ("html", "body", "article", "main")
-        apart = tag in APART or named or role in APART_ROLES or hidden
+        apart = tag in APART or role in APART_ROLES or hidden
         label = f"{tag}.{'.'.join(sorted(_NAME.findall(names)))}" if names else tag
-        node = Node(tag, label, self.at.apart or apart, self.at)
+        node = Node(tag, label, apart, self.at, names_apart(names))
         self.at.children.append(node)
         self.at = node
 
@@ -156,6 +195,7 @@ def parse(html: str) -> _Builder:
     builder.feed(html)
     builder.close()
     builder._flush()
+    _mark_apart(builder)
     return builder
 
 
@@ -279,9 +319,9 @@ def main_text(html: str, template: frozenset[str] = frozenset()) -> str:
                 apart = within(around.parent, APART) is not None
         if not apart and path(node) not in template:
             blocks.append((node, text))
-    inside = [(within(n, article), t) for n, t in blocks]
-    if any(a is not None for a, _ in inside):
-        return "\n\n".join(t for a, t in inside if a is not None)
+    inside = [t for n, t in blocks if within(n, article) is not None]
+    if inside and 2 * sum(map(len, inside)) >= sum(len(t) for _, t in blocks):
+        return "\n\n".join(inside)
     return "\n\n".join(t for _, t in blocks)
 
 

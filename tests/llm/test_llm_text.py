@@ -307,6 +307,25 @@ def test_marked_parts_are_no_content():
     assert pages.main_text("a &am b &amp c") == "a &am b & c"
 
 
+@pytest.mark.parametrize("around", [
+    "class='content has-sidebar'", "id='page' class='site with-header'", "class='comment-enabled post'",
+    "class='left-sidebar'", "class='sidebar'", "id=main-content class='no-menu'",
+])
+def test_names_around_content_do_not_cut_it(around):
+    story = "The story of the day, which is longer than anything around it."
+    side = "<div class='sidebar-inner'>Side</div><div id='related-posts'>More</div><div class='site-header'>Top</div>"
+    assert pages.main_text(f"<div {around}><article><p>{story}</p></article>{side}</div>") == story
+    assert pages.main_text(f"<div {around}><p>{story}</div>{side}") == story
+    assert pages.main_text(f"<div {around}><h1>Day</h1></div><div><p>{story}</div>") == f"Day\n\n{story}"
+
+
+def test_one_teaser_is_not_the_page():
+    body = "A body in divs, far longer than the teaser beside it."
+    assert pages.main_text(f"<div>{body}</div><article>Teaser</article>") == f"{body}\n\nTeaser"
+    comments = "<div id='comments'><article class='comment'>Nice</article></div>"
+    assert pages.main_text(f"<article>{body}</article><div>Imprint</div>{comments}") == body
+
+
 def test_merge_order_does_not_matter_for_templates():
     trees = [pages.wrapper(pages.skeleton(pages.parse(page(f"T{i}", [str(i)] * (1 + i % 3))).root)) for i in range(12)]
     one = trees[0]
