@@ -16,7 +16,7 @@ host with a third of all pages is no hot spot. Pages themselves are never shuffl
 unless the table of template nodes is too large to broadcast, which is measured.
 
 A node is template only on the evidence of MIN_PAGES different pages: on fewer, a title
-that two pages share would look like one.
+that two pages share would look like one. Nodes are aligned by tag and names without digits.
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from kilospan.llm.common import kept, row_slices, text_bytes
 
 MIN_PAGES = 10
+ID_WORDS = 2
 FAN_IN = 64
 HELD_HOSTS = 5000
 BROADCAST_BYTES = 64 << 20
@@ -69,6 +70,7 @@ PART_WORDS = frozenset(
 LOOKS = frozenset("has with without no not is hide show hidden left right".split())
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
+_DIGIT = re.compile(r"\d")
 
 
 class Node:
@@ -92,6 +94,15 @@ def names_apart(names: str) -> bool:
     return False
 
 
+def label_of(tag: str, classes: str, name: str) -> str:
+    """What a node is aligned by. Names with a digit, and ids of more than ID_WORDS words,
+    tell one page from another and are no part of it."""
+    known = {c for c in classes.split() if not _DIGIT.search(c)}
+    if name and not _DIGIT.search(name) and len(_NAME.findall(name)) <= ID_WORDS:
+        known.add(f"#{name.strip()}")
+    return ".".join([tag, *sorted(known)])
+
+
 def _mark_apart(builder: "_Builder") -> None:
     """Settle what stands apart: by tag, role and hidden at once, by name only if it does not
     hold the page's content."""
@@ -132,7 +143,9 @@ class _Builder(HTMLParser):
             elif tag == "br" and not self.silent:
                 self.at.open_text.append(" ")
             return
-        names = " ".join(v or "" for k, v in attrs if k in ("class", "id")).lower()
+        classes, name = (
+            " ".join(v or "" for k, v in attrs if k == key).lower() for key in ("class", "id")
+        )
         role = next((v or "" for k, v in attrs if k == "role"), "").lower()
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
         if self.silent or tag in SILENT:
@@ -143,8 +156,8 @@ class _Builder(HTMLParser):
         self._flush()
         self._imply(tag)
         apart = tag in APART or role in APART_ROLES or hidden
-        label = f"{tag}.{'.'.join(sorted(_NAME.findall(names)))}" if names else tag
-        node = Node(tag, label, apart, self.at, names_apart(names))
+        named = names_apart(f"{classes} {name}")
+        node = Node(tag, label_of(tag, classes, name), apart, self.at, named)
         self.at.children.append(node)
         self.at = node
 
@@ -270,10 +283,24 @@ def merge(a: list, b: list) -> list:
 
 
 def _merge(a: list, b: list) -> list:
+    """Aligned children become one. Of those left over, like ones of the two sides become
+    one, too, in order: no label is more frequent among the children than on one side."""
     _, pairs = match(a, b)
+    left, right = {x for x, _ in pairs}, {y for _, y in pairs}
+    waiting: dict[str, list[int]] = {}
+    for x, child in enumerate(a[2]):
+        if x not in left:
+            waiting.setdefault(child[0], []).append(x)
+    alike = {}
+    for y, child in enumerate(b[2]):
+        if y not in right and waiting.get(child[0]):
+            alike[waiting[child[0]].pop(0)] = y
+    elsewhere = set(alike.values())
     children, i, j = [], 0, 0
     for x, y in [*pairs, (len(a[2]), len(b[2]))]:
-        children += a[2][i:x] + b[2][j:y]  # nodes only one side has
+        for k in range(i, x):
+            children.append(_merge(a[2][k], b[2][alike[k]]) if k in alike else a[2][k])
+        children += [b[2][k] for k in range(j, y) if k not in elsewhere]
         if x < len(a[2]):
             children.append(_merge(a[2][x], b[2][y]))
         i, j = x + 1, y + 1

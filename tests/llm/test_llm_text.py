@@ -326,6 +326,29 @@ def test_one_teaser_is_not_the_page():
     assert pages.main_text(f"<article>{body}</article><div>Imprint</div>{comments}") == body
 
 
+def test_numbered_names_do_not_hide_templates(spark):
+    rows = [
+        (i, "http://blog.example/", f"<body class='post postid-{i}'><article id='post-{i}' class='post-{i} entry'>"
+         f"<div>Read this blog</div><p>Story {i} of many</p><div id='a-story-{'abcdefghijkl'[i]}-told'><p>End {i}</div></article>")
+        for i in range(12)
+    ]
+    got = pages.extract(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()
+    assert {r["page_id"]: r["text"] for r in got} == {i: f"Story {i} of many\n\nEnd {i}" for i in range(12)}
+
+
+def test_wrappers_stay_as_large_as_a_page():
+    import random
+
+    tags, most, one = ["p", "h2", "ul", "table", "pre"], 0, None
+    for seed in range(150):
+        r = random.Random(seed)
+        body = "".join(f"<{t}>{seed} {k}</{t}>" for k, t in enumerate(r.choices(tags, k=12)))
+        tree = pages.wrapper(pages.skeleton(pages.parse(f"<body><div id='post-{seed}'>{body}</div>").root))
+        most = max(most, pages._size_of(tree))
+        one = tree if one is None else pages.merge(one, tree)
+    assert pages._size_of(one) <= 5 * most
+
+
 def test_merge_order_does_not_matter_for_templates():
     trees = [pages.wrapper(pages.skeleton(pages.parse(page(f"T{i}", [str(i)] * (1 + i % 3))).root)) for i in range(12)]
     one = trees[0]
