@@ -9,7 +9,9 @@ counts of the shorter runs, discounts from counts of counts, interpolation weigh
 The finished model is a sorted array of 64-bit hashes of runs with their log probability,
 and one of contexts with their log weight, per language and length. A text is scored by
 every language; the lowest cross-entropy per symbol wins. A run is looked up once per
-distinct run of a batch, so the cost hardly depends on the number of languages.
+distinct run of a batch, so the cost hardly depends on the number of languages. A model of
+more than HELD_RUNS runs is not gathered: it stays a table, and the distinct runs of the texts
+are joined with it. No run is dropped either way.
 
 Two things are calibrated on the training documents after scoring: the temperature that
 turns cross-entropies into a score from 0 to 1, and per language the cross-entropy beyond
@@ -23,13 +25,13 @@ from functools import lru_cache, reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.llm.common import kept, mix64, row_slices, seeds, signed, text_bytes
 
 ORDER = 4
-MODEL_ENTRIES = 4_000_000
+HELD_RUNS = 4_000_000
 REJECT_SIGMAS = 8.0
 TEMPERATURES = [1, 2, 4, 8, 16, 32, 64, 128]
 EDGE = 0
@@ -170,10 +172,12 @@ def probabilities(counts: DataFrame) -> list[DataFrame]:
 
 class Model:
     """Sorted hash arrays. ``logs[lang][length]``: hashes of runs and their log
-    probabilities; ``weights[lang][length]``: hashes of contexts and their log weights."""
+    probabilities; ``weights[lang][length]``: hashes of contexts and their log weights.
+    A model too large for arrays has the tables of ``probabilities`` instead."""
 
     def __init__(self, langs: list[str]):
         self.langs, self.logs, self.weights = langs, {}, {}
+        self.tables: list[DataFrame] | None = None
         self.unseen: dict[str, float] = {}
 
     @staticmethod
@@ -197,28 +201,22 @@ class Model:
         return out
 
 
-def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_entries: int = MODEL_ENTRIES) -> Model:
-    """Counts all labelled rows (null labels and texts teach nothing) and gathers the model.
-
-    The model is what is gathered, not counts of documents: at most ``max_entries`` runs,
-    shared evenly by languages and lengths, the most frequent ones where there are more.
-    """
+def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", held_runs: int | None = None) -> Model:
+    """Counts all labelled rows (null labels and texts teach nothing) and makes the model of
+    all their runs: arrays up to ``held_runs`` (HELD_RUNS) of them, tables beyond."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
     tables = probabilities(kept(count_runs(labelled), "runs"))
     langs = sorted(r[0] for r in tables[0].select("lang").distinct().collect())
     model = Model(langs)
-    share = max(1, max_entries // (max(1, len(langs)) * ORDER))
+    size = sum(table.count() for table in tables)
+    if size > (HELD_RUNS if held_runs is None else held_runs):
+        model.tables = tables
+        return model
     for length, table in enumerate(tables, 1):
-        cols = [c for c in table.columns if c[0] == "c" and c[1:].isdigit()]
-        order = Window.partitionBy("lang").orderBy(F.desc("n"), *cols)
-        rows = (
-            table.withColumn("place", F.row_number().over(order))
-            .where(F.col("place") <= share)
-            .select("lang", *cols, "p", "weight", "kinds")
-            .toPandas()
-        )
+        cols = _symbol_columns(table)
+        rows = table.select("lang", *cols, "p", "weight", "kinds").toPandas()
         for lang in langs:
             mine = rows[rows["lang"] == lang]
             symbols_ = [mine[c].to_numpy().astype(np.uint32) for c in cols]
@@ -234,6 +232,10 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", max_e
     return model
 
 
+def _symbol_columns(table: DataFrame) -> list[str]:
+    return [c for c in table.columns if c[0] == "c" and c[1:].isdigit()]
+
+
 def _sorted(columns: list[np.ndarray], values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     keys = run_hash(columns)
     order = np.argsort(keys)
@@ -243,6 +245,8 @@ def _sorted(columns: list[np.ndarray], values: pd.Series) -> tuple[np.ndarray, n
 def cross_entropies(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
     """The ``carry`` columns, n_symbols, and ce: natural-log cross-entropy per symbol under
     each language of the model (null where there is no letter)."""
+    if model.tables is not None:
+        return _joined_cross_entropies(docs, model, carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     width = len(model.langs)
     fields = [docs.schema[c] for c in carry]
@@ -274,6 +278,50 @@ def cross_entropies(docs: DataFrame, model: Model, carry: list[str]) -> DataFram
     return docs.select(*carry, "text").mapInArrow(score, schema)
 
 
+def _joined_cross_entropies(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:
+    """As ``cross_entropies``, with the runs of the texts joined with the model's tables."""
+    names = [f"c{i}" for i in range(ORDER)]
+    rows = kept(docs.select(*carry, "text").withColumn("__row", F.monotonically_increasing_id()), "rows")
+
+    def count(batches):
+        for batch in batches:
+            _, at = text_bytes(batch.column(1))
+            for lo, hi in row_slices(at):
+                found, n = runs([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
+                frame = pd.DataFrame(found.astype(np.int32), columns=names)
+                frame.insert(0, "__row", np.repeat(batch.column(0).to_numpy()[lo:hi], n))
+                frame = frame.groupby(["__row", *names], sort=False).size().reset_index(name="n")
+                yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
+
+    schema = f"__row bigint, {', '.join(f'{c} int' for c in names)}, n bigint"
+    counted = kept(rows.select("__row", "text").mapInArrow(count, schema), "row-runs")
+    langs = model.tables[0].groupBy("lang").agg(
+        F.log(F.max("weight") / (F.max("kinds") + 1)).alias("logp")
+    )
+    scored = counted.select(*names).distinct().crossJoin(F.broadcast(langs))
+    for length, table in enumerate(model.tables, 1):
+        cols = _symbol_columns(table)
+        if length > 1:
+            weights = table.groupBy("lang", *cols[:-1]).agg(F.log(F.max("weight")).alias("more"))
+            scored = scored.join(weights, ["lang", *cols[:-1]], "left").withColumn(
+                "logp", F.col("logp") + F.coalesce("more", F.lit(0.0))
+            ).drop("more")
+        known = table.select("lang", *cols, F.log("p").alias("own"))
+        scored = scored.join(known, ["lang", *cols], "left").withColumn(
+            "logp", F.coalesce("own", "logp")
+        ).drop("own")
+    by_lang = counted.join(kept(scored, "run-scores"), names).groupBy("__row", "lang").agg(
+        F.sum("n").alias("n"), (-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("e")
+    )
+    found = by_lang.groupBy("__row").agg(
+        F.max("n").alias("n"), F.sort_array(F.collect_list(F.struct("lang", "e"))).alias("es")
+    )
+    return rows.join(found, "__row", "left").select(
+        *carry, F.coalesce("n", F.lit(0).cast("bigint")).alias("n_symbols"),
+        F.col("es")["e"].alias("ce"),
+    )
+
+
 def identify(
     docs: DataFrame, learn_from: "F.Column | None" = None, id_col: str = "doc_id",
     text_col: str = "text", lang_col: str = "lang",

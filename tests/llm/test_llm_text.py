@@ -259,6 +259,21 @@ def test_kneser_ney_sums_to_one(spark):
         assert abs(total + unseen - 1) < 1e-9
 
 
+def test_a_model_beyond_the_arrays_scores_alike(spark, sf):
+    docs = table(spark, sf, "documents").limit(60).union(
+        spark.createDataFrame([(-1, None, "en", "s", 0), (-2, "12 %", None, "s", 4), (-3, "漢字 qq", None, "s", 5)], table(spark, sf, "documents").schema)
+    )
+    arrays, tables = langid.train(docs), langid.train(docs, held_runs=10)
+    assert arrays.tables is None and tables.tables is not None
+    one, two = (
+        langid.cross_entropies(docs, m, ["doc_id"]).toPandas().set_index("doc_id").sort_index()
+        for m in (arrays, tables)
+    )
+    assert (one["n_symbols"] == two["n_symbols"]).all() and one["ce"].isna().equals(two["ce"].isna())
+    both = one["ce"].notna()
+    assert np.allclose(np.stack(one["ce"][both]), np.stack(two["ce"][both]), rtol=1e-9)
+
+
 def test_held_out_accuracy(spark, sf):
     got = QUERIES["op6_language_id"](spark, sf).toPandas()
     docs = table(spark, sf, "documents").toPandas()
