@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.llm import (
-    decontam, langid, licenses, near_dup, packing, pages, substrings, token_counts, token_files,
-    topk,
+    bpe, decontam, divergence, importance, langid, licenses, near_dup, packing, pages, substrings,
+    token_counts, token_files, topk,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,62 @@ QUALIFY row_number() OVER w <= 5"""
 def top_k_search(spark, d):
     vectors = topk.kept_vectors(table(spark, d, "embeddings"))
     return topk.top_k(vectors.where("vec_id % 50 = 0"), vectors)
+
+
+DIVERGENCE_SQL = r"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS no,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+terms AS (SELECT lang, source, no, unnest(w) AS term FROM docs),
+kept AS (
+  SELECT lang, term, count(*) AS total FROM terms GROUP BY 1, 2 HAVING count(DISTINCT no) >= 3),
+grp AS (SELECT DISTINCT lang, source FROM docs),
+counts AS (SELECT lang, source, term, count(*) AS n FROM terms GROUP BY 1, 2, 3),
+vocab AS (SELECT lang, count(*) AS v, sum(total) AS lang_size FROM kept GROUP BY 1),
+grid AS (
+  SELECT g.lang, g.source, k.term, k.total, coalesce(c.n, 0) AS n
+  FROM grp g JOIN kept k ON g.lang = k.lang
+  LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+sized AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS size FROM grid),
+priced AS (
+  SELECT lang, source, term, n,
+    (1 + (1000000000::HUGEINT * (n + 1)) // (size + v))::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (total + 1)) // (lang_size + v))::BIGINT AS q
+  FROM sized JOIN vocab USING (lang)),
+apart AS (
+  SELECT x.lang, x.source, y.source AS item,
+    sum(((x.p - y.p) * (x.p - y.p)) // y.p)::BIGINT AS value
+  FROM priced x JOIN priced y ON x.lang = y.lang AND x.term = y.term AND x.source != y.source
+  GROUP BY 1, 2, 3),
+parts AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(value, 0) AS value
+  FROM grp x JOIN grp y ON x.lang = y.lang AND x.source != y.source
+  LEFT JOIN apart a ON a.lang = x.lang AND a.source = x.source AND a.item = y.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM priced WHERE n > 0 AND p > q),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS place
+  FROM parts)
+SELECT lang, source, part, item, value, place::INTEGER AS rank FROM placed
+WHERE part = 'pair' OR place <= 200"""
+
+
+@query("op11_source_divergence", DIVERGENCE_SQL)
+def source_divergence(spark, d):
+    return divergence.audit(table(spark, d, "documents"))
+
+
+@query("op12_importance_resampling")
+def importance_resampling(spark, d):
+    drawn = importance.resample(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_bpe_round_trip")
+def bpe_round_trip(spark, d):
+    encoded = bpe.encode_texts(table(spark, d, "documents"), tokenizer_path())
+    return bpe.decode_ids(encoded, tokenizer_path()).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
