@@ -28,19 +28,19 @@ from pyspark.sql import DataFrame
 from kilospan.llm.common import row_slices, text_bytes
 from kilospan.llm.tokens import _plainly_spaced
 
-SLICE = 8 << 20
-KNOWN_UNITS = 500_000
+SLICE = 4 << 20
+KNOWN_UNITS = 300_000
 # Fixed value: how byte-level BPE cuts a text into pieces.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 GAP, GONE = -1, -2
-_CODERS: dict[str, "PairIndexCoder"] = {}
+_OPEN: dict[tuple[type, str], object] = {}
 
 
-def pair_coder(path: str) -> "PairIndexCoder":
+def opened(kind: type, path: str):
     """One coder per worker process: what it knows stays known between tasks."""
-    if path not in _CODERS:
-        _CODERS[path] = PairIndexCoder(path)
-    return _CODERS[path]
+    if (kind, path) not in _OPEN:
+        _OPEN[kind, path] = kind(path)
+    return _OPEN[kind, path]
 
 
 def byte_letters() -> dict[str, int]:
@@ -51,32 +51,73 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
-class PairIndexCoder:
-    """``encode`` texts to ids and ``decode`` ids to bytes.
+def _read(path: str) -> dict:
+    """The tokenizer file, ValueError if it is of another kind than plain byte-level BPE."""
+    with open(path, encoding="utf-8") as f:
+        kind = json.load(f)
+    model, before = kind["model"], kind.get("pre_tokenizer") or {}
+    plain = (
+        model.get("type") == "BPE"
+        and model.get("merges")
+        and kind.get("normalizer") is None
+        and before.get("type") == "ByteLevel"
+        and before.get("use_regex", True)
+        and not before.get("add_prefix_space")
+        and not any(
+            model.get(k)
+            for k in ("dropout", "unk_token", "continuing_subword_prefix",
+                      "end_of_word_suffix", "byte_fallback", "ignore_merges")
+        )
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in kind.get("added_tokens", []))
+    )
+    if not plain:
+        raise ValueError("not a plain byte-level BPE tokenizer")
+    return kind
 
-    Tokenizer files of another kind than plain byte-level BPE are refused with ValueError.
-    """
 
-    def __init__(self, path: str, known_units: int = KNOWN_UNITS):
-        import regex
+def _added(kind: dict) -> dict[str, int]:
+    return {t["content"]: t["id"] for t in kind.get("added_tokens", [])}
 
-        with open(path, encoding="utf-8") as f:
-            kind = json.load(f)
-        self._refuse_others(kind)
-        model, letters = kind["model"], byte_letters()
-        vocab: dict[str, int] = model["vocab"]
-        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-
-        added = {t["content"]: t["id"] for t in kind.get("added_tokens", [])}
-        size = max([*vocab.values(), *added.values()]) + 1
-        spelled = [b""] * size
-        for token, i in chain(vocab.items(), added.items()):
+
+class Decoder:
+    """The bytes of every token, one after the other."""
+
+    def __init__(self, path: str):
+        kind, letters = _read(path), byte_letters()
+        tokens = {**kind["model"]["vocab"], **_added(kind)}
+        self.size = max(tokens.values()) + 1
+        spelled = [b""] * self.size
+        for token, i in tokens.items():
             known = all(c in letters for c in token)
             spelled[i] = bytes(letters[c] for c in token) if known else token.encode()
         self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
-        self.byte_at = np.concatenate([[0], np.cumsum([len(s) for s in spelled])])
+        ends = np.cumsum([len(s) for s in spelled])
+        # an id beyond the vocabulary has no bytes
+        self.at = np.concatenate([[0], ends, ends[-1:]])
 
-        self.size = size
+    def decode(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
+        """The text of each run of ids; bytes that are no UTF-8 give U+FFFD, as do the
+        tokenizers' own decoders."""
+        ids = np.minimum(ids, self.size).astype(np.int64)
+        count = self.at[ids + 1] - self.at[ids]
+        until = np.concatenate([[0], np.cumsum(count)])
+        take = np.repeat(self.at[ids] - until[:-1], count) + np.arange(until[-1])
+        data = self.bytes[take].tobytes()
+        cut = until[at].tolist()
+        return [data[lo:hi].decode("utf-8", "replace") for lo, hi in zip(cut, cut[1:])]
+
+
+class PairIndexCoder:
+    """Ids of texts. What the last slices held is known by unit, the first met kept longest."""
+
+    def __init__(self, path: str, known_units: int = KNOWN_UNITS):
+        import regex
+
+        kind, letters = _read(path), byte_letters()
+        vocab: dict[str, int] = kind["model"]["vocab"]
+        merges = [m.split(" ") if isinstance(m, str) else m for m in kind["model"]["merges"]]
+        added = _added(kind)
+        self.size = size = max([*vocab.values(), *added.values()]) + 1
         self.of_byte = np.array([vocab[c] for c, _ in sorted(letters.items(), key=lambda x: x[1])], np.int32)
         self.left = np.array([vocab[a] for a, _ in merges], np.int32)
         self.right = np.array([vocab[b] for _, b in merges], np.int32)
@@ -95,26 +136,6 @@ class PairIndexCoder:
         # ids of known units: unit u has ids[at[u] : at[u + 1]]
         self.ids, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    @staticmethod
-    def _refuse_others(kind: dict) -> None:
-        model, before = kind["model"], kind.get("pre_tokenizer") or {}
-        plain = (
-            model.get("type") == "BPE"
-            and model.get("merges")
-            and kind.get("normalizer") is None
-            and before.get("type") == "ByteLevel"
-            and before.get("use_regex", True)
-            and not before.get("add_prefix_space")
-            and not any(
-                model.get(k)
-                for k in ("dropout", "unk_token", "continuing_subword_prefix",
-                          "end_of_word_suffix", "byte_fallback", "ignore_merges")
-            )
-            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in kind.get("added_tokens", []))
-        )
-        if not plain:
-            raise ValueError("not a plain byte-level BPE tokenizer")
-
     def _check_order(self) -> None:
         born = np.full(self.size, -1)
         rank = np.arange(len(self.made))
@@ -267,21 +288,6 @@ class PairIndexCoder:
             if arisen.any():
                 add(rank[arisen], where[arisen])
 
-    # -- ids to text -----------------------------------------------------------
-
-    def decode(self, ids: np.ndarray, at: np.ndarray) -> list[str]:
-        """The text of each run of ids; bytes that are no UTF-8 give U+FFFD, as do the
-        tokenizers' own decoders. Ids beyond the vocabulary have no text."""
-        ids = ids.astype(np.int64)
-        ids = np.where(ids < self.size, ids, self.size)
-        begin = np.append(self.byte_at, self.byte_at[-1])
-        count = begin[ids + 1] - begin[ids]
-        until = np.concatenate([[0], np.cumsum(count)])
-        take = np.repeat(begin[ids] - until[:-1], count) + np.arange(until[-1])
-        data = self.bytes[take].tobytes()
-        cut = until[at].tolist()
-        return [data[lo:hi].decode("utf-8", "replace") for lo, hi in zip(cut, cut[1:])]
-
 
 def packed(ids: np.ndarray, at: np.ndarray) -> pa.Array:
     """Runs of ids as a binary column of little-endian unsigned 32-bit integers."""
@@ -297,7 +303,7 @@ def encode_texts(docs: DataFrame, path: str, id_column: str = "doc_id", text: st
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        coder = pair_coder(path)
+        coder = opened(PairIndexCoder, path)
         for batch in batches:
             _, offsets = text_bytes(batch.column("text"))
             for lo, hi in row_slices(offsets, SLICE):
@@ -318,7 +324,7 @@ def decode_ids(encoded: DataFrame, path: str) -> DataFrame:
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        coder = pair_coder(path)
+        coder = opened(Decoder, path)
         for batch in batches:
             data, offsets = text_bytes(batch.column("ids"))
             for lo, hi in row_slices(offsets, SLICE):
