@@ -47,14 +47,16 @@ def stream_clean(spark, d):
 @query(
     "stream_dedupe",
     """WITH hourly AS (SELECT user_id, date_trunc('hour', ts) AS ts, event_id, value FROM events)
-SELECT * FROM hourly WHERE ts <= (SELECT max(ts) - INTERVAL 1 HOUR FROM hourly)
+SELECT * FROM hourly
 QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1""",
 )
 def stream_dedupe(spark, d):
     hourly = _events(spark, d).select(
         "user_id", floor_to_step("ts", 60).alias("ts"), "event_id", "value"
     )
-    return _finished(spark, flows.keep_first(hourly, ["user_id"], "ts", "event_id", DELAY))
+    table = flows.FirstReadings(scratch(spark, "first"), hourly.schema, ["user_id", "ts"], "event_id")
+    flows.run_first_readings(hourly, table, scratch(spark, "progress"))
+    return table.read(spark)
 
 
 SQL_STEPS = f"""steps AS (SELECT event_type, time_bucket(INTERVAL '30 minutes', ts) AS ts,

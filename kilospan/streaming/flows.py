@@ -1,11 +1,17 @@
 """Continuous forms of ingest, cleaning, windowed load and alerts.
 
+Windowed operators give a result once and need a watermark to know when. The first copy of
+each reading can be known only when no copy may come any more, so :func:`run_first_readings`
+keeps a table up to date instead: it never drops a late copy and holds nothing back.
+
 Readings carry a naive clock. Event time must be TIMESTAMP, so the clock is carried
 as if it were UTC and turned back at the end; the session zone plays no part.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,6 +66,62 @@ def keep_first(
     return first.withColumn(ts, as_naive(F.col("event_time"))).select(*df.columns)
 
 
+class FirstReadings:
+    """A table of first readings that micro-batches are merged into.
+
+    A micro-batch writes its own first rows as one run, named by its number, so a batch that
+    is repeated after a failure replaces what it wrote. The first row of each key over all
+    runs is the first reading: runs may overlap, be read twice or stand beside their own
+    merge, since the least of a set stays the least when members repeat. After every
+    ``merge_every`` runs they are merged into one, and only then removed.
+    """
+
+    def __init__(self, path: str, schema, keys: list[str], tiebreak: str, merge_every: int = 16):
+        self.path, self.schema = path.rstrip("/"), schema
+        self.keys, self.tiebreak, self.merge_every = list(keys), tiebreak, merge_every
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The first copy of every reading so far."""
+        if not self._folders(spark):
+            return spark.createDataFrame([], self.schema)
+        runs = spark.read.schema(self.schema).parquet(f"{self.path}/*")
+        return clean.keep_first(runs, self.keys, self.tiebreak)
+
+    def add(self, batch: DataFrame, number: int) -> None:
+        first = clean.keep_first(batch, self.keys, self.tiebreak)
+        first.write.mode("overwrite").parquet(f"{self.path}/run-{number:012d}")
+        if (number + 1) % self.merge_every == 0:
+            self.merge(batch.sparkSession)
+
+    def merge(self, spark: SparkSession) -> None:
+        """All runs as one; the ones it was made of go when it is complete."""
+        covered = self._folders(spark)
+        self.read(spark).write.parquet(f"{self.path}/merged-{uuid.uuid4().hex}")
+        for folder in covered:
+            self._files(spark).delete(folder, True)
+
+    def _files(self, spark: SparkSession):
+        where = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _folders(self, spark: SparkSession) -> list:
+        """Complete runs and merges."""
+        where = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/*/_SUCCESS")
+        return [s.getPath().getParent() for s in self._files(spark).globStatus(where) or []]
+
+
+def run_first_readings(df: DataFrame, table: FirstReadings, checkpoint: str) -> None:
+    """Merge everything that has arrived into the table, then stop; a restart goes on from
+    there. Copies may come in any order and at any time."""
+    run = (
+        df.writeStream.foreachBatch(table.add)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    run.awaitTermination()
+
+
 def clean_scaled(df: DataFrame, ts: str, value: str, bounds: clean.Bounds, freq: Frequency):
     """Row-wise cleaning with fixed bounds: clip, scale, calendar, cyclical columns."""
     if dict(df.dtypes)[ts] == "string":

@@ -70,6 +70,55 @@ def test_keep_first_across_files(spark, folder):
     }
 
 
+def first_table(folder, **kw):
+    return flows.FirstReadings(folder.out, SCHEMA, ["k", "ts"], "seq", **kw)
+
+
+def first_rows(spark, folder, table):
+    stream = flows.read_stream(spark, folder.path, SCHEMA, max_files=1)
+    flows.run_first_readings(stream, table, folder.progress)
+    return {(r["k"], r["ts"], r["x"], r["seq"]) for r in table.read(spark).collect()}
+
+
+def batch_first(spark, folder):
+    got = clean.keep_first(spark.read.schema(SCHEMA).parquet(folder.path), ["k", "ts"], "seq")
+    return {(r["k"], r["ts"], r["x"], r["seq"]) for r in got.collect()}
+
+
+@pytest.mark.parametrize("merge_every", [1, 2, 16])
+def test_first_readings_lose_nothing(spark, folder, merge_every):
+    table = first_table(folder, merge_every=merge_every)
+    day = dt.timedelta(days=1)
+    folder([("a", START, 1.0, 7), ("a", START, 2.0, 3), ("b", START, 9.0, 1), (None, START, 4.0, 2)])
+    folder([("a", START + 30 * day, 5.0, 8), ("a", None, 6.0, 9)])
+    assert first_rows(spark, folder, table) == batch_first(spark, folder)
+    # a month late: an earlier copy, a later copy and a reading of its own, after a restart
+    folder([("a", START, None, 2), ("b", START, 0.0, 6)])
+    folder([("b", START + day, 3.0, 10), ("a", None, 1.0, 4)])
+    got = first_rows(spark, folder, table)
+    assert got == batch_first(spark, folder)
+    assert ("a", START, None, 2) in got and ("a", START + 30 * day, 5.0, 8) in got
+
+
+def test_a_repeated_batch_changes_nothing(spark, folder):
+    table = first_table(folder, merge_every=2)
+    batches = [
+        spark.createDataFrame(rows([0, 30, 0]), SCHEMA),
+        spark.createDataFrame([("a", START, 8.0, -1), ("c", START, 1.0, 5)], SCHEMA),
+    ]
+    for number, batch in enumerate(batches):
+        table.add(batch, number)
+    want = sorted(map(tuple, table.read(spark).collect()))
+    for number, batch in enumerate(batches):
+        table.add(batch, number)
+        assert sorted(map(tuple, table.read(spark).collect())) == want
+    assert want[0][1:] == (START, 8.0, -1)
+
+
+def test_a_table_without_runs_is_empty(spark, folder):
+    assert first_table(folder).read(spark).count() == 0
+
+
 def test_clean_equals_batch(spark, folder):
     folder(rows([0, 15, 45, 700]))
     bounds = clean.Bounds(10.0, 500.0)
