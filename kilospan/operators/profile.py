@@ -39,8 +39,9 @@ def quality_profile(df: DataFrame, keys, ts: str, values) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, value: str, by=()) -> DataFrame:
-    """count, mean, std, min, quartiles and max, all exact."""
+def describe(df: DataFrame, value: str, by=(), superset: DataFrame | None = None) -> DataFrame:
+    """count, mean, std, min, quartiles and max, all exact. ``superset`` as in
+    :func:`exact_quantiles`."""
     by = list(by)
     row = [
         F.count(value).alias("count"),
@@ -49,7 +50,7 @@ def describe(df: DataFrame, value: str, by=()) -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
     ]
-    quartiles = exact_quantiles(df, {"__q": F.col(value)}, [0.25, 0.5, 0.75], by)
+    quartiles = exact_quantiles(df, {"__q": F.col(value)}, [0.25, 0.5, 0.75], by, superset=superset)
     if by:
         joined = left_lookup(df.groupBy(*by).agg(*row), quartiles, by)
         q = F.col("__q")

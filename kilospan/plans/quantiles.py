@@ -1,12 +1,16 @@
 """Exact interpolated quantiles that stay distributed.
 
-``percentile`` keeps a count per distinct value of a group in one place. That is
-exact and fast while few distinct values exist (quantised meters), and impossible
-for billions. :func:`exact_quantiles` measures the distinct count first, and counts
-rows per value before they meet, so that place gets each value once. Beyond the
-limit it narrows each group to the value range that must hold the wanted rank, with
-a bounded sketch as the guess and exact counts as the proof, until few values are
-left to sort.
+``percentile`` keeps a count per distinct value of a group in one place. That is exact and
+fast for a bounded number of rows, and impossible for billions of continuous readings.
+Beyond the bound :func:`exact_quantiles` selects instead of sorting, in two passes over the
+values whatever the number of columns, groups and probabilities:
+
+1. a mergeable sketch per group and column brackets the ranks that are asked for;
+2. rows inside a bracket are counted per value, rows beyond its nearer end as one number.
+
+The counts tell the exact rank of every value in a bracket, and so prove it: a bracket that
+does not hold its ranks is widened and counted again. Inside, brackets are cut into cells,
+so that only the values of the one or two cells that hold the ranks are ever put in order.
 """
 
 from __future__ import annotations
@@ -14,12 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kilospan.plans.sizes import greatest_in, left_lookup, match, settle
+from kilospan.plans.sizes import checkpointed, left_lookup, match
 
 MAX_DISTINCT = 500_000
-GRID = 200
 ACCURACY = 10_000
-MAX_ROUNDS = 40
+CELLS = 1024
+# Half widths of the brackets, as shares of a group, and the rows from which on a sketch of
+# this accuracy is sure to bracket the rank. Smaller groups are taken whole.
+WIDTHS = ((2 / ACCURACY, 2 * ACCURACY), (0.02, 200))
 
 
 def exact_quantiles(
@@ -34,142 +40,146 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with an array of quantiles (linear rule) per named column.
 
-    ``superset`` may name a cheaper table that holds at least the values of ``df``;
-    then distinct values are measured there. ``at_most`` is a known row count.
+    ``at_most`` is a known bound on the rows of ``df``. ``superset`` names a table with at
+    least as many rows that is cheap to count, or ``df`` itself where that is a plain scan.
+    An input that is more than a scan is computed once and kept for the passes over it.
     """
     by = list(by)
-    pick = lambda t: t.select(
+    values = df.select(
         *by, *[F.nanvl(c.cast("double"), F.lit(None)).alias(n) for n, c in columns.items()]
     )
-    named = pick(df)
-    if at_most is not None and at_most <= max_distinct:
-        peaks = dict.fromkeys(columns, at_most)
-    else:
-        sizes = (named if superset is None else pick(superset)).groupBy(*by).agg(
-            *[F.approx_count_distinct(n).alias(n) for n in columns]
-        )
-        if by:
-            sizes = sizes.agg(*[F.max(n).alias(n) for n in columns])
-        peaks = sizes.first()
-    narrow = [n for n in columns if (peaks[n] or 0) <= max_distinct]
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    out = _counted(named, narrow, by).groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__rows"),
+    if at_most is None and superset is not None:
+        at_most = superset.count()
+    if at_most is None or (at_most > max_distinct and superset is not df):
+        values = checkpointed(values)
+        at_most = values.count()
+    if at_most <= max_distinct:
+        ps = F.array(*[F.lit(float(p)) for p in probs])
+        return values.groupBy(*by).agg(*[F.percentile(n, ps).alias(n) for n in columns])
+    return _selected(values, list(columns), [float(p) for p in probs], by)
+
+
+def _selected(values: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame:
+    sketch = checkpointed(_sketch(values, columns, probs, by))
+    for width in range(len(WIDTHS) + 1):
+        marks = checkpointed(_marks(values, _brackets(sketch, columns, probs, by, width), columns, by))
+        found = checkpointed(_ranked(marks, by))
+        if not found.where("__v0 IS NULL OR __v1 IS NULL").limit(1).count():
+            break
+    # weighted as percentile does it, so that results do not depend on the way taken
+    at_rank = F.col("__p") * (F.col("__n") - 1)
+    between = (F.col("__r1") - at_rank) * F.col("__v0") + (at_rank - F.col("__r0")) * F.col("__v1")
+    value = F.when(F.col("__v0") == F.col("__v1"), F.col("__v0")).otherwise(between)
+    at = lambda c, i: F.max(F.when((F.col("__c") == c) & (F.col("__i") == i), value))
+    wide = found.groupBy(*by).agg(
         *[
-            F.percentile(F.when(F.col("__c") == i, F.col("__x")), ps, F.col("__n")).alias(n)
-            for i, n in enumerate(narrow)
-        ],
+            F.when(F.count_if(F.col("__c") == c) > 0, F.array(*[at(c, i) for i in range(len(probs))])).alias(n)
+            for c, n in enumerate(columns)
+        ]
     )
-    for n in columns:
-        if n not in narrow:
-            values = named.where(F.col(n).isNotNull()).select(*by, F.col(n).alias("__x"))
-            found = _selected(values, list(probs), by, max_distinct)
-            if by:
-                out = left_lookup(out, found.withColumnRenamed("__q", n), by)
-            else:
-                row = found.first()
-                out = out.withColumn(n, F.lit(row["__q"] if row else None).cast("array<double>"))
-    return out.select(*by, *columns)
-
-
-def _counted(named: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
-    """Values with their counts, in one shuffle by value for all columns: what the tasks
-    of the next step gather is a row per distinct value, however many tasks have seen it."""
-    cells = [F.struct(F.lit(i).alias("__c"), F.col(n).alias("__x")) for i, n in enumerate(columns)]
-    none = F.struct(F.lit(-1).alias("__c"), F.lit(None).cast("double").alias("__x"))
-    rows = named.select(*by, F.explode(F.array(*(cells or [none]))).alias("__cell"))
-    values = rows.select(*by, "__cell.*")
-    return values.groupBy(*by, "__c", "__x").agg(F.count(F.lit(1)).alias("__n"))
-
-
-def _selected(values: DataFrame, probs: list[float], by: list[str], max_distinct: int):
-    """Quantiles of ``__x`` per group: keep narrowing the range around each rank.
-
-    The state has one row per group and probability: the range [lo, hi] that holds
-    the ranks r0 and r1, and how many values lie below lo.
-    """
-    keys = [*by, "__p"]
-    place = F.col("__p") * (F.col("__n") - 1)
-    state = values.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__x").alias("__lo"),
-        F.max("__x").alias("__hi"),
-    ).withColumn("__p", F.explode(F.array(*[F.lit(float(p)) for p in probs]))).select(
-        *keys, "__lo", "__hi",
-        F.lit(0).cast("bigint").alias("__below"),
-        F.floor(place).cast("bigint").alias("__r0"),
-        F.ceil(place).cast("bigint").alias("__r1"),
+    # groups without any value have a row too
+    return left_lookup(sketch.select(*by), wide, by).select(*by, *columns) if by else wide
+
+
+def _sketch(values: DataFrame, columns, probs, by) -> DataFrame:
+    """Per group and column: count, ends, and the bracket ends of every width."""
+    ends = [min(max(p + s * w, 0.0), 1.0) for p in probs for w, _ in WIDTHS for s in (-1, 1)]
+    grid = F.array(*[F.lit(e) for e in ends])
+    return values.groupBy(*by).agg(
+        *[
+            F.struct(
+                F.count(n).alias("n"), F.min(n).alias("lo"), F.max(n).alias("hi"),
+                F.percentile_approx(n, grid, ACCURACY).alias("grid"),
+            ).alias(n)
+            for n in columns
+        ]
     )
-    state = settle(state)[0]
-    grid = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
-    at = lambda i: F.element_at("__grid", (i + 1).cast("int"))
-    share = GRID / F.greatest(F.col("__m"), F.lit(1))
-    left = F.floor((F.col("__r0") - F.col("__below")) * share) - 1
-    right = F.ceil((F.col("__r1") - F.col("__below") + 1) * share) + 1
-    fixed = ["__lo", "__hi", "__below", "__r0", "__r1"]
-    for _ in range(MAX_ROUNDS):
-        sketch = _inside(values, state, by).groupBy(*keys, *fixed).agg(
-            F.count(F.lit(1)).alias("__m"),
-            F.approx_count_distinct("__x").alias("__d"),
-            F.percentile_approx("__x", grid, ACCURACY).alias("__grid"),
-        )
-        guess = sketch.select(
-            *keys, *fixed, "__d",
-            at(F.greatest(left, F.lit(0))).alias("__a"),
-            at(F.least(right, F.lit(GRID))).alias("__b"),
-        )
-        guess = settle(guess)[0]
-        if (greatest_in(guess, "__d") or 0) <= max_distinct:
-            break
-        proof = _inside(values, guess, by).groupBy(*keys, *fixed, "__a", "__b").agg(
-            F.count_if(F.col("__x") < F.col("__a")).alias("__under"),
-            F.count_if(F.col("__x") <= F.col("__b")).alias("__upto"),
-        )
-        # The sketch only proposes. A bound moves when the counts confirm that both
-        # ranks stay inside it.
-        up = F.col("__below") + F.col("__under") <= F.col("__r0")
-        down = F.col("__below") + F.col("__upto") > F.col("__r1")
-        moved = (up & (F.col("__a") > F.col("__lo"))) | (down & (F.col("__b") < F.col("__hi")))
-        state = settle(
-            proof.select(
-                *keys,
-                F.when(up, F.col("__a")).otherwise(F.col("__lo")).alias("__lo"),
-                F.when(down, F.col("__b")).otherwise(F.col("__hi")).alias("__hi"),
-                (F.col("__below") + F.when(up, F.col("__under")).otherwise(0)).alias("__below"),
-                "__r0", "__r1", moved.cast("int").alias("__moved"),
+
+
+def _brackets(sketch: DataFrame, columns, probs, by, width: int) -> DataFrame:
+    """``__brackets`` per group: for each column c and probability i the ranks r0 and r1 and
+    the values lo and hi around them. Attempts from ``width`` on use wider ones."""
+    found = []
+    for c, name in enumerate(columns):
+        of = lambda field, name=name: F.col(name)[field]
+        for i, p in enumerate(probs):
+            lo, hi = of("lo"), of("hi")
+            for w in reversed(range(width, len(WIDTHS))):
+                share, least = WIDTHS[w]
+                at = 2 * (i * len(WIDTHS) + w)
+                enough = of("n") >= least
+                if p - share > 0:
+                    lo = F.when(enough, of("grid")[at]).otherwise(lo)
+                if p + share < 1:
+                    hi = F.when(enough, of("grid")[at + 1]).otherwise(hi)
+            rank = F.lit(p) * (of("n") - 1)
+            found.append(
+                F.struct(
+                    F.lit(c).alias("c"), F.lit(i).alias("i"), F.lit(p).alias("p"), of("n").alias("n"),
+                    lo.alias("lo"), hi.alias("hi"),
+                    F.floor(rank).alias("r0"), F.ceil(rank).alias("r1"),
+                )
             )
-        )[0]
-        if not greatest_in(state, "__moved"):
-            break
-    counted = _inside(values, state, by).groupBy(*keys, "__x", "__below", "__r0", "__r1").agg(
-        F.count(F.lit(1)).alias("__c")
+    return sketch.select(*by, F.filter(F.array(*found), lambda b: b["n"] > 0).alias("__brackets"))
+
+
+def _marks(values: DataFrame, brackets: DataFrame, columns, by) -> DataFrame:
+    """Rows per bracket and value. Rows beyond the nearer end of the range (above for upper
+    quantiles) have no value; rows beyond the other end need no mark."""
+    if by:
+        # only groups that have values, so that a row finds its brackets or has nothing to mark
+        table = brackets.withColumnsRenamed({c: f"__on_{c}" for c in by})
+        rows = values.join(table, match(values, table, by)).drop(*[f"__on_{c}" for c in by])
+    else:
+        # an aggregate without keys has one row, whose brackets become a literal
+        row = brackets.first()["__brackets"]
+        literal = F.array(
+            *[F.struct(*[F.lit(x).alias(n) for n, x in b.asDict().items()]) for b in row]
+        ).cast(brackets.schema["__brackets"].dataType)
+        rows = values.withColumn("__brackets", literal)
+    cells = F.array(*columns)
+    own = lambda b: F.get(cells, b["c"])
+    upper = lambda b: b["p"] >= 0.5
+    near = F.filter("__brackets", lambda b: F.when(upper(b), own(b) >= b["lo"]).otherwise(own(b) <= b["hi"]))
+    marks = F.transform(
+        near,
+        lambda b: F.struct(
+            *[b[f].alias(f"__{f}") for f in ("c", "i", "p", "n", "lo", "hi", "r0", "r1")],
+            F.when(own(b).between(b["lo"], b["hi"]), own(b)).alias("__x"),
+        ),
     )
-    along = Window.partitionBy(*keys).orderBy("__x")
-    ranked = counted.withColumn("__end", F.col("__below") + F.sum("__c").over(along))
-    holds = lambda r: (F.col("__end") > F.col(r)) & (F.col("__end") - F.col("__c") <= F.col(r))
-    ends = ranked.groupBy(*keys).agg(
-        F.max(F.when(holds("__r0"), F.col("__x"))).alias("__v0"),
-        F.max(F.when(holds("__r1"), F.col("__x"))).alias("__v1"),
+    of = [f"__{f}" for f in ("c", "i", "p", "n", "lo", "hi", "r0", "r1")]
+    return rows.select(*by, F.inline(marks)).groupBy(*by, *of, "__x").agg(F.count(F.lit(1)).alias("__m"))
+
+
+def _ranked(marks: DataFrame, by: list[str]) -> DataFrame:
+    """The values at ranks r0 and r1 of every bracket, NULL where it does not hold them."""
+    of = [f"__{f}" for f in ("c", "i", "p", "n", "r0", "r1")]
+    keys = [*by, "__c", "__i"]
+    upper = F.col("__p") >= 0.5
+    # halves, so that the width of the widest range is a number; one without a width is a cell
+    lo, x, hi = (F.col(c) / 2 for c in ("__lo", "__x", "__hi"))
+    share = F.when(hi > lo, (x - lo) / (hi - lo)).otherwise(F.lit(0.0))
+    inside = F.least(F.floor(F.nanvl(share, F.lit(1.0)) * CELLS), F.lit(CELLS)).cast("int")
+    beyond = F.when(upper, F.lit(CELLS + 1)).otherwise(F.lit(-1))
+    placed = marks.withColumn("__cell", F.when(F.col("__x").isNull(), beyond).otherwise(inside))
+    cells = placed.groupBy(*by, *of, "__cell").agg(F.sum("__m").alias("__m"))
+    whole = Window.partitionBy(*keys)
+    first = F.when(upper, F.col("__n") - F.sum("__m").over(whole)).otherwise(F.lit(0))
+    cells = cells.withColumn("__until", first + F.sum("__m").over(whole.orderBy("__cell")))
+    cells = cells.withColumn("__from", F.col("__until") - F.col("__m"))
+    real = F.col("__cell").between(0, CELLS)
+    holds = lambda r, a, b: (F.col(a) <= F.col(r)) & (F.col(r) < F.col(b))
+    held = holds("__r0", "__from", "__until") | holds("__r1", "__from", "__until")
+    chosen = cells.where(real & held).select(*keys, "__cell", "__from")
+    on = chosen.withColumnsRenamed({c: f"__on_{c}" for c in [*keys, "__cell"]})
+    values = placed.join(on, match(placed, on, [*keys, "__cell"])).drop(
+        *[f"__on_{c}" for c in [*keys, "__cell"]]
     )
-    n = values.groupBy(*by).agg(F.count(F.lit(1)).alias("__n"))
-    ends = left_lookup(ends, n, by) if by else ends.withColumn("__n", F.lit(n.first()[0]))
-    value = F.col("__v0") + (F.col("__v1") - F.col("__v0")) * (place - F.floor(place))
-    got = F.map_from_entries(F.collect_list(F.struct("__p", value)))
-    wide = ends.groupBy(*by).agg(got.alias("__map"))
-    return wide.select(*by, F.array(*[F.col("__map")[float(p)] for p in probs]).alias("__q"))
-
-
-def _inside(values: DataFrame, state: DataFrame, by: list[str]) -> DataFrame:
-    """Rows within the range of each probability of their group."""
-    table, small = settle(state)
-    table = table.drop("__moved")
-    if not by:
-        # One row per probability: literals, no join.
-        ranges = F.array(*[F.struct(*[F.lit(r[c]).alias(c) for c in table.columns])
-                           for r in table.collect()])
-        hit = F.filter(ranges, lambda r: F.col("__x").between(r["__lo"], r["__hi"]))
-        return values.select("__x", F.inline(hit))
-    table = table.withColumnsRenamed({c: f"__on_{c}" for c in by})
-    cond = match(values, table, by) & F.col("__x").between(F.col("__lo"), F.col("__hi"))
-    joined = values.join(F.broadcast(table) if small else table, cond)
-    return joined.drop(*[f"__on_{c}" for c in by])
+    along = Window.partitionBy(*keys, "__cell").orderBy("__x")
+    values = values.withColumn("__end", F.col("__from") + F.sum("__m").over(along))
+    values = values.withColumn("__begin", F.col("__end") - F.col("__m"))
+    pick = lambda r: F.max(F.when(holds(r, "__begin", "__end"), F.col("__x")))
+    ends = values.groupBy(*keys).agg(pick("__r0").alias("__v0"), pick("__r1").alias("__v1"))
+    # every bracket has marks, so one that holds nothing it should shows as NULL
+    return left_lookup(cells.select(*by, *of).distinct(), ends, keys)
