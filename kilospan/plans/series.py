@@ -12,18 +12,23 @@ again afterwards.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from kilospan.functions.clock import MICROS_PER_DAY, epoch_micros, epoch_seconds, sql_name
-from kilospan.plans.sizes import greatest_in, left_lookup, settle
+from kilospan.functions.clock import epoch_micros, epoch_seconds, sql_name
+from kilospan.plans.sizes import checkpointed, left_lookup
 
 ROWS_PER_BLOCK = 2_000_000
 SALTS = 64
+# Pieces per block of rows that a node is cut into, their greatest number, and the least
+# number of leaves in a block: a block takes whole leaves at both ends.
+PIECES = 16
+LEAVES = 4
+MOST_PIECES = 4096
 
 BLOCK, OWN, BUCKET = "__block", "__own", "__bucket"
 START, TOTAL, FIRST, CARRY = "__start", "__total", "__first", "__carry"
@@ -178,6 +183,21 @@ class Series:
             }
         ).drop(BLOCK, BUCKET, START, TOTAL, FIRST, "__lo", "__at", "__hi")
 
+    def with_totals(self, df: DataFrame, totals: dict[str, Column]) -> DataFrame:
+        """Add aggregates over the whole series to each of its rows.
+
+        Moderate series get them in the exchange that other windows use too. Rows of longer
+        ones are kept, added up in parts, and looked up by key.
+        """
+        series = self.measured(df)
+        keys = list(series.keys)
+        if not series.cut:
+            whole = Window.partitionBy(*keys)
+            return df.withColumns({name: total.over(whole) for name, total in totals.items()})
+        df = checkpointed(df)
+        sums = df.groupBy(*keys).agg(*[total.alias(name) for name, total in totals.items()])
+        return left_lookup(df, sums, keys)
+
     # -- long series ---------------------------------------------------------
 
     def _grid_blocks(self, df: DataFrame, before: int, after: int) -> DataFrame:
@@ -206,57 +226,98 @@ class Series:
         )
 
     def _located(self, df, before: int, after: int, carry) -> DataFrame:
-        """Rows of long series with the bucket's place in the series and its blocks.
-
-        A bucket is a span of time narrow enough to hold at most one block of rows.
-        Counting rows per bucket and summing along the series gives each bucket's
-        first position without sorting any row. Rows of short series get NULLs.
+        """Rows of long series with the place of their bucket in the series and its blocks.
+
+        Buckets are the leaves of a tree over time. The span of a series is cut into pieces
+        of a width of its own, about ``PIECES`` to a block, and a piece that still holds
+        more than a quarter of a block is cut again. So the tree is deep only where readings are dense,
+        and its nodes are bounded by the rows per block, not by the span. Counts per piece
+        are summed among the pieces of one node, from where the node itself begins: no task
+        orders the buckets of a whole series, and no row is sorted. Rows of short series
+        get NULLs.
         """
+        keys = list(self.keys)
         size = max(self.rows_per_block, before + after + 1)
-        width = MICROS_PER_DAY
+        rows = df.withColumn("__t", epoch_micros(self.ts))
+        rows = left_lookup(rows, checkpointed(self._roots(rows, size, carry)), keys)
+        leaves = []
         while True:
-            bucket = F.floor(epoch_micros(self.ts) / F.lit(width)).cast("bigint")
-            table = settle(self._places(df, bucket, size, before, after, carry))[0]
-            peak = greatest_in(table, WIDEST) or 0
-            if peak <= size or width == 1:
-                rows = df.withColumn(BUCKET, bucket)
-                return left_lookup(rows, table, [*self.keys, BUCKET]).drop(WIDEST)
-            width = max(1, width // 2 ** math.ceil(math.log2(peak / size)))
-
-    def _places(self, df, bucket: Column, size: int, before: int, after: int, carry) -> DataFrame:
-        """Per bucket of a long series: first position and the blocks that need it."""
-        keys = list(self.keys)
-        aggs = [F.count(F.lit(1)).alias("__n"), F.min(self.ts).alias(FIRST)]
-        if carry is not None:
-            pair = F.struct(F.col(self.ts).alias("ts"), carry.alias("x"))
-            known = F.when(carry.isNotNull(), F.col(self.ts))
-            aggs.append(F.max_by(pair, known).alias(CARRY))
-        counts = df.groupBy(*keys, bucket.alias(BUCKET)).agg(*aggs)
-
-        along = Window.partitionBy(*keys).orderBy(BUCKET)
-        whole = along.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        earlier = along.rowsBetween(Window.unboundedPreceding, -1)
-        placed = {
-            START: F.coalesce(F.sum("__n").over(earlier), F.lit(0)),
-            TOTAL: F.sum("__n").over(whole),
-            WIDEST: F.max("__n").over(whole),
-            FIRST: F.min(FIRST).over(whole),
-        }
-        if carry is not None:
-            placed[CARRY] = F.last(CARRY, ignorenulls=True).over(earlier)
+            cut = F.col("__wide").isNotNull()
+            # readings without a time come first in their series
+            piece = F.coalesce(F.expr("(__t - __from) div __wide"), F.lit(0).cast("bigint"))
+            rows = rows.withColumns(
+                {"__parent": F.col(BUCKET), "__piece": F.when(cut, piece),
+                 BUCKET: F.when(cut, F.concat_ws("/", BUCKET, piece.cast("string"))).otherwise(F.col(BUCKET))}
+            )
+            pieces = checkpointed(self._pieces(rows.where(cut), size, carry))
+            leaves.append(pieces.where("__wide IS NULL").select(*keys, "__n"))
+            below = [START, "__n", *([CARRY] if carry is not None else [])]
+            found = pieces.withColumnsRenamed({c: f"__new{c}" for c in below})
+            rows = left_lookup(rows.drop("__from", "__wide", "__parent", "__piece"), found, [*keys, BUCKET])
+            rows = rows.withColumns({c: F.coalesce(f"__new{c}", c) for c in below})
+            rows = rows.drop(*[f"__new{c}" for c in below])
+            if pieces.where("__wide IS NOT NULL").isEmpty():
+                break
+        widest = reduce(DataFrame.unionByName, leaves).groupBy(*keys).agg(F.max("__n").alias(WIDEST))
+        rows = left_lookup(rows, widest, keys)
         own = F.floor(F.col(START) / size).cast("bigint")
         lo = own
         if after:
             reach = F.greatest(F.col(START) - after - F.col(WIDEST) + 1, F.lit(0))
             lo = F.floor(reach / size).cast("bigint")
         hi = F.floor((F.col(START) + F.col("__n") + before - 1) / size).cast("bigint")
-        return (
-            counts.withColumns(placed)
-            .where(F.col(TOTAL) > self.rows_per_block)
-            .withColumns({"__at": own, "__lo": lo, "__hi": hi})
-            .drop("__n")
+        return rows.withColumns({"__at": own, "__lo": lo, "__hi": hi}).drop(
+            "__t", "__from", "__wide", "__n", WIDEST
         )
 
+    def _roots(self, rows: DataFrame, size: int, carry) -> DataFrame:
+        """One node for each long series, with the width of its pieces."""
+        found = rows.groupBy(*self.keys).agg(
+            F.count(F.lit(1)).alias(TOTAL), F.min(self.ts).alias(FIRST),
+            F.min("__t").alias("__from"), F.max("__t").alias("__until"),
+        ).where(F.col(TOTAL) > self.rows_per_block)
+        span = F.col("__until") - F.col("__from") + 1
+        columns = {
+            BUCKET: F.lit("0"), START: F.lit(0).cast("bigint"), "__n": F.col(TOTAL),
+            "__wide": _piece_width(span, F.col(TOTAL), size),
+        }
+        if carry is not None:
+            columns[CARRY] = F.lit(None).cast(_carry_type(rows, self.ts, carry))
+        return found.withColumns(columns).drop("__until")
+
+    def _pieces(self, rows: DataFrame, size: int, carry) -> DataFrame:
+        """Pieces of the nodes that are cut: their first position, and their own width if
+        they are to be cut again."""
+        keys = list(self.keys)
+        aggs = [
+            F.count(F.lit(1)).alias("__n"), F.max(START).alias("__begin"),
+            F.max("__from").alias("__from"), F.max("__wide").alias("__wide"),
+        ]
+        if carry is not None:
+            pair = F.struct(F.col(self.ts).alias("ts"), carry.alias("x"))
+            known = F.when(carry.isNotNull(), F.col(self.ts))
+            aggs += [F.max_by(pair, known).alias("__last"), F.first(CARRY).alias(CARRY)]
+        counts = rows.groupBy(*keys, "__parent", "__piece", BUCKET).agg(*aggs)
+        earlier = (
+            Window.partitionBy(*keys, "__parent").orderBy("__piece")
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        placed = {START: F.col("__begin") + F.coalesce(F.sum("__n").over(earlier), F.lit(0))}
+        if carry is not None:
+            placed[CARRY] = F.coalesce(F.last("__last", ignorenulls=True).over(earlier), F.col(CARRY))
+        again = (F.col("__n") * LEAVES > size) & (F.col("__wide") > 1)
+        return counts.withColumns(placed).select(
+            *keys, BUCKET, START, "__n", *([CARRY] if carry is not None else []),
+            (F.col("__from") + F.col("__piece") * F.col("__wide")).alias("__from"),
+            F.when(again, _piece_width(F.col("__wide"), F.col("__n"), size)).alias("__wide"),
+        )
+
+
+def _piece_width(span: Column, rows: Column, size: int) -> Column:
+    """Width of the pieces a node is cut into: at most ``MOST_PIECES``, each of 1 at least."""
+    pieces = F.least(F.ceil(rows * PIECES / size), F.lit(MOST_PIECES))
+    return F.ceil(span / pieces).cast("bigint")
+
 
 def first_rows(df: DataFrame, keys: list[str], order: Column, n: int) -> DataFrame:
     """The first ``n`` rows of each key by ``order``, with their ``__place`` from 1.

@@ -242,7 +242,7 @@ def nothing_is_small(monkeypatch):
     real = sizes.settle
     small = lambda df, max_rows=0: real(df, 0)
     for module in (quantiles, ranks, series, sizes):
-        monkeypatch.setattr(module, "settle", small)
+        monkeypatch.setattr(module, "settle", small, raising=False)
 
 
 def test_cut_series_with_a_large_place_table(nothing_is_small, df, pdf):
@@ -282,3 +282,58 @@ def test_one_long_gap_is_filled_in_runs(spark):
     assert total == steps * (steps + 1) / 2
     spine = resample.grid_spine(df, Series.of("k", "ts"), 60)
     assert spine.count() == spine.distinct().count() == steps + 1
+
+
+@pytest.fixture(scope="module")
+def giant(spark):
+    """Of 60,000 readings a third are one series: half of it within a second, the rest one
+    each hour over a year and more."""
+    other = spark.range(40_000).selectExpr(
+        "concat('s', id % 400) AS k", "timestampadd(MINUTE, 30 * (id div 400), timestamp_ntz'2021-01-01') AS ts",
+        "cast(id % 17 AS double) AS x",
+    )
+    burst = spark.range(10_000).selectExpr(
+        "'hot' AS k", "timestampadd(MICROSECOND, 90 * id, timestamp_ntz'2021-06-01') AS ts", "cast(id % 7 AS double) AS x"
+    )
+    slow = spark.range(10_000).selectExpr(
+        "'hot' AS k", "timestampadd(HOUR, id, timestamp_ntz'2021-01-01 00:30:00') AS ts", "cast(id % 5 AS double) AS x"
+    )
+    return other.union(burst).union(slow)
+
+
+def test_a_giant_series_is_cut_evenly(giant, monkeypatch):
+    from kilospan.plans import series as plans
+
+    kept = []
+    real = plans.checkpointed
+    monkeypatch.setattr(plans, "checkpointed", lambda d: kept.append(real(d)) or kept[-1])
+    size = 500
+    s = Series.of("k", "ts", rows_per_block=size).measured(giant)
+    rows = s._counted_blocks(giant, 24, 1, None)
+    # a few pieces for each block of rows, however the readings lie in time
+    nodes = sum(t.count() for t in kept)
+    assert nodes <= 4 * plans.PIECES * 20_000 / size
+    blocks = rows.where("k = 'hot'").groupBy(plans.BLOCK).count().toPandas()
+    own = rows.where(f"k = 'hot' AND {plans.OWN}").groupBy(plans.BLOCK).count().toPandas()
+    assert own["count"].sum() == 20_000 and len(own) >= 20_000 / (2 * size)
+    assert blocks["count"].max() < 2 * blocks["count"].median()
+    assert rows.where(f"k != 'hot' AND {plans.BLOCK} != 0").count() == 0
+
+
+def test_a_giant_series_gives_equal_results(giant):
+    whole, cut = Series.of("k", "ts"), Series.of("k", "ts", rows_per_block=500)
+    for compute in (
+        lambda s: features.lags(giant, s, "x", {"l": 24}),
+        lambda s: features.rolling(giant, s, "x", 12, partial=True),
+        lambda s: features.lead_target(giant.withColumn("x", F.when(F.col("x") > 0, F.col("x"))), s, "x"),
+        lambda s: s.positions(giant),
+    ):
+        got, want = compute(cut), compute(whole)
+        assert got.exceptAll(want.select(*got.columns)).isEmpty() and got.count() == 60_000
+
+
+def test_totals_of_cut_series(giant):
+    totals = {"n": F.count("x"), "most": F.max("x")}
+    got = Series.of("k", "ts", rows_per_block=500).with_totals(giant, totals)
+    want = Series.of("k", "ts").with_totals(giant, totals)
+    assert got.exceptAll(want.select(*got.columns)).isEmpty() and got.count() == 60_000
