@@ -183,6 +183,35 @@ def fit_autoregression(df: DataFrame, series: Series, value: str, order: int) ->
     return LinearRegression(featuresCol="features", labelCol=value, solver="normal").fit(data)
 
 
+def look_back_forecasts(
+    df: DataFrame, series: Series, value: str, rows: int, extra: list[str] = (),
+    keep: list[str] = (), split: str = "split",
+) -> DataFrame:
+    """One-step forecasts on the test part of one linear model of the ``rows`` values before
+    a row and of its ``extra`` columns, pooled over all series: keys, ts, ``keep``, actual,
+    predicted.
+
+    The fit is one aggregate over the train part: the normal equations are added up in the
+    tasks and solved on the driver, where they have as many rows as the model has columns.
+    """
+    names = {f"__lag_{i}": i for i in range(1, rows + 1)}
+    data = series.over(
+        df, lambda d, w: d.withColumns(lag_columns(value, names, w)), before=rows
+    )
+    inputs = [*names, *extra]
+    known = data.dropna(subset=[value, *inputs])
+    assembled = VectorAssembler(inputCols=inputs, outputCol="__x").transform(
+        known.where(F.col(split) == "train").select(value, *inputs)
+    )
+    model = LinearRegression(featuresCol="__x", labelCol=value, solver="normal").fit(assembled)
+    predicted = F.lit(float(model.intercept))
+    for c, weight in zip(inputs, model.coefficients):
+        predicted = predicted + F.col(c) * F.lit(float(weight))
+    return known.where(F.col(split) == "test").select(
+        *series.keys, series.ts, *keep, F.col(value).alias("actual"), predicted.alias("predicted")
+    )
+
+
 def rollout_linear(
     df: DataFrame, series: Series, value: str, freq: Frequency, steps: int,
     coefficients: list[float], intercept: float,

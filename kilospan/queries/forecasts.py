@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from kilospan.functions.calendar import calendar_short
 from kilospan.functions.scalars import unscale
-from kilospan.operators import clean, forecast, metrics, split
-from kilospan.plans import recipes
+from kilospan.operators import clean, fitted, forecast, metrics, samples, split
 from kilospan.queries import query
 from kilospan.queries import views as V
 from kilospan.queries.views import rounded
@@ -75,9 +75,95 @@ def forecast_metrics_by_entity(spark, d):
     return _results(spark, d)
 
 
-@query("model_grid", f"WITH {V.SQL_RESULTS} SELECT region, model, mape, rmse FROM results")
+# -- models fitted per series ---------------------------------------------------------
+
+# Six variants that look back over more and more.
+REGION_LAGS = {"lag_1": 1, "lag_2": 2, "lag_3": 3, "lag_day": 24}
+REGION_VARIANTS = {
+    "level": [], "line": ["lag_1"], "two_steps": ["lag_1", "lag_2"], "day": ["lag_day"],
+    "line_day": ["lag_1", "lag_day"], "look_back": [*REGION_LAGS],
+}
+METER_LAGS = {"lag_1": 1, "lag_2": 2, "lag_3": 3}
+METER_VARIANTS = {
+    "level": [], "line": ["lag_1"], "second": ["lag_2"], "third": ["lag_3"],
+    "two_steps": ["lag_1", "lag_2"], "look_back": [*METER_LAGS],
+}
+
+
+def sql_parted(source: str, key: str, value: str, more: str = "*") -> str:
+    """Rows with the part they belong to by their place in the series."""
+    return f"""placed AS (SELECT {more}, {value} AS y, row_number() OVER w AS rn,
+    count(*) OVER (PARTITION BY {key}) AS n FROM {source} WINDOW w AS (PARTITION BY {key} ORDER BY ts)),
+parted AS (SELECT *, CASE WHEN rn <= floor(0.70::DOUBLE * n) THEN 'train'
+  WHEN rn <= floor(0.85::DOUBLE * n) THEN 'val' ELSE 'test' END AS split FROM placed)"""
+
+
+def sql_least_squares(key: str, lags: dict[str, int], variants: dict[str, list[str]]) -> str:
+    """Least squares per key and variant on the train rows of ``parted``: sums of products,
+    solved by elimination column by column."""
+    lagged = ", ".join(f"lag(y, {n}) OVER w AS {c}" for c, n in lags.items())
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *lags])
+    each = " UNION ALL ".join(
+        f"SELECT {key}, ts, split, y, '{m}' AS model, [{', '.join(['1.0::DOUBLE', *chosen, 'y'])}] AS v FROM looked"
+        for m, chosen in variants.items()
+    )
+    return f"""looked AS (SELECT *, {lagged} FROM parted WINDOW w AS (PARTITION BY {key} ORDER BY ts)),
+vec AS (SELECT * FROM ({each.replace('FROM looked', f'FROM looked WHERE {whole}')})),
+ij AS (SELECT {key}, model, v, i, unnest(range(1, len(v) + 1)) AS j FROM (
+  SELECT *, unnest(range(1, len(v))) AS i FROM vec WHERE split = 'train')),
+sums AS (SELECT {key}, model, i, j, sum(v[i] * v[j]) AS s FROM ij GROUP BY ALL),
+lines AS (SELECT {key}, model, i, list(s ORDER BY j) AS r FROM sums GROUP BY ALL),
+elim({key}, model, k, m) AS (
+  SELECT {key}, model, 1::BIGINT, list(r ORDER BY i) FROM lines GROUP BY ALL
+  UNION ALL
+  SELECT {key}, model, k + 1, list_transform(m, lambda r, i: CASE WHEN i = k
+      THEN list_transform(r, lambda x: x / r[k])
+      ELSE list_transform(r, lambda x, j: x - m[k][j] * r[k] / m[k][k]) END)
+  FROM elim WHERE k <= len(m)),
+fits AS (SELECT {key}, model, list_transform(m, lambda r: r[-1]) AS c FROM elim WHERE k > len(m)),
+fitted AS (SELECT v.{key}, ts, v.model, y AS actual, list_dot_product(v[1:-2], c) AS predicted
+  FROM vec v JOIN fits f ON v.{key} = f.{key} AND v.model = f.model WHERE split = 'test')"""
+
+
+SQL_VARIANTS = f"""{sql_parted('filled', 'region', 'load_mw')},
+{sql_least_squares('region', REGION_LAGS, REGION_VARIANTS)}"""
+
+
+def _variants(spark, d):
+    filled, series = V.region_filled(spark, d), V.filled_series(spark, d)
+    parts = split.split_by_fraction(filled, series)
+    return fitted.variant_forecasts(parts, series, "load_mw", REGION_LAGS, REGION_VARIANTS)
+
+
+@query(
+    "model_grid",
+    f"""WITH RECURSIVE {V.SQL_RESULTS}, {SQL_VARIANTS}
+SELECT region, model, mape, rmse FROM results
+UNION ALL SELECT region, model, mape, rmse FROM (SELECT region, model, {V.SQL_ERRORS} FROM fitted GROUP BY ALL)""",
+)
 def model_grid(spark, d):
-    return _results(spark, d).select("region", "model", "mape", "rmse")
+    """Baselines on all rows; six models per region on the part they have not seen."""
+    scores = metrics.forecast_metrics(_variants(spark, d), ["region", "model"])
+    return _results(spark, d).unionByName(scores).select("region", "model", "mape", "rmse")
+
+
+@query(
+    "customer_models",
+    f"""WITH RECURSIVE {V.SQL_METER}, {sql_parted('meter', 'customer_id', 'load_val')},
+enough AS (SELECT customer_id FROM parted GROUP BY 1 HAVING count(*) FILTER (WHERE split = 'train') >= 10
+  AND count(*) FILTER (WHERE split = 'val') >= 5 AND count(*) FILTER (WHERE split = 'test') >= 5),
+{sql_least_squares('customer_id', METER_LAGS, METER_VARIANTS)}
+SELECT customer_id, model, count(*) AS n, round(avg(abs(actual - predicted)), 4) AS mae,
+  round(sqrt(avg((actual - predicted) * (actual - predicted))), 4) AS rmse
+FROM fitted WHERE customer_id IN (FROM enough) GROUP BY ALL""",
+)
+def customer_models(spark, d):
+    """Six models for each customer with enough rows in every part."""
+    rows, series = V.meter_first(spark, d)
+    parts = clean.with_min_history_by_part(split.split_by_fraction(rows, series), series)
+    found = fitted.variant_forecasts(parts, series, "load_val", METER_LAGS, METER_VARIANTS)
+    scores = metrics.forecast_metrics(found, ["customer_id", "model"])
+    return scores.select("customer_id", "model", "n", "mae", "rmse")
 
 
 _pivot = ", ".join(f"max(CASE WHEN model = '{m}' THEN mape END) AS {m}" for m in MODELS)
@@ -291,27 +377,56 @@ def rollout_linear(spark, d):
     return rounded(out, "predicted", places=4)
 
 
-@query("ml_forecast_metrics")
+LOOK_BACK = 24
+_look_back = {f"lag_{i}": i for i in range(1, LOOK_BACK + 1)}
+# Columns a model uses where the table has them.
+OPTIONAL = ["is_weekend", "temperature"]
+
+
+@query(
+    "ml_forecast_metrics",
+    f"""WITH RECURSIVE {V.SQL_FILLED},
+widths AS (SELECT region, min(load_mw) AS least, max(load_mw) AS most FROM filled GROUP BY 1),
+scaled AS (SELECT f.region, ts, load_mw, least, most, (load_mw - least) / (most - least) AS load_scaled,
+  (isodow(ts) >= 6)::INTEGER::DOUBLE AS is_weekend, 0 AS pool
+  FROM filled f JOIN widths e ON f.region = e.region),
+{sql_parted('scaled', 'region', 'load_scaled')},
+lags AS (SELECT *, {', '.join(f'lag(y, {n}) OVER w AS {c}' for c, n in _look_back.items())}
+  FROM parted WINDOW w AS (PARTITION BY region ORDER BY ts)),
+vec AS (SELECT region, split, load_mw, least, most, [1.0::DOUBLE, {', '.join(_look_back)}, is_weekend, y] AS v
+  FROM lags WHERE lag_{LOOK_BACK} IS NOT NULL),
+ij AS (SELECT v, i, unnest(range(1, len(v) + 1)) AS j FROM (
+  SELECT v, unnest(range(1, len(v))) AS i FROM vec WHERE split = 'train')),
+sums AS (SELECT i, j, sum(v[i] * v[j]) AS s FROM ij GROUP BY ALL),
+lines AS (SELECT i, list(s ORDER BY j) AS r FROM sums GROUP BY ALL),
+elim(k, m) AS (
+  SELECT 1::BIGINT, list(r ORDER BY i) FROM lines
+  UNION ALL
+  SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k
+      THEN list_transform(r, lambda x: x / r[k])
+      ELSE list_transform(r, lambda x, j: x - m[k][j] * r[k] / m[k][k]) END)
+  FROM elim WHERE k <= len(m)),
+fit AS (SELECT list_transform(m, lambda r: r[-1]) AS c FROM elim WHERE k > len(m)),
+scored AS (SELECT region, load_mw AS actual,
+  greatest(list_dot_product(v[1:-2], c) * (most - least) + least, 0) AS predicted
+  FROM vec, fit WHERE split = 'test')
+SELECT region, {V.SQL_ERRORS} FROM scored GROUP BY region""",
+)
 def ml_forecast_metrics(spark, d):
-    """Pooled linear model on the feature table, scored on each region's last part."""
-    hourly = V.region_hourly(spark, d).withColumn("customer_id", F.xxhash64("region"))
-    bounds = clean.fetch_bounds(clean.scaler_bounds(hourly, "load_mw"))
-    series = V.Series.of("customer_id", "ts").measured_grid(hourly, V.HOUR)
-    rows = recipes.unified_features(hourly, series, "load_mw", HOURLY, bounds, regularise=True)
-    common = V.Series.of("customer_id", "datetime", step_seconds=V.HOUR, largest=series.largest)
-    parts = split.split_by_fraction(rows, common)
-    inputs = [
-        "load_scaled", "lag_1", "lag_2", "lag_day", "lag_week", "rolling_mean", "rolling_std",
-        "step_sin", "step_cos", "month_sin", "month_cos", "is_weekend",
-    ]
-    _, scored = forecast.fit_and_score(parts, inputs, "target_scaled")
+    """A pooled look-back regression, scored on each region's last part in its own unit."""
+    filled, series = V.region_filled(spark, d), V.filled_series(spark, d)
+    rows = series.with_totals(filled, {"least": F.min("load_mw"), "most": F.max("load_mw")})
+    rows = clean.ensure_scaled(rows, series, "load_mw", "load_scaled")
+    rows = rows.withColumns(calendar_short("ts", 60))
+    parts = split.split_by_fraction(rows, series)
+    scored = forecast.look_back_forecasts(
+        parts, series, "load_scaled", LOOK_BACK, samples.present(parts, OPTIONAL),
+        keep=["load_mw", "least", "most"],
+    )
     scored = scored.withColumns(
-        {
-            "actual": F.col("target_load"),
-            "predicted": unscale("prediction", bounds.lo, bounds.hi, floor=0.0),
-        }
+        {"actual": F.col("load_mw"), "predicted": unscale("predicted", "least", "most", floor=0.0)}
     )
-    return metrics.forecast_metrics(scored, ["customer_id"])
+    return metrics.forecast_metrics(scored, ["region"])
 
 
 # -- a fitted model beside the baselines ---------------------------------------------
