@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import time
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from kilospan.operators.clean import Bounds
+from kilospan.plans.series import Series
 from kilospan.plans.sizes import checkpoint_folder
 from kilospan.schema import DEFAULT_SCALER_MAX, DEFAULT_SCALER_MIN
 
@@ -54,6 +56,58 @@ def write_by_entity(df: DataFrame, path: str, key: str, ts: str, codec: str = "s
     return write_parquet(ranged, path, codec, sort_by=[key, ts])
 
 
+@dataclass(frozen=True)
+class ReadingStore:
+    """Readings in files by hash of the series key, ordered by key and time inside a file.
+
+    A window, dedupe or aggregate per key over the opened table needs no exchange, however
+    often the table was appended to; joins of two stores with as many buckets need none
+    either. The table is external: ``open`` finds it by its path in any session.
+    """
+
+    name: str
+    path: str
+    key: str
+    ts: str
+    buckets: int = 200
+
+    def append(self, df: DataFrame, series: Series | None = None) -> None:
+        """Add rows; the first call makes the table.
+
+        Rows are brought together by key first, so that an append adds one file per bucket.
+        If ``series`` says that one key holds more than twice a bucket's share, they are
+        written from where they lie: more files, but no task that writes a third of them.
+        """
+        even = series is None or series.largest is None or not series.total or (
+            series.largest * self.buckets <= 2 * series.total
+        )
+        rows = df.repartition(self.buckets, F.col(self.key)) if even else df
+        self._known(df.sparkSession, df.schema)
+        (
+            rows.select(*df.sparkSession.table(self.name).columns).write.format("parquet")
+            .mode("append").bucketBy(self.buckets, self.key).sortBy(self.key, self.ts)
+            .saveAsTable(self.name)
+        )
+
+    def open(self, spark: SparkSession, schema=None) -> DataFrame:
+        """The stored table; ``schema`` is read from its files if this session has not yet
+        seen it."""
+        if not spark.catalog.tableExists(self.name):
+            self._known(spark, schema or spark.read.parquet(self.path).schema)
+        return spark.table(self.name)
+
+    def _known(self, spark: SparkSession, schema) -> None:
+        """Tell the session's catalog of the path and its layout."""
+        if spark.catalog.tableExists(self.name):
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        spark.sql(
+            f"CREATE TABLE {self.name} ({columns}) USING parquet "
+            f"CLUSTERED BY (`{self.key}`) SORTED BY (`{self.key}`, `{self.ts}`) "
+            f"INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+        )
+
+
 def stored_bytes(spark: SparkSession, path: str, pattern: str = "*") -> int:
     """Size of the files below a path, without reading their content."""
     files = (

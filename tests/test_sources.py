@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from kilospan.operators import features
 from kilospan.operators.clean import Bounds, keep_first, scaler_bounds
 from kilospan.plans import recipes
 from kilospan.plans.series import Series
@@ -230,3 +231,100 @@ def test_samples_store_by_split(spark, tmp_path):
 
 def test_meter_schema_covers_the_source():
     assert METER_SCHEMA.names[:4] == ["CUSTOMER_ID", "READING_DATETIME", "CALENDAR_KEY", "EVENT_KEY"]
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setJobGroup("other", "other")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_headers_of_many_files_take_two_jobs(spark, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for i in range(2000):
+        names = "CUSTOMER_ID,READING_DATETIME" if i % 3 else "READING_DATETIME,CUSTOMER_ID"
+        cells = f"{i},2020-01-01" if i % 3 else f"2020-01-01,{i}"
+        (folder / f"m{i:04d}.csv").write_text(f"{names}\n{cells}\n" if i % 100 else "")
+    files = []
+    first = jobs_of(spark, "list", lambda: files.extend(readings._files(spark, str(folder))))
+    found = {}
+    second = jobs_of(spark, "head", lambda: found.update(readings._headers(spark, str(folder), None, files)))
+    assert (first, second) == (1, 1)
+    assert {k: len(v) for k, v in found.items()} == {
+        ("CUSTOMER_ID", "READING_DATETIME"): 1333 - 13, ("READING_DATETIME", "CUSTOMER_ID"): 667 - 7
+    }
+    rows = readings.read_meters(spark, str(folder), ["CUSTOMER_ID"], ordered=True)
+    got = [r[0] for r in rows.orderBy(readings.FILE_ORDER).collect()]
+    assert got == [i for i in range(2000) if i % 100]
+
+
+def test_large_files_are_not_read_for_their_headers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(readings, "SMALL_FILE", 100)
+    for i in range(3):
+        lines = [f"CUSTOMER_ID,X{i}", *(f"{j},{i}" for j in range(60_000))]
+        (tmp_path / f"big{i}.csv").write_text("\n" * i + "\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    files = readings._files(spark, str(tmp_path))
+    found = readings._headers(spark, str(tmp_path), None, files)
+    assert set(found) == {("CUSTOMER_ID", f"X{i}") for i in range(3)}
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    rows = readings.read_meters(spark, str(tmp_path), ["CUSTOMER_ID"], ordered=True)
+    assert rows.count() == 180_000
+    got = rows.orderBy(readings.FILE_ORDER).select("CUSTOMER_ID").toPandas()["CUSTOMER_ID"].tolist()
+    assert got == list(range(60_000)) * 3
+
+
+def test_quoted_headers_and_marks(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('\ufeff"CUSTOMER_ID" , "A, B",\n7,1,2\n'.encode())
+    files = readings._files(spark, str(tmp_path))
+    assert list(readings._headers(spark, str(tmp_path), None, files)) == [("CUSTOMER_ID", "A, B", "_c2")]
+
+
+def test_file_order_beyond_half_a_million_files(spark, tmp_path):
+    (tmp_path / "z.csv").write_text("CUSTOMER_ID\n1\n2\n")
+    (mine,) = readings._files(spark, str(tmp_path))
+    others = [readings.RawFile(f"file:/none/{i:07d}.csv", 128 << 20) for i in range(800_000)]
+    raw = spark.read.option("header", True).csv(mine.path)
+    got = [r[0] for r in readings.with_file_order(raw, [*others, mine]).select(readings.FILE_ORDER).collect()]
+    assert got == [(800_000 << readings.BLOCK_BITS) + i for i in range(2)]
+    with pytest.raises(ValueError, match="63 bits"):
+        readings.with_file_order(raw, [readings.RawFile("x", 1 << 50)] * (1 << 13))
+
+
+def test_a_store_grows_and_needs_no_exchange(spark, tmp_path):
+    path = str(tmp_path / "store")
+    start = dt.datetime(2020, 1, 1)
+    rows = lambda lo, hi: spark.createDataFrame(
+        [(k, start + dt.timedelta(hours=i), float(i)) for i in range(lo, hi) for k in (1, 2, None)],
+        "k int, ts timestamp_ntz, x double",
+    )
+    store = tables.ReadingStore("grown_store", path, "k", "ts", buckets=4)
+    store.append(rows(0, 10))
+    store.append(rows(10, 25), Series.of("k", "ts", largest=60, total=75))
+    series = Series.of("k", "ts").measured(store.open(spark))
+    assert (series.largest, series.total) == (25, 75)
+    got = features.rolling(features.lags(store.open(spark), series, "x", {"a": 1}), series, "x", 3, partial=True)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.where("a = x - 1").count() == 24 * 3
+    once = keep_first(store.open(spark), ["k", "ts"], "x")
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    # another session knows the path alone
+    spark.sql("DROP TABLE grown_store")
+    again = tables.ReadingStore("grown_again", path, "k", "ts", buckets=4).open(spark)
+    assert again.count() == 75
+    assert "Exchange" not in features.lags(again, series, "x", {"a": 1})._jdf.queryExecution().executedPlan().toString()
+
+
+def test_appends_to_one_output(spark, tmp_path):
+    target = str(tmp_path / "out")
+    for i in range(3):
+        part = spark.range(i * 10, i * 10 + 10).select("id", F.lit(i).alias("part"))
+        assert tables.write_parquet(part, target, sort_by=["id"], partition_by=["part"], mode="append") == 10
+    got = spark.read.parquet(target)
+    assert got.count() == 30 and sorted(r[0] for r in got.select("id").collect()) == list(range(30))
+    with pytest.raises(Exception, match="PATH_ALREADY_EXISTS"):
+        tables.write_parquet(spark.range(1).withColumn("part", F.lit(0)), target)
