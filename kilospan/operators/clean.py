@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kilospan.functions import scalars as S
 from kilospan.plans.quantiles import MAX_DISTINCT, exact_quantiles
 from kilospan.plans.series import Series
-from kilospan.plans.sizes import keep_keys, left_lookup
+from kilospan.plans.sizes import checkpointed, left_lookup
 
 # Quantile of the cap, width of the fence, upper bound of a flat table.
 CAP_QUANTILE = 0.999
@@ -45,16 +45,30 @@ def keep_first(df: DataFrame, keys: list[str], tiebreak: str) -> DataFrame:
     return out.select(*df.columns)
 
 
+def first_readings(df: DataFrame, series: Series, tiebreak: str) -> tuple[DataFrame, Series]:
+    """Readings with a time, the first of each key and time, and their measured series.
+
+    Lengths are counted on the raw keys: copies only make the bound wider, and no reading
+    is deduped twice. Where series are of even size one exchange serves the dedupe and the
+    windows after it. Series that are to be cut are kept, as cutting counts before it moves.
+    """
+    rows = df.dropna(subset=[series.ts])
+    series = series.measured(rows)
+    rows = keep_first(series.gathered(rows), [*series.keys, series.ts], tiebreak)
+    return (checkpointed(rows) if series.cut else rows), series
+
+
 def clip_columns(df: DataFrame, columns, lower=None, upper=None) -> DataFrame:
     return df.withColumns({c: S.clip(c, lower, upper) for c in columns})
 
 
 def quantile_caps(
-    df: DataFrame, columns, q: float = CAP_QUANTILE, superset: DataFrame | None = None
+    df: DataFrame, columns, q: float = CAP_QUANTILE, superset: DataFrame | None = None,
+    at_most: int | None = None,
 ) -> dict[str, float]:
     """The cap of each column over the whole table, as literals."""
     named = {c: F.col(c) for c in columns}
-    row = exact_quantiles(df, named, [q], superset=superset).first()
+    row = exact_quantiles(df, named, [q], superset=superset, at_most=at_most).first()
     return {c: row[c][0] if row[c] else None for c in columns}
 
 
@@ -66,10 +80,11 @@ def cap_columns(df: DataFrame, caps: dict[str, float | None]) -> DataFrame:
 
 def scaler_bounds(
     df: DataFrame, value: str, q: float = CAP_QUANTILE, fallback: float | None = FALLBACK_MAX,
-    at_most: int | None = None,
+    at_most: int | None = None, superset: DataFrame | None = None,
 ) -> DataFrame:
     """One row (min, max): 0 and the quantile of the values clipped at 0."""
-    got = exact_quantiles(df, {"max": S.clip(value, lower=0.0)}, [q], at_most=at_most)
+    named = {"max": S.clip(value, lower=0.0)}
+    got = exact_quantiles(df, named, [q], at_most=at_most, superset=superset)
     top = F.col("max")[0]
     if fallback is not None:
         # neither a flat table nor one without values has a width of its own
@@ -90,10 +105,7 @@ def clip_and_scale(df: DataFrame, value: str, scaled: str, b: Bounds) -> DataFra
 
 def scale_within(df: DataFrame, series: Series, value: str, scaled: str) -> DataFrame:
     """Scale each series by its own least and greatest value."""
-    ends = df.groupBy(*series.keys).agg(
-        F.min(value).alias("__lo"), F.max(value).alias("__hi")
-    )
-    out = left_lookup(df, ends, list(series.keys))
+    out = series.with_totals(df, {"__lo": F.min(value), "__hi": F.max(value)})
     return out.withColumn(scaled, S.minmax(value, "__lo", "__hi")).drop(
         "__lo", "__hi"
     )
@@ -110,9 +122,10 @@ def _fence(quartiles: Column) -> dict[str, Column]:
     return {"lower": q1 - reach, "upper": q3 + reach}
 
 
-def iqr_fences(df: DataFrame, keys, value: str) -> DataFrame:
+def iqr_fences(df: DataFrame, keys, value: str, superset: DataFrame | None = None) -> DataFrame:
     """Per series: lower and upper limit 1.5 quartile ranges outside the quartiles."""
-    quartiles = exact_quantiles(df, {"__q": F.col(value)}, [0.25, 0.75], list(keys))
+    named = {"__q": F.col(value)}
+    quartiles = exact_quantiles(df, named, [0.25, 0.75], list(keys), superset=superset)
     return quartiles.select(*keys, *[c.alias(n) for n, c in _fence(F.col("__q")).items()])
 
 
@@ -121,7 +134,10 @@ def with_fences(df: DataFrame, series: Series, value: str) -> DataFrame:
     window exchange they need anyway; longer ones through distributed quantiles."""
     series = series.measured(df)
     if series.cut or series.largest > MAX_DISTINCT:
-        return left_lookup(df, iqr_fences(df, series.keys, value), list(series.keys))
+        # two passes for the quartiles and one to use them
+        df = checkpointed(df)
+        fences = iqr_fences(df, series.keys, value, superset=df)
+        return left_lookup(df, fences, list(series.keys))
     whole = series.window().rowsBetween(
         Window.unboundedPreceding, Window.unboundedFollowing
     )
@@ -138,29 +154,34 @@ def iqr_clip(df: DataFrame, series: Series, value: str) -> DataFrame:
 
 def iqr_outliers(df: DataFrame, series: Series, value: str) -> DataFrame:
     """Count and share of values outside the fence, per series."""
-    fences = iqr_fences(df, series.keys, value)
-    out = left_lookup(df, fences, list(series.keys))
+    fenced = with_fences(df, series, value)
     flag = S.outside(value, "lower", "upper").cast("int")
-    return out.groupBy(*series.keys).agg(
+    return fenced.groupBy(*series.keys).agg(
         F.sum(flag).alias("outliers"), (F.avg(flag) * 100).alias("outlier_pct")
     )
 
 
-def with_min_history(df: DataFrame, keys, rows: int) -> DataFrame:
+def _of_keys(keys: Series | list[str]) -> Series:
+    return keys if isinstance(keys, Series) else Series(tuple(keys), "")
+
+
+def with_min_history(df: DataFrame, keys: Series | list[str], rows: int) -> DataFrame:
     """Drop series with fewer than ``rows`` rows."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    return keep_keys(df, counts.where(F.col("__n") >= rows), list(keys))
+    counted = _of_keys(keys).with_totals(df, {"__n": F.count(F.lit(1))})
+    return counted.where(F.col("__n") >= rows).drop("__n")
 
 
 def with_min_history_by_part(
-    df: DataFrame, keys, split: str = "split", rows: dict[str, int] = MIN_PART_ROWS
+    df: DataFrame, keys: Series | list[str], split: str = "split",
+    rows: dict[str, int] = MIN_PART_ROWS,
 ) -> DataFrame:
     """Drop series that have too few rows in any of the named parts."""
-    enough = F.lit(True)
-    for part, n in rows.items():
-        enough = enough & (F.count_if(F.col(split) == part) >= n)
-    counts = df.groupBy(*keys).agg(enough.alias("__enough"))
-    return keep_keys(df, counts.where("__enough"), list(keys))
+    names = {f"__n{i}": part for i, part in enumerate(rows)}
+    counts = {name: F.count_if(F.col(split) == part) for name, part in names.items()}
+    counted = _of_keys(keys).with_totals(df, counts)
+    for name, part in names.items():
+        counted = counted.where(F.col(name) >= rows[part])
+    return counted.drop(*names)
 
 
 def between_dates(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from kilospan.functions.calendar import basic_vector
 from kilospan.functions.clock import sql_name, step_of_day
-from kilospan.operators.clean import between_dates
+from kilospan.operators.clean import between_dates, keep_first
 from kilospan.operators.features import past_stats, same_slot_stats
 from kilospan.operators.split import split_by_calendar
 from kilospan.plans.series import Along, Series
-from kilospan.plans.sizes import greatest_in, keep_keys, settle
+from kilospan.plans.sizes import checkpointed, keep_keys
 
 HISTORY_MARGIN = 10
 
@@ -44,7 +44,10 @@ def present(df: DataFrame, wanted: list[str]) -> list[str]:
 
 def top_entities(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` keys with most readings; ties go to the smaller key."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n_readings"))
+    return _most(df.groupBy(key).agg(F.count(F.lit(1)).alias("n_readings")), key, n)
+
+
+def _most(counts: DataFrame, key: str, n: int) -> DataFrame:
     return counts.orderBy(F.desc("n_readings"), F.asc(key)).limit(n)
 
 
@@ -73,15 +76,24 @@ def sequence_dataset(
     end: str,
     step_minutes: int,
     ranges: dict[str, tuple[str, str]],
+    tiebreak: str | None = None,
 ) -> DataFrame:
-    """Two-branch samples of the best-covered entities, labelled by calendar split."""
+    """Two-branch samples of the best-covered entities, labelled by calendar split.
+
+    With ``tiebreak`` the rows may hold copies: entities are chosen by the distinct times
+    of their raw keys, and only what the chosen ones have is deduped.
+    """
     key = series.keys[0]
     rows = between_dates(df, series.ts, start, end)
     # One count serves the choice of entities, their least history and their length.
-    top = settle(top_entities(rows, key, n_entities))[0]
-    enough = top.where(F.col("n_readings") >= k_steps + HISTORY_MARGIN)
-    series = replace(series, largest=greatest_in(top, "n_readings") or 0)
-    rows = keep_keys(rows, enough, [key])
+    n = F.count_distinct(series.ts) if tiebreak else F.count(F.lit(1))
+    top = _most(rows.groupBy(key).agg(n.alias("n_readings")), key, n_entities).collect()
+    enough = [r[key] for r in top if r["n_readings"] >= k_steps + HISTORY_MARGIN]
+    series = replace(series, largest=max((r["n_readings"] for r in top), default=0))
+    rows = rows.where(F.col(key).isin(enough))
+    if tiebreak:
+        rows = keep_first(rows, [*series.keys, series.ts], tiebreak)
+        rows = checkpointed(rows) if series.cut else rows
     rows = derived_features(rows, series, value, k_steps, step_minutes)
     derived = F.array(
         *[F.col(c).cast("float") for c in ("roll_mean", "roll_std", "past_days_mean", "past_days_std")]

@@ -12,6 +12,7 @@ from kilospan.functions.scalars import clip, outside, row_total
 from kilospan.operators import clean
 from kilospan.operators.features import lag_columns, next_columns, rolling_columns
 from kilospan.operators.resample import interpolate, missing_steps
+from kilospan.plans.quantiles import MAX_DISTINCT
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import checkpointed, left_lookup
 from kilospan.schema import (
@@ -28,9 +29,6 @@ def _regional_rows(df: DataFrame, series: Series, value: str, tiebreak, freq) ->
     if tiebreak:
         rows = clean.keep_first(series.gathered(df), [*series.keys, series.ts], tiebreak)
     filled = interpolate(rows, series, value, freq.step_seconds)
-    if series.cut:
-        # Quartiles of a long series take several passes over the filled grid.
-        filled = checkpointed(filled)
     series = series.on_grid(freq.step_seconds)
     fenced = clean.with_fences(filled, series, value)
     clipped = fenced.withColumns(
@@ -74,11 +72,14 @@ def meter_clean(
     if dict(df.dtypes)[ts] == "string":
         rows = clean.parse_timestamps(rows, ts)
     rows = rows.dropna(subset=[ts])
-    raw = rows.select(key, ts, tiebreak, *columns)
-    rows = clean.keep_first(raw, [key, ts], tiebreak)
+    rows = clean.keep_first(rows.select(key, ts, tiebreak, *columns), [key, ts], tiebreak)
     rows = clean.clip_columns(rows, columns, lower=0.0)
     if caps is None:
-        caps = clean.quantile_caps(rows, columns, superset=raw)
+        # raw rows bound the deduped ones, and are counted without reading them
+        at_most, plain = df.count(), None
+        if at_most > MAX_DISTINCT:
+            rows = plain = checkpointed(rows)
+        caps = clean.quantile_caps(rows, columns, superset=plain, at_most=at_most)
     rows = clean.cap_columns(rows, caps)
     rows = rows.withColumn("TOTAL_KWH", row_total(columns)).drop(tiebreak)
     keep = ("hour", "dayofweek", "month", "year", "is_weekend")
@@ -99,11 +100,8 @@ def _scaled(df, series: Series, value, tiebreak, freq, bounds) -> DataFrame:
         *([F.col(tiebreak).alias("__seq")] if tiebreak else []),
     )
     if tiebreak:
-        rows = replace(series, keys=("customer_id",), ts="datetime").gathered(rows)
-        rows = clean.keep_first(rows, ["customer_id", "datetime"], "__seq").drop("__seq")
-        if series.cut:
-            # Cutting series counts the deduped rows before it moves them.
-            rows = checkpointed(rows)
+        common = replace(series, keys=("customer_id",), ts="datetime")
+        rows = clean.first_readings(rows, common, "__seq")[0].drop("__seq")
     return clean.clip_and_scale(rows, "load_val", "load_scaled", bounds)
 
 

@@ -43,7 +43,7 @@ FROM events""",
 )
 def profile_table(spark, d):
     events = V.table(spark, d, "events")
-    out = profile.describe(events, "value").withColumnRenamed("count", "n_rows")
+    out = profile.describe(events, "value", superset=events).withColumnRenamed("count", "n_rows")
     out = out.withColumn("n_columns", F.lit(len(events.columns)))
     return rounded(out, "mean", "std", "p25", "p50", "p75")
 
@@ -105,7 +105,7 @@ _capped = ", ".join(
 )
 def cap_p999(spark, d):
     wide = V.meter_wide(spark, d)
-    return rounded(clean.cap_columns(wide, clean.quantile_caps(wide, KWH)), *KWH)
+    return rounded(clean.cap_columns(wide, clean.quantile_caps(wide, KWH, superset=wide)), *KWH)
 
 
 @query(
@@ -126,7 +126,8 @@ SQL_BOUNDS = """bounds AS (
     f"WITH {V.SQL_METER_RAW}, {SQL_BOUNDS} SELECT lo AS min, round(hi, 6) AS max FROM bounds",
 )
 def scaler_bounds(spark, d):
-    return rounded(clean.scaler_bounds(V.meter_raw(spark, d), "load_val"), "max")
+    raw = V.meter_raw(spark, d)
+    return rounded(clean.scaler_bounds(raw, "load_val", superset=raw), "max")
 
 
 SQL_UNION = """regions AS (
@@ -172,7 +173,8 @@ SELECT f.region, sum((load_mw < lower OR load_mw > upper)::INTEGER)::BIGINT AS o
 FROM filled f JOIN fences q ON f.region = q.region GROUP BY 1""",
 )
 def iqr_outliers(spark, d):
-    out = clean.iqr_outliers(V.region_filled(spark, d), V.REGION, "load_mw")
+    series = V.filled_series(spark, d)
+    out = clean.iqr_outliers(V.region_filled(spark, d), series, "load_mw")
     return rounded(out, "outlier_pct")
 
 
@@ -185,7 +187,7 @@ FROM meter_raw, bounds""",
 )
 def minmax_scale(spark, d):
     raw = V.meter_raw(spark, d)
-    bounds = clean.fetch_bounds(clean.scaler_bounds(raw, "load_val"))
+    bounds = clean.fetch_bounds(clean.scaler_bounds(raw, "load_val", superset=raw))
     return rounded(
         clean.clip_and_scale(raw, "load_val", "load_scaled", bounds), "load_val", "load_scaled"
     )
@@ -200,7 +202,8 @@ SELECT m.customer_id, ts, load_val, seq,
 FROM meter m JOIN ends e ON m.customer_id = e.customer_id""",
 )
 def minmax_scale_self(spark, d):
-    out = clean.scale_within(V.meter(spark, d), V.METER, "load_val", "load_scaled")
+    rows, series = V.meter_first(spark, d)
+    out = clean.scale_within(rows, series, "load_val", "load_scaled")
     return rounded(out, "load_scaled")
 
 
@@ -255,7 +258,8 @@ def date_range(spark, d):
 QUALIFY count(*) OVER (PARTITION BY customer_id) >= 65""",
 )
 def min_history(spark, d):
-    return clean.with_min_history(V.meter(spark, d), ["customer_id"], 65)
+    rows, series = V.meter_first(spark, d)
+    return clean.with_min_history(rows, series, 65)
 
 
 # -- grids ---------------------------------------------------------------------
@@ -306,8 +310,9 @@ def interpolate_time(spark, d):
 FROM meter_raw GROUP BY 1""",
 )
 def quantiles(spark, d):
+    raw = V.meter_raw(spark, d)
     got = exact_quantiles(
-        V.meter_raw(spark, d), {"q": F.col("load_val")}, [0.25, 0.5, 0.75, 0.999], ["customer_id"]
+        raw, {"q": F.col("load_val")}, [0.25, 0.5, 0.75, 0.999], ["customer_id"], superset=raw
     )
     names = ["p25", "p50", "p75", "p999"]
     out = got.select("customer_id", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
@@ -320,10 +325,11 @@ def quantiles(spark, d):
   round(quantile_cont(value, 0.999), 6) AS p999 FROM events GROUP BY 1""",
 )
 def quantiles_narrowed(spark, d):
-    """The distributed selection, forced by a low limit on distinct values."""
+    """The distributed selection, forced by a low limit on rows."""
+    events = V.table(spark, d, "events")
     got = exact_quantiles(
-        V.table(spark, d, "events"), {"q": F.col("value")}, [0.25, 0.999], ["event_type"],
-        max_distinct=200,
+        events, {"q": F.col("value")}, [0.25, 0.999], ["event_type"], max_distinct=200,
+        superset=events,
     )
     out = got.select("event_type", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p999"))
     return rounded(out, "p25", "p999")
@@ -371,7 +377,8 @@ def quality_profile(spark, d):
 FROM meter_raw GROUP BY 1""",
 )
 def describe_load(spark, d):
-    out = profile.describe(V.meter_raw(spark, d), "load_val", ["customer_id"])
+    raw = V.meter_raw(spark, d)
+    out = profile.describe(raw, "load_val", ["customer_id"], superset=raw)
     return rounded(out, "mean", "std", "p25", "p50", "p75")
 
 

@@ -17,6 +17,7 @@ from kilospan.queries import views as V
 from kilospan.queries.cleaning import KWH, SQL_BOUNDS, SQL_FENCES
 from kilospan.queries.views import rounded
 from kilospan.schema import HALF_HOURLY, HOURLY
+from kilospan.sources.tables import ReadingStore, scratch
 
 # Small enough that the test tables' series are cut, so the long-series plan runs.
 SHORT_BLOCK = 50
@@ -115,13 +116,27 @@ CUT_METER = replace(V.METER, rows_per_block=SHORT_BLOCK)
 
 @query("lag_features", SQL_LAGS)
 def lag_features(spark, d):
-    return features.lags(V.meter(spark, d), V.METER, "load_val", LAGS)
+    rows, series = V.meter_first(spark, d)
+    return features.lags(rows, series, "load_val", LAGS)
+
+
+@query("stored_lag_features", SQL_LAGS)
+def stored_lag_features(spark, d):
+    """Lags over a stored table that was written in two appends, without an exchange."""
+    rows, series = V.meter_first(spark, d)
+    path = scratch(spark, "store")
+    store = ReadingStore(f"store_{path[-32:]}", path, "customer_id", "ts", buckets=8)
+    late = F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz")
+    store.append(rows.where(~late), series)
+    store.append(rows.where(late), series)
+    return features.lags(store.open(spark), series, "load_val", LAGS)
 
 
 @query("lag_features_cut", SQL_LAGS)
 def lag_features_cut(spark, d):
     """Lags with every long series cut into blocks."""
-    return features.lags(V.meter(spark, d), CUT_METER, "load_val", LAGS)
+    rows, series = V.meter_first(spark, d, CUT_METER)
+    return features.lags(rows, series, "load_val", LAGS)
 
 
 @query(
@@ -133,7 +148,8 @@ def lag_features_cut(spark, d):
 )
 def lag_zero_fill(spark, d):
     steps = {"lag_1": 1, "lag_2": 2, "lag_day": 48, "lag_week": 336}
-    return features.lags(V.meter(spark, d), V.METER, "load_val", steps, fill=0.0)
+    rows, series = V.meter_first(spark, d)
+    return features.lags(rows, series, "load_val", steps, fill=0.0)
 
 
 def _sql_rolling(rows: int, guard: bool) -> str:
@@ -153,19 +169,22 @@ def _sql_rolling(rows: int, guard: bool) -> str:
 
 @query("rolling_full", _sql_rolling(24, True))
 def rolling_full(spark, d):
-    out = features.rolling(V.meter(spark, d), V.METER, "load_val", 24)
+    rows, series = V.meter_first(spark, d)
+    out = features.rolling(rows, series, "load_val", 24)
     return rounded(out, "rolling_mean", "rolling_std")
 
 
 @query("rolling_partial", _sql_rolling(12, False))
 def rolling_partial(spark, d):
-    out = features.rolling(V.meter(spark, d), V.METER, "load_val", 12, partial=True)
+    rows, series = V.meter_first(spark, d)
+    out = features.rolling(rows, series, "load_val", 12, partial=True)
     return rounded(out, "rolling_mean", "rolling_std")
 
 
 @query("rolling_partial_cut", _sql_rolling(12, False))
 def rolling_partial_cut(spark, d):
-    out = features.rolling(V.meter(spark, d), CUT_METER, "load_val", 12, partial=True)
+    rows, series = V.meter_first(spark, d, CUT_METER)
+    out = features.rolling(rows, series, "load_val", 12, partial=True)
     return rounded(out, "rolling_mean", "rolling_std")
 
 
@@ -177,20 +196,21 @@ SELECT customer_id, ts, x, seq, last_value(CASE WHEN rn > 1 THEN x END IGNORE NU
 FROM placed"""
 
 
-def _with_holes(spark, d):
-    """Meter readings whose negative values count as missing."""
+def _with_holes(spark, d, series=V.METER):
+    """Meter readings whose negative values count as missing, and their series."""
+    rows, series = V.meter_first(spark, d, series)
     x = F.when(F.col("load_val") >= 0, F.col("load_val"))
-    return V.meter(spark, d).select("customer_id", "ts", x.alias("x"), "seq")
+    return rows.select("customer_id", "ts", x.alias("x"), "seq"), series
 
 
 @query("lead_target", SQL_LEAD)
 def lead_target(spark, d):
-    return features.lead_target(_with_holes(spark, d), V.METER, "x")
+    return features.lead_target(*_with_holes(spark, d), "x")
 
 
 @query("lead_target_cut", SQL_LEAD)
 def lead_target_cut(spark, d):
-    return features.lead_target(_with_holes(spark, d), CUT_METER, "x")
+    return features.lead_target(*_with_holes(spark, d, CUT_METER), "x")
 
 
 @query(
@@ -201,7 +221,8 @@ def lead_target_cut(spark, d):
 FROM meter WINDOW f AS (PARTITION BY customer_id ORDER BY ts ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)""",
 )
 def past_k_stats(spark, d):
-    out = features.past_stats(V.meter(spark, d), V.METER, "load_val", 12)
+    rows, series = V.meter_first(spark, d)
+    out = features.past_stats(rows, series, "load_val", 12)
     return rounded(out, "past_mean", "past_std")
 
 
@@ -214,8 +235,9 @@ FROM meter WINDOW f AS (PARTITION BY customer_id, {SQL_SLOT} ORDER BY ts
   ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)""",
 )
 def same_slot_stats(spark, d):
-    rows = V.meter(spark, d).withColumn("time_slot", step_of_day("ts", 30))
-    out = features.same_slot_stats(rows, V.METER, "time_slot", "load_val", 3)
+    rows, series = V.meter_first(spark, d)
+    rows = rows.withColumn("time_slot", step_of_day("ts", 30))
+    out = features.same_slot_stats(rows, series, "time_slot", "load_val", 3)
     return rounded(out, "slot_mean", "slot_std")
 
 
@@ -241,12 +263,12 @@ parts AS (SELECT customer_id, ts, load_val, seq,
 
 @query("split_fraction", f"WITH {SQL_FRACTION} SELECT * FROM parts")
 def split_fraction(spark, d):
-    return split.split_by_fraction(V.meter(spark, d), V.METER)
+    return split.split_by_fraction(*V.meter_first(spark, d))
 
 
 @query("split_fraction_cut", f"WITH {SQL_FRACTION} SELECT * FROM parts")
 def split_fraction_cut(spark, d):
-    return split.split_by_fraction(V.meter(spark, d), CUT_METER)
+    return split.split_by_fraction(*V.meter_first(spark, d, CUT_METER))
 
 
 @query(
@@ -257,7 +279,7 @@ def split_fraction_cut(spark, d):
 FROM parts GROUP BY 1, 2""",
 )
 def split_report(spark, d):
-    parts = split.split_by_fraction(V.meter(spark, d), V.METER)
+    parts = split.split_by_fraction(*V.meter_first(spark, d))
     return rounded(split.split_report(parts, ["customer_id"], "ts"), "share")
 
 
@@ -332,8 +354,8 @@ FROM lab WHERE split IS NOT NULL""",
 )
 def sequence_samples(spark, d):
     got = samples.sequence_dataset(
-        V.meter(spark, d), V.METER, "load_val", k_steps=12, n_entities=69,
-        start="2024-01-02", end="2024-01-29", step_minutes=30, ranges=RANGES,
+        V.meter_raw(spark, d), V.METER, "load_val", k_steps=12, n_entities=69,
+        start="2024-01-02", end="2024-01-29", step_minutes=30, ranges=RANGES, tiebreak="seq",
     )
     total = lambda c: F.aggregate(
         F.flatten(c), F.lit(0.0), lambda a, e: a + e.cast("double")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from kilospan.functions.clock import floor_to_step
 from kilospan.functions.scalars import rounded as half_away
-from kilospan.operators.clean import keep_first
+from kilospan.operators.clean import first_readings, keep_first
 from kilospan.operators.forecast import naive_forecasts
 from kilospan.operators.resample import interpolate
 from kilospan.plans.series import Series
@@ -76,6 +76,11 @@ def meter(spark, d) -> DataFrame:
     return keep_first(meter_raw(spark, d).dropna(subset=["ts"]), ["customer_id", "ts"], "seq")
 
 
+def meter_first(spark, d, series: Series = METER) -> tuple[DataFrame, Series]:
+    """The same readings with their series, measured without a dedupe of its own."""
+    return first_readings(meter_raw(spark, d), series, "seq")
+
+
 def meter_wide(spark, d) -> DataFrame:
     events = table(spark, d, "events")
     return events.select(

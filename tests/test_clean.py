@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,56 @@ def test_errors_only_where_a_prediction_is(spark):
 def test_rounded_beyond_its_range(spark):
     df = spark.createDataFrame([(1e13,), (-2.5e300,), (1.23456749,)], "x double")
     assert column(df.select(S.rounded("x", 6).alias("x")), "x") == [1e13, -2.5e300, 1.234567]
+
+
+def numbers(kind, n):
+    rng = np.random.default_rng(n)
+    return {
+        "even": rng.normal(size=n), "ties": rng.integers(0, 3, n).astype(float),
+        "wide": rng.choice([-1.7e308, 0.0, 1.7e308], n), "infinite": rng.choice([-np.inf, 0.0, 1.0, np.inf], n),
+    }[kind]
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_selected_quantiles_equal_percentile(spark, by):
+    """The two passes against Spark's own aggregate: small and large groups, ties, ranges
+    wider than a number, infinities, NULL groups, groups of NULLs and no rows."""
+    rows = [
+        (f"{kind} {n}", float(v)) for kind in ("even", "ties", "wide", "infinite")
+        for n in (1, 2, 199, 200, 5_000) for v in numbers(kind, n)
+    ]
+    rows += [(None, 1.5), (None, 2.5), ("nulls", None), ("nan", float("nan"))]
+    df = spark.createDataFrame(rows, "k string, x double")
+    probs = [0.0, 0.001, 0.25, 0.5, 0.75, 0.999, 1.0]
+    clear = F.nanvl("x", F.lit(None))
+    flat = lambda t: sorted((repr(tuple(r)[:-1]), repr(r["q"])) for r in t.collect())
+    for d in (df, df.limit(0)):
+        got = exact_quantiles(d, {"q": F.col("x")}, probs, by, max_distinct=-1, superset=d)
+        want = d.groupBy(*by).agg(F.percentile(clear, F.array(*map(F.lit, probs))).alias("q"))
+        assert flat(got) == flat(want)
+
+
+def test_brackets_that_miss_are_widened(spark, monkeypatch):
+    """A sketch that is worse than promised costs passes, not results."""
+    from kilospan.plans import quantiles
+
+    df = spark.range(50_000).select(F.rand(3).alias("x"))
+    real = quantiles._sketch
+
+    def wrong(values, columns, probs, by):
+        ok = real(values, columns, probs, by)
+        shifted = F.transform(F.col("q.grid"), lambda g: g + 0.3)
+        return ok.withColumn("q", F.col("q").withField("grid", shifted))
+
+    monkeypatch.setattr(quantiles, "_sketch", wrong)
+    got = exact_quantiles(df, {"q": F.col("x")}, [0.25, 0.5], max_distinct=10, superset=df).first()["q"]
+    want = df.agg(F.percentile("x", F.array(F.lit(0.25), F.lit(0.5)))).first()[0]
+    assert got == want
+
+
+def test_min_history_of_long_series(spark):
+    df = spark.range(1000).selectExpr("id % 7 AS k", "id AS ts", "CASE WHEN id < 500 THEN 'train' WHEN id < 700 THEN 'val' ELSE 'test' END AS split")
+    whole, cut = Series.of("k", "ts", largest=200), Series.of("k", "ts", largest=200, rows_per_block=10)
+    for s in (whole, cut, ["k"]):
+        assert clean.with_min_history(df, s, 143).count() == 143 * 6
+        assert clean.with_min_history_by_part(df, s, rows={"train": 72, "test": 1}).select("k").distinct().count() == 3

@@ -100,3 +100,79 @@ def test_checkpoints_need_a_shared_folder_on_a_cluster(spark):
 
     with pytest.raises(RuntimeError):
         sizes.checkpoint_folder(Elsewhere)
+
+
+ONE_DEDUPE = [
+    "lag_features", "lag_features_cut", "lag_zero_fill", "rolling_full", "rolling_partial",
+    "rolling_partial_cut", "lead_target", "lead_target_cut", "past_k_stats", "same_slot_stats",
+    "split_fraction", "split_fraction_cut", "split_report", "sequence_samples",
+    "minmax_scale_self", "min_history",
+]
+
+
+@pytest.mark.parametrize("name", ONE_DEDUPE)
+def test_readings_are_deduped_once(spark, sf, name, monkeypatch):
+    """Of all plans a query runs, one dedupes; lengths come from the raw keys."""
+    from kilospan.operators import samples
+    from kilospan.plans import series
+
+    plans = []
+    real = sizes.checkpointed
+
+    def noted(df):
+        plans.append(plan(df))
+        return real(df)
+
+    for module in (sizes, series, clean, samples):
+        monkeypatch.setattr(module, "checkpointed", noted)
+    plans.append(plan(QUERIES[name](spark, sf)))
+    # a dedupe is an aggregate by key and time, in the map tasks and behind their exchange
+    by_reading = r"Aggregate\(keys=\[customer_id#\w+, ts#\w+\]"
+    assert [n for n in (len(re.findall(by_reading, p)) for p in plans) if n] == [2]
+
+
+SELECTED = ["cap_p999", "meter_clean", "describe_load", "iqr_outliers", "scaler_bounds", "quantiles"]
+
+
+@pytest.mark.parametrize("name", SELECTED)
+def test_quantiles_are_selected_beyond_the_limit(spark, sf, name, monkeypatch):
+    """With a limit of ten rows every quantile takes the two passes."""
+    import oracle
+
+    from kilospan.plans import quantiles
+
+    monkeypatch.setattr(quantiles, "MAX_DISTINCT", 10)
+    monkeypatch.setattr(quantiles.exact_quantiles, "__kwdefaults__", {
+        **quantiles.exact_quantiles.__kwdefaults__, "max_distinct": 10,
+    })
+    monkeypatch.setattr(clean, "MAX_DISTINCT", 10)
+    monkeypatch.setattr(recipes, "MAX_DISTINCT", 10)
+    passes = []
+    real = quantiles._selected
+    monkeypatch.setattr(quantiles, "_selected", lambda *a: passes.append(1) or real(*a))
+    got = QUERIES[name](spark, sf).toPandas()
+    want = oracle.connect(sf).execute(kilospan.queries.ORACLES[name]).df()
+    assert oracle.differences(got, want) == [] and len(got)
+    assert passes == [1]
+
+
+@pytest.mark.parametrize("n_columns, by", [(1, []), (7, []), (3, ["k"])])
+def test_quantiles_take_two_passes(spark, tmp_path, n_columns, by, monkeypatch):
+    from kilospan.plans import quantiles
+
+    path = str(tmp_path / "x")
+    columns = {f"c{i}": F.col(f"c{i}") for i in range(n_columns)}
+    spark.range(20_000).select(
+        (F.col("id") % 3).alias("k"), *[F.rand(i).alias(c) for i, c in enumerate(columns)]
+    ).write.parquet(path)
+    rows = spark.read.parquet(path)
+    plans = []
+    real = quantiles.checkpointed
+    monkeypatch.setattr(quantiles, "checkpointed", lambda d: plans.append(plan(d)) or real(d))
+    got = quantiles.exact_quantiles(rows, columns, [0.001, 0.5, 0.999], by, max_distinct=100, superset=rows)
+    plans.append(plan(got))
+    assert sum(p.count("FileScan") for p in plans) == 2
+    want = rows.groupBy(*by).agg(
+        *[F.percentile(c, F.array(*map(F.lit, [0.001, 0.5, 0.999]))).alias(c) for c in columns]
+    )
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
