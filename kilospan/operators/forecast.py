@@ -12,7 +12,7 @@ from kilospan.functions.clock import plus_seconds
 from kilospan.functions.errors import ROW_PCT_EPSILON, pct_error, rmse
 from kilospan.operators.features import lag_columns
 from kilospan.plans.series import Series, first_rows
-from kilospan.plans.sizes import left_lookup
+from kilospan.plans.sizes import checkpointed, left_lookup
 from kilospan.schema import Frequency
 
 NAIVE_MODELS = ["last_value", "same_slot_day", "same_slot_week", "slot_mean"]
@@ -92,7 +92,11 @@ def residuals(df: DataFrame, actual: str = "actual", predicted: str = "predicted
 
 
 def error_band(df: DataFrame, by: list[str], actual="actual", predicted="predicted") -> DataFrame:
-    """Prediction plus and minus the model's own RMSE; the lower edge stops at 0."""
+    """Prediction plus and minus the model's own RMSE; the lower edge stops at 0.
+
+    The forecasts are kept: their errors are known only when all of them are.
+    """
+    df = checkpointed(df)
     widths = df.groupBy(*by).agg(rmse(actual, predicted).alias("rmse"))
     out = left_lookup(df, widths, by)
     return out.withColumns(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kilospan.functions.errors import all_errors
 from kilospan.plans.ranks import global_rank
 from kilospan.plans.series import first_rows
-from kilospan.plans.sizes import left_lookup
+from kilospan.plans.sizes import checkpointed, left_lookup
 
 
 def forecast_metrics(
@@ -52,7 +52,11 @@ def best_model_overall(results: DataFrame) -> DataFrame:
 
 
 def best_worst_entities(results: DataFrame, entity: str, n: int) -> DataFrame:
-    """The ``n`` lowest and ``n`` highest MAPE entities of the best model overall."""
+    """The ``n`` lowest and ``n`` highest MAPE entities of the best model overall.
+
+    The results, one row per entity and model, are kept for the three looks at them.
+    """
+    results = checkpointed(results.select(entity, "model", "mape"))
     winner = best_model_overall(results).select(F.col("model").alias("__winner"))
     model = results.join(winner, F.col("model") == F.col("__winner")).select(entity, "mape")
 

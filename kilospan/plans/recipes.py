@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kilospan.functions.calendar import calendar_long, calendar_short, cyclical
+from kilospan.functions.clock import epoch_seconds
 from kilospan.functions.scalars import clip, outside, row_total
 from kilospan.operators import clean
 from kilospan.operators.features import lag_columns, next_columns, rolling_columns
-from kilospan.operators.resample import interpolate, missing_steps
+from kilospan.operators.resample import interpolate
 from kilospan.plans.quantiles import MAX_DISTINCT
 from kilospan.plans.series import Series
 from kilospan.plans.sizes import checkpointed, left_lookup
@@ -172,20 +173,33 @@ def simple_features(
 def prep_report(
     df: DataFrame, series: Series, value: str, tiebreak: str, freq: Frequency = HOURLY
 ) -> DataFrame:
-    """Per series: rows in and out, duplicates, missing steps and clipped outliers."""
+    """Per series: rows in and out, duplicates, missing steps and clipped outliers.
+
+    The readings are grouped by time once, with the number of their copies; what is counted
+    and what is filled both start from there, behind one exchange.
+    """
     keys = list(series.keys)
     series = series.measured_grid(df, freq.step_seconds)
-    copies = df.groupBy(*keys, series.ts).agg(F.count(F.lit(1)).alias("__n"))
-    report = copies.groupBy(*keys).agg(
+    firsts = series.gathered(df).groupBy(*keys, series.ts).agg(
+        F.min_by(value, tiebreak).alias(value), F.count(F.lit(1)).alias("__n")
+    )
+    if series.cut:
+        firsts = checkpointed(firsts)
+    ends = {"__lo": F.min(series.ts), "__hi": F.max(series.ts)}
+    placed = series.with_totals(firsts.select(*keys, series.ts, "__n"), ends)
+    span = lambda until: epoch_seconds(until) - epoch_seconds("__lo")
+    expected = F.floor(F.max(span("__hi")) / freq.step_seconds) + 1
+    on_grid = F.count_if(span(series.ts) % freq.step_seconds == 0)
+    report = placed.groupBy(*keys).agg(
         F.sum("__n").alias("rows_in"),
         (F.sum("__n") - F.count(F.lit(1))).alias("duplicates"),
+        (expected - on_grid).cast("bigint").alias("missing_steps"),
     )
-    gaps = missing_steps(df, series, freq.step_seconds).select(*keys, "missing_steps")
-    rows = _regional_rows(df, series, value, tiebreak, freq)
+    rows = _regional_rows(firsts.drop("__n"), series, value, None, freq)
     whole = F.lit(True)
     for c in rows.columns:
         whole = whole & F.col(c).isNotNull()
     done = rows.groupBy(*keys).agg(
         F.count_if("__out").alias("outliers"), F.count_if(whole).alias("rows_out")
     )
-    return left_lookup(left_lookup(report, gaps, keys), done, keys)
+    return left_lookup(report, done, keys)
