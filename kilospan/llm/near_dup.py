@@ -12,14 +12,20 @@
    and with the NEAREST others by signature. Comparisons of signatures are arrays in blocks;
    only these few pairs per member go on to the full sets. They connect families, with an
    original or without. Then all pairs under the threshold that are still in different
-   components go on, each in the first key it shares. So a large family costs a few
-   comparisons of sets per member, and no pair that could connect anything is skipped.
+   components are compared by a second signature of LONG symbols, in the first key they
+   share. It is made of the few texts that are left; a link exceeds its threshold with a
+   probability below LONG_MISS, and pairs clearly less alike than a link mostly do. What
+   remains, and could be a link by its sizes, goes on: first the NEAREST of each member in
+   other components, then, as long as components are left apart, all others. So a large
+   family costs a few comparisons of sets per member, and no pair that could connect
+   anything is skipped.
 4. Components of the links, joined back to all documents.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import partial
 from itertools import combinations
 
@@ -39,6 +45,8 @@ SYMBOLS = CHUNKS * CHUNK
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
 NEAREST = 4
 BLOCK = 1000
+LONG = 512
+LONG_MISS = 1e-9
 BROADCAST_IDS = 2_000_000
 _OUT = list(combinations(range(CHUNK), ERRORS))
 _CHOICES = [
@@ -140,6 +148,51 @@ def index_keys(classes: DataFrame) -> DataFrame:
     return classes.select("id", "signature").mapInArrow(enter, "key bigint, id bigint")
 
 
+def long_threshold(percent: int) -> int:
+    """In how many of LONG symbols a link differs at most, but for a chance of LONG_MISS."""
+    differ = 1 - percent / 100
+    log = [
+        math.lgamma(LONG + 1) - math.lgamma(k + 1) - math.lgamma(LONG - k + 1)
+        + k * math.log(differ) + (LONG - k) * math.log1p(-differ)
+        for k in range(LONG + 1)
+    ]
+    tail = 0.0
+    for k in range(LONG, 0, -1):
+        tail += math.exp(log[k])
+        if tail > LONG_MISS:
+            return k
+    return 0
+
+
+def long_signatures(texts: DataFrame, width: int = SHINGLE) -> DataFrame:
+    """id, size of the set, and LONG symbols of 8 bits of it; of texts that have words."""
+    mask, scale = seeds(LONG, 41), seeds(LONG, 42)
+
+    def sign(batches):
+        for batch in batches:
+            data, at = text_bytes(batch.column(1))
+            for lo, hi in row_slices(at):
+                sets = shingle_sets(data, at, lo, hi, width)
+                n = np.array([len(s) for s in sets], np.int64)
+                real = np.flatnonzero(n)
+                out = np.zeros((len(real), LONG), np.uint8)
+                if len(real):
+                    every = np.concatenate([sets[i] for i in real])
+                    begin = np.cumsum(n[real]) - n[real]
+                    for j in range(LONG):
+                        least = np.minimum.reduceat((every ^ mask[j]) * scale[j], begin)
+                        out[:, j] = mix64(least) >> np.uint64(56)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(lo, hi - lo).take(pa.array(real)), pa.array(n[real]),
+                        pa.array([row.tobytes() for row in out], pa.binary()),
+                    ],
+                    ["id", "size", "long"],
+                )
+
+    return texts.select("id", "text").mapInArrow(sign, "id bigint, size bigint, long binary")
+
+
 def _close(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (a, b) whose signatures are under the threshold."""
     one = classes.select(F.col("id").alias("a"), F.col("signature").alias("sa"))
@@ -218,9 +271,24 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = 85, width: int = S
 
     first = _close(_pivot_pairs(members), classes).union(_block_pairs(members, classes, NEAREST))
     found = kept(_judged(first.distinct(), texts, width).where(linked).select("a", "b"), "links")
+    rest = _apart(members.select("key", "id", "n"), found)
+    left = rest.select("id").distinct()
+    signed = kept(long_signatures(texts.join(left, "id", "left_semi"), width), "long")
+    classes = classes.select("id", "signature").join(signed, "id")
+    for nearest in (NEAREST, None):
+        pairs = _block_pairs(rest, classes, nearest, percent)
+        more = kept(_judged(pairs.distinct(), texts, width).where(linked).select("a", "b"), "links")
+        found = found.union(more)
+        if nearest is not None:
+            rest = _apart(members.select("key", "id", "n"), found)
+    return found
+
+
+def _apart(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of the keys in which components meet, with the component as their label."""
     labels = components(found).withColumnRenamed("node", "id")
     labelled = kept(
-        members.select("key", "id", "n").join(labels, "id", "left").select(
+        members.join(labels, "id", "left").select(
             "key", "id", "n", F.coalesce("component", "id").alias("label")
         ),
         "labelled",
@@ -228,9 +296,7 @@ def links(docs: DataFrame, classes: DataFrame, percent: int = 85, width: int = S
     apart = labelled.groupBy("key").agg(
         F.min("label").alias("x"), F.max("label").alias("y")
     ).where("x != y").select(F.col("key").alias("k"))
-    rest = labelled.join(apart, F.col("key") == F.col("k")).drop("k")
-    last = _judged(_block_pairs(rest, classes).distinct(), texts, width).where(linked)
-    return found.union(kept(last.select("a", "b"), "links"))
+    return kept(labelled.join(apart, F.col("key") == F.col("k")).drop("k"), "apart")
 
 
 def _pivot_pairs(members: DataFrame) -> DataFrame:
@@ -243,32 +309,36 @@ def _pivot_pairs(members: DataFrame) -> DataFrame:
     ).distinct()
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame, nearest: int | None = None) -> DataFrame:
+def _block_pairs(
+    members: DataFrame, classes: DataFrame, nearest: int | None = None, percent: int | None = None
+) -> DataFrame:
     """Pairs that share a key and whose signatures are under the threshold: of each member
-    with its ``nearest`` ones, or all of different labels, and these in the first key they
-    share alone. The members of a large key are dealt to pairs of blocks, so no task holds
-    more than two blocks."""
+    with its ``nearest`` ones, or all, and these in the first key they share alone. Members
+    with a label meet those of other labels only. With ``percent``, pairs must be near by
+    their long signatures too, and could be links by the sizes of their sets. The members of
+    a large key are dealt to pairs of blocks, so no task holds more than two blocks."""
     blocks = F.ceil(F.col("n") / BLOCK)
     label = F.col("label") if "label" in members.columns else F.col("id")
+    long = ["size", "long"] if percent is not None else []
     dealt = members.select(
         "key", "id", F.pmod(F.xxhash64("id"), blocks).alias("block"), blocks.alias("blocks"),
         label.alias("label"),
-    ).join(classes.select("id", "signature"), "id")
+    ).join(classes.select("id", "signature", *long), "id")
     spread = dealt.select(
-        "key", "id", "block", "signature", "label",
+        "key", "id", "block", "signature", "label", *long,
         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)).alias("other"),
     ).select(
         "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        "id", "block", "signature", "label",
+        "id", "block", "signature", "label", *long,
     )
     group = ["key", "x", "y"]
     return spread.repartition(*group).sortWithinPartitions(*group).mapInArrow(
-        partial(_compare_groups, nearest=nearest), "a bigint, b bigint"
+        partial(_compare_groups, nearest=nearest, percent=percent), "a bigint, b bigint"
     )
 
 
-def _compare_groups(batches, nearest):
-    """Rows (key, x, y, id, block, signature, label) sorted by group."""
+def _compare_groups(batches, nearest, percent):
+    """Rows (key, x, y, id, block, signature, label, size, long) sorted by group."""
     waiting = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -276,11 +346,11 @@ def _compare_groups(batches, nearest):
         groups = np.stack([waiting.column(i).to_numpy() for i in range(3)], axis=1)
         last = np.flatnonzero((groups != groups[-1]).any(axis=1))
         done = int(last[-1]) + 1 if len(last) else 0
-        yield _pairs_of(waiting.slice(0, done), groups[:done], nearest)
+        yield _pairs_of(waiting.slice(0, done), groups[:done], nearest, percent)
         waiting = waiting.slice(done)
     if waiting is not None:
         groups = np.stack([waiting.column(i).to_numpy() for i in range(3)], axis=1)
-        yield _pairs_of(waiting, groups, nearest)
+        yield _pairs_of(waiting, groups, nearest, percent)
 
 
 def _choice_of(keys: np.ndarray, signatures: np.ndarray) -> np.ndarray:
@@ -297,9 +367,23 @@ def _first_key(differ: np.ndarray) -> np.ndarray:
     return chunk * len(_OUT) + (~kept_symbols).argmax(axis=0)
 
 
-def _pairs_of(rows: pa.Table, groups: np.ndarray, nearest: int | None) -> pa.RecordBatch:
+def _pairs_of(
+    rows: pa.Table, groups: np.ndarray, nearest: int | None, percent: int | None
+) -> pa.RecordBatch:
     a, b = [], []
     if len(groups):
+        size_of = long = None
+        if percent is not None:
+            size_of = rows.column(7).to_numpy()
+            long = np.frombuffer(b"".join(rows.column(8).to_pylist()), np.uint8).reshape(-1, LONG)
+            most = long_threshold(percent)
+
+        def could_link(i, j):
+            """Which pairs of rows may be links by size and long signature."""
+            ok = np.minimum(size_of[i], size_of[j]) * 100 >= np.maximum(size_of[i], size_of[j]) * percent
+            ok[ok] = _differing(long, i, j, ok) <= most
+            return ok
+
         ids, block, label = (rows.column(i).to_numpy() for i in (3, 4, 6))
         signature = np.frombuffer(b"".join(rows.column(5).to_pylist()), "<u2").reshape(-1, SYMBOLS)
         edges = np.flatnonzero((groups[1:] != groups[:-1]).any(axis=1)) + 1
@@ -313,6 +397,8 @@ def _pairs_of(rows: pa.Table, groups: np.ndarray, nearest: int | None) -> pa.Rec
         if nearest is None:
             near &= _first_key(differ) == _choice_of(groups[two, 0], signature[two])
         two = two[near]
+        if percent is not None:
+            two = two[could_link(two, two + 1)]
         a += np.minimum(ids[two], ids[two + 1]).tolist()
         b += np.maximum(ids[two], ids[two + 1]).tolist()
         for lo, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
@@ -330,8 +416,13 @@ def _pairs_of(rows: pa.Table, groups: np.ndarray, nearest: int | None) -> pa.Rec
                     if choice is None:
                         choice = _choice_of(groups[lo : lo + 1, 0], signature[lo : lo + 1])[0]
                     found = found[_first_key(differ[found]) == choice]
+                if percent is not None and len(found):
+                    found = found[could_link(np.full(len(found), i), lo + found)]
                 if nearest is not None and len(found) > nearest:
-                    found = found[np.argsort(apart[found], kind="stable")[:nearest]]
+                    far = apart[found]
+                    if percent is not None:
+                        far = (long[i] != long[lo + found]).sum(axis=1)
+                    found = found[np.argsort(far, kind="stable")[:nearest]]
                 a += np.minimum(ids[i], ids[lo:hi][found]).tolist()
                 b += np.maximum(ids[i], ids[lo:hi][found]).tolist()
     return pa.RecordBatch.from_arrays(
@@ -339,6 +430,14 @@ def _pairs_of(rows: pa.Table, groups: np.ndarray, nearest: int | None) -> pa.Rec
     )
 
 
+def _differing(long: np.ndarray, i: np.ndarray, j: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """In how many symbols the chosen pairs of rows differ, some thousand pairs at a time."""
+    i, j = i[some], j[some]
+    step = 4096
+    parts = [(long[i[lo : lo + step]] != long[j[lo : lo + step]]).sum(axis=1) for lo in range(0, len(i), step)]
+    return np.concatenate([np.zeros(0, np.int64), *parts])
+
+
 def near_duplicates(
     docs: DataFrame, percent: int = 85, id_col: str = "doc_id", text_col: str = "text",
     width: int = SHINGLE,
