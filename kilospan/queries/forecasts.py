@@ -103,12 +103,15 @@ def sql_least_squares(key: str, lags: dict[str, int], variants: dict[str, list[s
     solved by elimination column by column."""
     lagged = ", ".join(f"lag(y, {n}) OVER w AS {c}" for c, n in lags.items())
     whole = " AND ".join(f"{c} IS NOT NULL" for c in ["y", *lags])
+    # all variants learn from the same rows; a forecast needs only what its variant looks at
     each = " UNION ALL ".join(
-        f"SELECT {key}, ts, split, y, '{m}' AS model, [{', '.join(['1.0::DOUBLE', *chosen, 'y'])}] AS v FROM looked"
+        f"""SELECT {key}, ts, split, y, '{m}' AS model, [{', '.join(['1.0::DOUBLE', *chosen, 'y'])}] AS v
+  FROM looked WHERE {' AND '.join(f'{c} IS NOT NULL' for c in ['y', *chosen])}
+    AND (split != 'train' OR ({whole}))"""
         for m, chosen in variants.items()
     )
     return f"""looked AS (SELECT *, {lagged} FROM parted WINDOW w AS (PARTITION BY {key} ORDER BY ts)),
-vec AS (SELECT * FROM ({each.replace('FROM looked', f'FROM looked WHERE {whole}')})),
+vec AS ({each}),
 ij AS (SELECT {key}, model, v, i, unnest(range(1, len(v) + 1)) AS j FROM (
   SELECT *, unnest(range(1, len(v))) AS i FROM vec WHERE split = 'train')),
 sums AS (SELECT {key}, model, i, j, sum(v[i] * v[j]) AS s FROM ij GROUP BY ALL),
