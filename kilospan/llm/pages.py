@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -35,6 +36,7 @@ from kilospan.llm.common import kept, row_slices, text_bytes
 MIN_PAGES = 10
 ID_WORDS = 2
 FAN_IN = 64
+MOST_DEPTH = 150
 HELD_HOSTS = 5000
 BROADCAST_BYTES = 64 << 20
 
@@ -49,6 +51,9 @@ SILENT = frozenset(
     "script style noscript template svg math button select option textarea label iframe object "
     "canvas audio video map datalist output progress meter head title".split()
 )
+# Of these, the ones whose text HTML reads as raw; and what may stand in a head.
+RAW = frozenset("script style textarea title iframe".split())
+IN_HEAD = frozenset("head title script style noscript template meta link base basefont bgsound".split())
 APART = frozenset("nav header footer aside form menu dialog search".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 APART_NAMES = frozenset(
@@ -71,14 +76,18 @@ LOOKS = frozenset("has with without no not is hide show hidden left right".split
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z0-9]+")
 _DIGIT = re.compile(r"\d")
+# "<!-->" and "<!--->" are whole comments, too
+_COMMENT_END = re.compile(r"<!--(?:-?>)|--!?>")
 
 
 class Node:
-    __slots__ = ("tag", "label", "apart", "named", "texts", "children", "parent", "open_text")
+    __slots__ = (
+        "tag", "label", "apart", "named", "texts", "children", "parent", "open_text", "depth"
+    )
 
     def __init__(self, tag, label, apart, parent, named=False):
         self.tag, self.label, self.apart, self.parent = tag, label, apart, parent
-        self.named = named
+        self.named, self.depth = named, 0 if parent is None else parent.depth + 1
         self.texts, self.children, self.open_text = [], [], []
 
 
@@ -121,48 +130,90 @@ def _mark_apart(builder: "_Builder") -> None:
         node.apart = node.parent.apart or node.apart or by_name
 
 
+class _Silence:
+    """An open element without text of its own, and how things stood when it began."""
+
+    __slots__ = ("tag", "depth", "n_said", "text", "n_children")
+
+    def __init__(self, tag, builder):
+        self.tag, self.depth = tag, len(builder.open)
+        self.n_said, self.text = len(builder.order), list(builder.at.open_text)
+        self.n_children = len(builder.at.children)
+
+
 class _Builder(HTMLParser):
-    """Blocks and their texts, in page order. Inline elements do not cut a text."""
+    """Blocks and their texts, in page order. Inline elements do not cut a text.
+
+    When a silent element ends, what was said in it is taken back. One that never ends, or
+    that the end of an element around it ends, was no real one and keeps its text; only raw
+    text, which HTML itself lets run to the end, has none in any case. What may not stand in
+    the head ends it. Nodes deeper than MOST_DEPTH are children of the one at that depth.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = Node("#page", "#page", False, None)
-        self.at, self.silent, self.order = self.root, [], []
+        self.open, self.count = [self.root], Counter()
+        self.silent: list[_Silence] = []
+        self.order: list[tuple[Node, str]] = []
+
+    @property
+    def at(self) -> Node:
+        return self.open[-1]
 
     def _flush(self):
         text = _SPACE.sub(" ", "".join(self.at.open_text)).strip()
         self.at.open_text = []
         if text:
-            self.at.texts.append(text)
             self.order.append((self.at, text))
 
+    def _pop(self):
+        self.count[self.open.pop().tag] -= 1
+
+    def _take_back(self, place: int):
+        """The silent element at this place has ended: forget what was said in it."""
+        began = self.silent[place]
+        while len(self.open) > began.depth:
+            self._pop()
+        del self.order[began.n_said :], self.at.children[began.n_children :]
+        self.at.open_text = began.text
+        del self.silent[place:]
+
     def handle_starttag(self, tag, attrs):
+        if self.silent:
+            around = self.silent[-1].tag
+            if around in RAW:
+                return
+            if around == "head" and tag not in IN_HEAD:
+                self._take_back(-1)
         if tag in VOID:
             if tag == "hr":
                 self._flush()
-            elif tag == "br" and not self.silent:
+            elif tag == "br":
                 self.at.open_text.append(" ")
             return
+        if tag in SILENT:
+            self.silent.append(_Silence(tag, self))
+            return
+        if tag not in BLOCKS:
+            return
         classes, name = (
             " ".join(v or "" for k, v in attrs if k == key).lower() for key in ("class", "id")
         )
         role = next((v or "" for k, v in attrs if k == "role"), "").lower()
         hidden = any(k == "hidden" or k == "aria-hidden" and v == "true" for k, v in attrs)
-        if self.silent or tag in SILENT:
-            self.silent.append(tag)
-            return
-        if tag not in BLOCKS:
-            return
         self._flush()
         self._imply(tag)
         apart = tag in APART or role in APART_ROLES or hidden
         named = names_apart(f"{classes} {name}")
-        node = Node(tag, label_of(tag, classes, name), apart, self.at, named)
-        self.at.children.append(node)
-        self.at = node
+        above = self.at if self.at.depth < MOST_DEPTH else self.at.parent
+        node = Node(tag, label_of(tag, classes, name), apart, above, named)
+        above.children.append(node)
+        self.open.append(node)
+        self.count[tag] += 1
 
     def _imply(self, tag):
-        """Elements that end where another one begins."""
+        """Elements that end where another one begins, within the same silent element."""
         ends = {"p"} if tag in BLOCKS and tag not in ("html", "body") else set()
         if tag in ("li",):
             ends = {"p", "li"}
@@ -172,25 +223,32 @@ class _Builder(HTMLParser):
             ends = {"p", "td", "th"}
         elif tag == "tr":
             ends = {"p", "td", "th", "tr"}
-        while self.at.tag in ends:
-            self.at = self.at.parent
+        least = self.silent[-1].depth if self.silent else 1
+        while len(self.open) > least and self.at.tag in ends:
+            self._pop()
 
     def handle_endtag(self, tag):
-        if self.silent:
-            if tag in self.silent:
-                while self.silent.pop() != tag:
-                    pass
-            elif tag in ("html", "body"):
-                self.silent.clear()
-            return
-        if tag not in BLOCKS:
+        for place in reversed(range(len(self.silent))):
+            if self.silent[place].tag == tag:
+                self._take_back(place)
+                return
+        if self.silent and self.silent[-1].tag in RAW:
+            if tag not in ("html", "body"):
+                return
+            self.silent.pop()
+        if tag not in BLOCKS or not self.count[tag]:
             return
         self._flush()
-        node = self.at
-        while node is not None and node.tag != tag:
-            node = node.parent
-        if node is not None and node.parent is not None:
-            self.at = node.parent
+        while self.at.tag != tag:
+            self._pop()
+        self._pop()
+        while self.silent and self.silent[-1].depth > len(self.open):
+            self.silent.pop()
+
+    def parse_comment(self, i, report=1):
+        """To the end of the comment; one that never ends goes to the end of the page."""
+        end = _COMMENT_END.match(self.rawdata, i) or _COMMENT_END.search(self.rawdata, i + 4)
+        return end.end() if end else len(self.rawdata)
 
     def parse_marked_section(self, i, report=1):
         """What begins with <![ is a comment up to the next > in HTML."""
@@ -198,8 +256,13 @@ class _Builder(HTMLParser):
         return end + 1 if end >= 0 else len(self.rawdata)
 
     def handle_data(self, data):
-        if not self.silent:
-            self.at.open_text.append(data)
+        if self.silent:
+            around = self.silent[-1].tag
+            if around in RAW:
+                return
+            if around == "head" and data.strip():
+                self._take_back(-1)
+        self.at.open_text.append(data)
 
 
 def parse(html: str) -> _Builder:
@@ -208,6 +271,8 @@ def parse(html: str) -> _Builder:
     builder.feed(html)
     builder.close()
     builder._flush()
+    for node, text in builder.order:
+        node.texts.append(text)
     _mark_apart(builder)
     return builder
 

