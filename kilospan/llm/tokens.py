@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import islice
+from itertools import compress, islice, repeat
 
 import numpy as np
 
 CACHE_WORDS = 700_000
-FILL = 2048
+FILL = 256
 # white space but blanks and line breaks: in texts of ASCII, and beyond
 _OTHER = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f"
 _BEYOND = "\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
@@ -38,8 +38,8 @@ def _plainly_spaced(text: str) -> bool:
 
 
 class Coder:
-    """``ids(text)``: bytes of little-endian 32-bit ids. With ``places``, each id is
-    followed by the first and end character of its token."""
+    """``encode(texts)``: per text the bytes of little-endian 32-bit ids. With ``places``,
+    each id is followed by the first and end character of its token."""
 
     def __init__(self, path: str, places: bool = False, cache_words: int = CACHE_WORDS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -47,7 +47,6 @@ class Coder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.places, self.cache_words = places, cache_words
-        self.known: dict[str, bytes] = {}
         kind = json.loads(self.tokenizer.to_str())
         before = kind.get("pre_tokenizer") or {}
         self.pieces = (
@@ -60,82 +59,90 @@ class Coder:
         line = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.pieces = self.pieces and len(line) == 1
         self.line = line[0] if line else -1
-        self.width = 12 if places else 4
+        self.width = 3 if places else 1
+        # known word w has the rows at[known[w]] to at[known[w] + 1]
+        self.known: dict[str, int] = {"\n": 0}
+        self.rows = np.array([[self.line, 0, 1][: self.width]], np.uint32)
+        self.at = np.array([0, 1])
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if not self.pieces:
-            return [self._whole(t) for t in texts]
-        flat, ends = [], []
-        for t in texts:
-            if t and _plainly_spaced(t):
+        flat: list[str] = []
+        ends = np.zeros(len(texts) + 1, np.int64)
+        whole = {}
+        for i, t in enumerate(texts):
+            if t and self.pieces and _plainly_spaced(t):
                 flat += t.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
             elif t:
-                flat.append(None)
-            ends.append(len(flat))
-        known = self.known
-        got = list(map(known.get, flat))
-        if None in got:
-            new = {w for w, g in zip(flat, got) if g is None and w is not None}
-            if len(known) + len(new) > self.cache_words:
-                # the words met first are the frequent ones
-                self.known = known = dict(islice(known.items(), self.cache_words * 2 // 3))
-                new = {w for w in flat if w is not None and w not in known}
-            self._learn(list(new))
-            got = list(map(known.get, flat))
-        out, lo = [], 0
-        for t, hi in zip(texts, ends):
-            if hi == lo:
-                out.append(b"")
-            elif got[lo] is None:
-                out.append(self._whole(t))
-            elif self.places:
-                out.append(self._placed(flat[lo:hi], got[lo:hi]))
-            else:
-                out.append(b"".join(got[lo:hi]))
-            lo = hi
+                whole[i] = self._whole(t).tobytes()
+            ends[i + 1] = len(flat)
+        word = self._look(flat)
+        unknown = word < 0
+        if unknown.any():
+            new = list(dict.fromkeys(compress(flat, unknown.tolist())))
+            if len(self.known) + len(new) > self.cache_words:
+                self._forget()
+                unknown[:] = True
+                new = [w for w in dict.fromkeys(flat) if w not in self.known]
+            self._learn(new)
+            word[unknown] = self._look(list(compress(flat, unknown.tolist())))
+        count = self.at[word + 1] - self.at[word]
+        until = np.concatenate([[0], np.cumsum(count)])
+        rows = self.rows[np.repeat(self.at[word] - until[:-1], count) + np.arange(until[-1])]
+        if self.places and len(flat):
+            size = np.fromiter(map(len, flat), np.int64, len(flat))
+            begin = np.cumsum(size) - size
+            text = np.repeat(np.arange(len(texts)), np.diff(ends))
+            begin -= begin[ends[:-1].clip(max=len(flat) - 1)][text]
+            rows[:, 1:] += np.repeat(begin, count).astype(np.uint32)[:, None]
+        packed, cut = rows.astype("<u4").tobytes(), (until[ends] * 4 * self.width).tolist()
+        out = [packed[lo:hi] for lo, hi in zip(cut, cut[1:])]
+        for i, own in whole.items():
+            out[i] = own
         return out
 
+    def _look(self, words: list[str]) -> np.ndarray:
+        """Numbers of known words, -1 for others."""
+        return np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+
+    def _forget(self) -> None:
+        """Make room: the words met first are the frequent ones."""
+        keep = max(1, min(self.cache_words * 2 // 3, len(self.known)))
+        self.known = dict(islice(self.known.items(), keep))
+        self.at = self.at[: keep + 1].copy()
+        self.rows = self.rows[: self.at[-1]].copy()
+
     def _learn(self, words: list[str]) -> None:
         """Encode words joined by line breaks, which are a token of their own."""
-        for lo in range(0, len(words), FILL):
-            part = [w for w in words[lo : lo + FILL] if w != "\n"]
-            self.known["\n"] = self._pack([self.line], [(0, 1)])
-            if not part:
-                continue
-            made = self.tokenizer.encode("\n".join(part) + "\n", add_special_tokens=False)
+        rows, counts = [], []
+        lines = ["\n".join(words[lo : lo + FILL]) + "\n" for lo in range(0, len(words), FILL)]
+        # the fast way leaves out the places
+        encode = self.tokenizer.encode_batch if self.places else self.tokenizer.encode_batch_fast
+        for i, made in enumerate(encode(lines, add_special_tokens=False)):
+            part = words[i * FILL : (i + 1) * FILL]
             ids = np.array(made.ids, np.uint32)
             cuts = np.flatnonzero(ids == self.line)
             if len(cuts) != len(part):
-                self.known.update((w, self._whole(w)) for w in part)
+                own = [self._whole(w) for w in part]
+                rows += own
+                counts.append(np.array([len(r) for r in own]))
                 continue
+            count = np.diff(np.concatenate([[-1], cuts]))
+            mine = ids[:, None]
             if self.places:  # character spans, counted from the first of the word
                 size = np.array([len(w) + 1 for w in part])
-                count = np.diff(np.concatenate([[-1], cuts]))
                 base = np.repeat(np.cumsum(size) - size, count)
-                ids = np.column_stack([ids, np.array(made.offsets) - base[:, None]])
-            packed, at = ids.astype("<u4").tobytes(), 0
-            for w, cut in zip(part, cuts.tolist()):
-                self.known[w] = packed[self.width * at : self.width * cut]
-                at = cut + 1
-
-    def _pack(self, ids, spans) -> bytes:
-        if not self.places:
-            return np.array(ids, "<u4").tobytes()
-        rows = np.empty((len(ids), 3), "<u4")
-        rows[:, 0] = ids
-        rows[:, 1:] = np.array(spans, np.uint32).reshape(-1, 2)
-        return rows.tobytes()
-
-    def _whole(self, text: str) -> bytes:
-        if not self.places:
-            made = self.tokenizer.encode(text, add_special_tokens=False)
-            return np.array(made.ids, "<u4").tobytes()
+                mine = np.column_stack([ids, np.array(made.offsets) - base[:, None]]).astype(np.uint32)
+            rows.append(np.delete(mine, cuts, axis=0))
+            counts.append(count - 1)
+        first = len(self.known)
+        self.known.update(zip(words, range(first, first + len(words))))
+        self.at = np.concatenate([self.at, self.at[-1] + np.cumsum(np.concatenate(counts))])
+        self.rows = np.concatenate([self.rows, *rows])
+
+    def _whole(self, text: str) -> np.ndarray:
         made = self.tokenizer.encode(text, add_special_tokens=False)
-        return self._pack(made.ids, made.offsets)
-
-    def _placed(self, words: list[str], got: list[bytes]) -> bytes:
-        rows = np.frombuffer(b"".join(got), "<u4").reshape(-1, 3).copy()
-        count = np.fromiter(map(len, got), np.int64, len(got)) // 12
-        size = np.fromiter(map(len, words), np.int64, len(words))
-        rows[:, 1:] += np.repeat(np.cumsum(size) - size, count).astype("<u4")[:, None]
-        return rows.tobytes()
+        rows = np.empty((len(made.ids), self.width), "<u4")
+        rows[:, 0] = made.ids
+        if self.places:
+            rows[:, 1:] = np.array(made.offsets, np.uint32).reshape(-1, 2)
+        return rows
