@@ -30,10 +30,10 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group: the one with the least id. Documents without words
-    or without an id are in no group and stay."""
+    """Keeps one document of each group: the one with the least id. Documents are linked from
+    a similarity of 0.8 on; those without words or without an id are in no group and stay."""
     found = kept(
-        near_dup.near_duplicates(docs).where("not kept").select(
+        near_dup.near_duplicates(docs, percent=80).where("not kept").select(
             F.col("doc_id").alias("__id")
         ).distinct(),
         "copies",

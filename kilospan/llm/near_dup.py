@@ -45,7 +45,7 @@ SYMBOLS = CHUNKS * CHUNK
 THRESHOLD = CHUNKS * (ERRORS + 1) - 1
 NEAREST = 4
 BLOCK = 1000
-LONG = 512
+LONG = 768
 LONG_MISS = 1e-9
 BROADCAST_IDS = 2_000_000
 _OUT = list(combinations(range(CHUNK), ERRORS))
@@ -315,8 +315,9 @@ def _block_pairs(
     """Pairs that share a key and whose signatures are under the threshold: of each member
     with its ``nearest`` ones, or all, and these in the first key they share alone. Members
     with a label meet those of other labels only. With ``percent``, pairs must be near by
-    their long signatures too, and could be links by the sizes of their sets. The members of
-    a large key are dealt to pairs of blocks, so no task holds more than two blocks."""
+    their long signatures too, could be links by the sizes of their sets, and stand in the
+    first key they share in any case. The members of a large key are dealt to pairs of
+    blocks, so no task holds more than two blocks."""
     blocks = F.ceil(F.col("n") / BLOCK)
     label = F.col("label") if "label" in members.columns else F.col("id")
     long = ["size", "long"] if percent is not None else []
@@ -394,7 +395,8 @@ def _pairs_of(
         near = (differ.sum(axis=1) <= THRESHOLD) & (label[two] != label[two + 1])
         near &= (groups[two, 1] == groups[two, 2]) | (block[two] != block[two + 1])
         near &= ids[two] != ids[two + 1]
-        if nearest is None:
+        once = nearest is None or percent is not None
+        if once:
             near &= _first_key(differ) == _choice_of(groups[two, 0], signature[two])
         two = two[near]
         if percent is not None:
@@ -403,7 +405,14 @@ def _pairs_of(
         b += np.maximum(ids[two], ids[two + 1]).tolist()
         for lo, n in zip(first[size > 2].tolist(), size[size > 2].tolist()):
             hi, across, choice = lo + n, groups[lo, 1] != groups[lo, 2], None
+            most_of = None
+            if percent is not None and nearest is not None:
+                # members of the largest component wait for the others to find them
+                names, counts = np.unique(label[lo:hi], return_counts=True)
+                most_of = names[counts.argmax()]
             for i in range(lo, hi):
+                if most_of is not None and label[i] == most_of:
+                    continue
                 differ = signature[i] != signature[lo:hi]
                 apart = differ.sum(axis=1)
                 near = (apart <= THRESHOLD) & (label[lo:hi] != label[i])
@@ -412,7 +421,7 @@ def _pairs_of(
                 if nearest is None:
                     near &= ids[lo:hi] > ids[i]
                 found = np.flatnonzero(near)
-                if nearest is None and len(found):
+                if once and len(found):
                     if choice is None:
                         choice = _choice_of(groups[lo : lo + 1, 0], signature[lo : lo + 1])[0]
                     found = found[_first_key(differ[found]) == choice]

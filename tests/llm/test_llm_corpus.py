@@ -52,13 +52,13 @@ def shingles(text):
     return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
 
 
-def near_by_force(rows):
+def near_by_force(rows, percent=85):
     sets = {}
     for i, t in rows:
         sets.setdefault(i, []).append(shingles(t))
     edges = [
         (a, b) for a in sets for b in sets if a < b
-        and any(x and 100 * len(x & y) >= 85 * len(x | y) for x in sets[a] for y in sets[b])
+        and any(x and 100 * len(x & y) >= percent * len(x | y) for x in sets[a] for y in sets[b])
     ]
     return roots(sets, edges)
 
@@ -293,6 +293,43 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(vectors.limit(0), vectors).count() == 0
 
 
+def test_large_families_are_judged_in_proportion(spark, monkeypatch):
+    """A family whose members are alike, but no duplicates: sets are compared a few times per
+    member, however many members there are."""
+    counts = []
+    real = near_dup._judged
+
+    def counted(near, texts, width):
+        counts.append(near.count())
+        return real(near, texts, width)
+
+    monkeypatch.setattr(near_dup, "_judged", counted)
+    total = {}
+    for members in (80, 160):
+        original, r = words(200, 4), random.Random(members)
+        rows = []
+        for i in range(members):
+            text = list(original)
+            for place in r.sample(range(200), 7):
+                text[place] = f"x{i}y{place}"
+            rows.append((i, " ".join(text)))
+        counts.clear()
+        got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"))
+        assert {x["doc_id"]: x["component_id"] for x in got.collect()} == near_by_force(rows)
+        total[members] = sum(counts)
+    # all pairs would be four times as many; up to NEAREST in each of its keys are a member's
+    assert total[160] <= 3 * total[80] and total[160] <= 4 * near_dup.NEAREST * 160
+
+
+def test_long_signatures_hardly_miss_a_link():
+    n = near_dup.LONG
+    for percent in (80, 85, 95):
+        most = near_dup.long_threshold(percent)
+        differ = 1 - percent / 100
+        missed = sum(math.comb(n, k) * differ**k * (1 - differ) ** (n - k) for k in range(most + 1, n + 1))
+        assert missed <= near_dup.LONG_MISS < missed + math.comb(n, most) * differ**most * (1 - differ) ** (n - most)
+
+
 def test_pipeline(spark, sf, tmp_path):
     docs = table(spark, sf, "documents")
     columns, kept = docs.columns, {}
@@ -305,7 +342,7 @@ def test_pipeline(spark, sf, tmp_path):
             assert docs.columns == columns
     texts = {r["doc_id"]: r["text"] for r in table(spark, sf, "documents").collect()}
     assert set(kept["language_id"]["doc_id"]) == {i for i, t in texts.items() if re.search(r"[^\W\d_]", t or "")}
-    label = near_by_force([(i, texts[i]) for i in kept["language_id"]["doc_id"]])
+    label = near_by_force([(i, texts[i]) for i in kept["language_id"]["doc_id"]], 80)
     assert set(kept["near_dedup"]["doc_id"]) == {i for i, c in label.items() if i == c}
     cut = kept["substring_dedup"].set_index("doc_id")["text"]
     assert set(cut.index) == set(kept["near_dedup"]["doc_id"])
