@@ -247,15 +247,3 @@ def rollout_linear(
         *series.keys, (F.col("__i") + 1).alias("step"),
         plus_seconds("__last", f"(__i + 1) * {freq.step_seconds}").alias(series.ts), "predicted",
     )
-
-
-def fit_and_score(
-    df: DataFrame, features: list[str], target: str, split: str = "split"
-) -> tuple[LinearRegressionModel, DataFrame]:
-    """Fit a pooled one-step model on the train part and predict the test part."""
-    data = VectorAssembler(inputCols=features, outputCol="features").transform(df)
-    model = LinearRegression(featuresCol="features", labelCol=target, regParam=1e-6).fit(
-        data.where(F.col(split) == "train")
-    )
-    scored = model.transform(data.where(F.col(split) == "test"))
-    return model, scored.drop("features")

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import tempfile
 
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,14 +50,6 @@ def settle(df: DataFrame, max_rows: int = LOCAL_ROWS) -> tuple[DataFrame, bool]:
     return table, True
 
 
-def greatest_in(table: DataFrame, column: str):
-    """Greatest value of a column (None if there is none), without a job if settled."""
-    rows = getattr(table, "settled_rows", None)
-    if rows is not None:
-        return pc.max(rows[column]).as_py()
-    return table.agg(F.max(column)).first()[0]
-
-
 def match(df: DataFrame, table: DataFrame, on: list[str]) -> Column:
     """Equality of the named columns in which NULL equals NULL; no names match all."""
     cond = F.lit(True)
