@@ -13,6 +13,12 @@ word against the copy that stays, so a passage goes up to its first and last wor
 whole phrase in it is enough to find it. A widened island of at least ``min_words`` words
 is removed. A common run that goes on past the phrase next to an island and REACH + 1 words
 would have that phrase in the island, so no more words than these are compared.
+
+Most units are in one document alone, so texts are cut twice. The first time only digests
+and ids leave the task, and what repeats is found; the second time a filter of bits leaves
+out most other units before rows are written, and a join by digest the rest. A unit knows
+some bits of the words next to it: an end of an island where they differ from those in the
+copy that stays cannot move, and its words are not asked for.
 """
 
 from __future__ import annotations
@@ -28,10 +34,11 @@ from kilospan.llm.common import (
 
 REACH = 4
 MIN_WORDS = 20
-ASKS = 500_000
+CHUNK_BITS = 1 << 19  # of the filter in one row
+FILTER_BITS = 1 << 29  # at most; a fuller filter lets more units through to the join
 UNITS = (
     "digest bigint, doc_id bigint, row_tag int, unit int, word int, start int, end int, "
-    "words int, origin int"
+    "words int, origin int, beside int"
 )
 AROUND = "doc_id bigint, row_tag int, ask int, hashes array<bigint>, places array<int>"
 _PAIR = seeds(2, 41)
@@ -79,53 +86,125 @@ def _texts_apart(texts, reader, reach: int):
         )
 
 
-def unit_rows(docs: DataFrame, reach: int = REACH, whole_lines: bool = False) -> DataFrame:
-    """All units of (doc_id, row_tag, text) rows: see UNITS. ``word`` is the number of the
-    first word in the text, ``origin`` the first unit of the same digest there. With
+def _beside(words: np.ndarray, doc: np.ndarray, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Seven bits each of the words before and behind units, 0 where the text has none."""
+    some = np.append((words >> np.uint64(40)) % np.uint64(127), 0).astype(np.int32) + 1
+    home = np.concatenate([[-1], doc, [-1]])  # that of a word is one place to the right
+    before = np.where(home[begin] == doc[begin], some[begin - 1], 0)
+    return before | np.where(home[stop + 1] == doc[begin], some[stop], 0) << 7
+
+
+def _units_apart(texts, reader, reach: int, whole_lines: bool):
+    """Per slice and kind of unit: the row of each unit, and UNITS but for the ids."""
+    for lo, _, words, doc, line, left, right, phrases in _texts_apart(texts, reader, reach):
+        up, down = _powers(len(words) + 1)
+        run = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * up[: len(words)], out=run[1:])
+        lines = np.append(0, np.flatnonzero(line[1:] != line[:-1]) + 1)
+        kinds = [(phrases, np.uint64(0))] + [(lines, _LINE)] * whole_lines
+        for begin, salt in kinds:
+            stop = np.append(begin[1:], len(words))
+            size = stop - begin
+            whole = (run[stop] - run[begin]) * down[begin] + size.astype(np.uint64)
+            digest = signed(mix64(whole ^ salt))
+            home = doc[begin]
+            number = np.arange(len(begin)) - np.searchsorted(home, home, "left")
+            if salt:
+                number = -1 - number
+            order = np.lexsort((begin, digest, home))
+            fresh = np.ones(len(begin), bool)
+            fresh[1:] = (digest[order[1:]] != digest[order[:-1]]) | (
+                home[order[1:]] != home[order[:-1]]
+            )
+            group = np.maximum.accumulate(np.where(fresh, np.arange(len(begin)), 0))
+            first = np.empty(len(begin), np.int64)
+            first[order] = order[group]
+            beside = _beside(words, doc, begin, stop)
+            beside |= np.where(first == np.arange(len(begin)), 0, beside[first] << 14)
+            yield lo + home, {
+                "digest": digest, "unit": number, "word": begin - np.searchsorted(doc, home, "left"),
+                "start": left[begin], "end": right[stop - 1], "words": size,
+                "origin": number[first], "beside": beside,
+            }
+
+
+def digest_rows(docs: DataFrame, reach: int = REACH, whole_lines: bool = False) -> DataFrame:
+    """The digests of (doc_id, row_tag, text) rows, one each: digest, doc_id."""
+
+    def cut(batches):
+        reader = spaced_words()
+        for batch in batches:
+            ids = batch.column(0).to_numpy()
+            for row, unit in _units_apart(batch.column(2), reader, reach, whole_lines):
+                fresh = unit["origin"] == unit["unit"]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(unit["digest"][fresh]), pa.array(ids[row[fresh]])], ["digest", "doc_id"]
+                )
+
+    return docs.mapInArrow(cut, "digest bigint, doc_id bigint")
+
+
+def digest_filter(known: DataFrame) -> np.ndarray:
+    """Bits, two of which are set for each digest of (known) rows: 16 bits a digest or more
+    while there are at most FILTER_BITS. Their number is a power of two."""
+    n = max(CHUNK_BITS, min(FILTER_BITS, 1 << (16 * known.count()).bit_length()))
+
+    def fill(rows: pa.Table) -> pa.Table:
+        slots = rows.column("slot").to_numpy()
+        bits = np.zeros(CHUNK_BITS, bool)
+        bits[slots % CHUNK_BITS] = True
+        return pa.table({
+            "chunk": pa.array([slots[0] // CHUNK_BITS], pa.int64()),
+            "bits": pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()),
+        })
+
+    slots = known.select(
+        F.explode(F.array(*[
+            F.shiftrightunsigned("known", 32 * i).bitwiseAND(n - 1) for i in (0, 1)
+        ])).alias("slot")
+    )
+    chunks = slots.groupBy(F.floor(F.col("slot") / CHUNK_BITS)).applyInArrow(
+        fill, "chunk bigint, bits binary"
+    )
+    out = np.zeros(n // 8, np.uint8)
+    for r in chunks.toLocalIterator():
+        at = r["chunk"] * CHUNK_BITS // 8
+        out[at : at + CHUNK_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _let_through(bits: np.ndarray, digest: np.ndarray) -> np.ndarray:
+    """True for every digest of the filter, and for few others."""
+    out = np.ones(len(digest), bool)
+    for i in (0, 1):
+        slot = (digest.view(np.uint64) >> np.uint64(32 * i)) & np.uint64(8 * len(bits) - 1)
+        out &= (bits[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1
+    return out
+
+
+def unit_rows(
+    docs: DataFrame, reach: int = REACH, whole_lines: bool = False, among: np.ndarray | None = None
+) -> DataFrame:
+    """Units of (doc_id, row_tag, text) rows: see UNITS. ``word`` is the number of the first
+    word in the text, ``origin`` the first unit of the same digest there, ``beside`` some bits
+    of the words before and behind, and of those of the origin if that is another unit. With
     ``whole_lines``, lines are rows too, numbered -1, -2 ...; their digests are never those
-    of phrases."""
+    of phrases. ``among`` leaves out units that are not in a filter and have no origin before
+    them."""
+    held = None if among is None else docs.sparkSession.sparkContext.broadcast(among)
 
     def cut(batches):
         reader = spaced_words()
         for batch in batches:
             ids = batch.column(0).to_numpy()
             tags = batch.column(1).to_numpy()
-            for lo, hi, words, doc, line, left, right, phrases in _texts_apart(
-                batch.column(2), reader, reach
-            ):
-                up, down = _powers(len(words) + 1)
-                run = np.zeros(len(words) + 1, np.uint64)
-                np.cumsum(words * up[: len(words)], out=run[1:])
-                lines = np.append(0, np.flatnonzero(line[1:] != line[:-1]) + 1)
-                kinds = [(phrases, np.uint64(0))] + [(lines, _LINE)] * whole_lines
-                for begin, salt in kinds:
-                    stop = np.append(begin[1:], len(words))
-                    size = stop - begin
-                    whole = (run[stop] - run[begin]) * down[begin] + size.astype(np.uint64)
-                    digest = signed(mix64(whole ^ salt))
-                    home = doc[begin]
-                    number = np.arange(len(begin)) - np.searchsorted(home, home, "left")
-                    if salt:
-                        number = -1 - number
-                    order = np.lexsort((begin, digest, home))
-                    fresh = np.ones(len(begin), bool)
-                    fresh[1:] = (digest[order[1:]] != digest[order[:-1]]) | (
-                        home[order[1:]] != home[order[:-1]]
-                    )
-                    group = np.maximum.accumulate(np.where(fresh, np.arange(len(begin)), 0))
-                    origin = np.empty(len(begin), np.int32)
-                    origin[order] = number[order[group]]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(digest), pa.array(ids[lo:hi][home]), pa.array(tags[lo:hi][home]),
-                            pa.array(number.astype(np.int32)),
-                            pa.array((begin - np.searchsorted(doc, home, "left")).astype(np.int32)),
-                            pa.array(left[begin].astype(np.int32)),
-                            pa.array(right[stop - 1].astype(np.int32)),
-                            pa.array(size.astype(np.int32)), pa.array(origin),
-                        ],
-                        ["digest", "doc_id", "row_tag", "unit", "word", "start", "end", "words", "origin"],
-                    )
+            for row, unit in _units_apart(batch.column(2), reader, reach, whole_lines):
+                if held is not None:
+                    some = _let_through(held.value, unit["digest"]) | (unit["origin"] != unit["unit"])
+                    row, unit = row[some], {k: v[some] for k, v in unit.items()}
+                columns = {"digest": unit.pop("digest"), "doc_id": ids[row], "row_tag": tags[row]}
+                columns |= {k: v.astype(np.int32) for k, v in unit.items()}
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], [*columns])
 
     return docs.mapInArrow(cut, UNITS)
 
@@ -198,25 +277,38 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ).where("doc_id is not null and text is not null")
 
 
-def _widened(islands: DataFrame, holders: DataFrame, rows: DataFrame, reach: int) -> DataFrame:
+def _widened(
+    islands: DataFrame, holders: DataFrame, rows: DataFrame, reach: int, min_words: int
+) -> DataFrame:
     """Islands with both ends moved outwards over all words that are alike in the copy that
-    stays: that of the first phrase for the start, that of the last one for the end."""
+    stays: that of the first phrase for the start, that of the last one for the end. Only
+    those of at least ``min_words`` words then."""
     home = ["doc_id", "row_tag"]
 
+    def bits(beside, side: int):
+        return F.shiftright(beside, 7 * side).bitwiseAND(127)
+
     def ends(side: int, name: str) -> DataFrame:
         end = F.col(name)
         return islands.select(
             *home, "island", F.lit(side).alias("side"), (end["unit"] * 2 + side).alias("ask"),
             end["digest"].alias("digest"), end["origin"].alias("origin"),
-        )
+            bits(end["beside"], side).alias("near"),
+            bits(end["beside"], 2 + side).alias("origin_near"),
+        ).where("near > 0")
 
     edges = ends(0, "head").union(ends(1, "tail"))
-    held = holders.select(F.col("digest").alias("known"), "first_doc_id", "first_tag", "first_unit")
-    across = edges.where("origin is null").join(held, F.col("digest") == F.col("known")).select(
+    held = holders.select(
+        F.col("digest").alias("known"), "first_doc_id", "first_tag", "first_unit", "first_beside"
+    )
+    first_near = F.when(F.col("side") == 0, bits("first_beside", 0)).otherwise(bits("first_beside", 1))
+    across = edges.where("origin is null").join(
+        held, (F.col("digest") == F.col("known")) & (F.col("near") == first_near)
+    ).select(
         *home, "island", "side", "ask", "first_doc_id", "first_tag",
         (F.col("first_unit") * 2 + F.col("side")).alias("first_ask"),
     )
-    inside = edges.where("origin is not null").select(
+    inside = edges.where("origin is not null and near = origin_near").select(
         *home, "island", "side", "ask", F.col("doc_id").alias("first_doc_id"),
         F.col("row_tag").alias("first_tag"),
         (F.col("origin") * 2 + F.col("side")).alias("first_ask"),
@@ -227,10 +319,7 @@ def _widened(islands: DataFrame, holders: DataFrame, rows: DataFrame, reach: int
         .groupBy(*home).agg(F.collect_set("ask").alias("asks")),
         "asks",
     )
-    n = asks.agg(F.sum(F.size("asks"))).first()[0] or 0
-    wanted = asks.select(F.col("doc_id").alias("d"), F.col("row_tag").alias("t"), "asks")
-    side = F.broadcast(wanted) if n <= ASKS else wanted
-    asked = rows.join(side, (F.col("doc_id") == F.col("d")) & (F.col("row_tag") == F.col("t")))
+    asked = rows.join(asks, home)
     around = kept(words_around(asked, reach), "around").dropDuplicates([*home, "ask"])
     theirs = around.select(
         F.col("doc_id").alias("first_doc_id"), F.col("row_tag").alias("first_tag"),
@@ -249,11 +338,12 @@ def _widened(islands: DataFrame, holders: DataFrame, rows: DataFrame, reach: int
             for c in ("more", "place") for i in (0, 1)
         ]
     )
-    return islands.join(moved, [*home, "island"]).select(
-        *home, F.coalesce("place_0", "start").alias("start"),
-        F.coalesce("place_1", "end").alias("end"), (F.col("word") - F.col("more_0")).alias("word"),
-        (F.col("stop") + F.col("more_1")).alias("stop"), F.col("head")["first_doc_id"].alias("first_doc_id"),
-    )
+    return islands.join(moved, [*home, "island"], "left").select(
+        *home, F.coalesce("place_0", "start").alias("start"), F.coalesce("place_1", "end").alias("end"),
+        (F.col("word") - F.coalesce("more_0", F.lit(0))).alias("word"),
+        (F.col("stop") + F.coalesce("more_1", F.lit(0))).alias("stop"),
+        F.col("head")["first_doc_id"].alias("first_doc_id"),
+    ).where(F.col("stop") - F.col("word") >= min_words)
 
 
 def repeated_spans(
@@ -268,21 +358,23 @@ def repeated_spans(
     removed. Rows that share an id are one document: they are not held against each other.
     """
     rows = _rows(docs, id_col, text_col)
-    units = kept(unit_rows(rows, reach, whole_lines), "units")
-    fresh = units.where("origin = unit")
-    first = fresh.groupBy("digest").agg(
-        F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
-    ).where("first_doc_id != last_doc_id").select(
-        F.col("digest").alias("known"), "first_doc_id"
+    known = kept(
+        digest_rows(rows, reach, whole_lines).groupBy(F.col("digest").alias("known")).agg(
+            F.min("doc_id").alias("first_doc_id"), F.max("doc_id").alias("last_doc_id")
+        ).where("first_doc_id != last_doc_id").drop("last_doc_id"),
+        "known",
     )
+    units = unit_rows(rows, reach, whole_lines, digest_filter(known))
     matched = kept(
-        fresh.join(first, F.col("digest") == F.col("known")).drop("known", "origin"), "matched"
+        units.join(known, F.col("digest") == F.col("known"), "left").drop("known")
+        .where("first_doc_id is not null or origin != unit"),
+        "matched",
     )
-    columns = ["digest", "doc_id", "row_tag", "unit", "word", "start", "end", "words", "first_doc_id"]
-    across = matched.where("doc_id != first_doc_id").select(
+    columns = ["digest", "doc_id", "row_tag", "unit", "word", "start", "end", "words", "beside", "first_doc_id"]
+    across = matched.where("origin = unit and doc_id != first_doc_id").select(
         *columns, F.lit(None).cast("int").alias("origin")
     )
-    inside = units.where("origin != unit").select(
+    inside = matched.where("origin != unit").select(
         *columns[:-1], F.col("doc_id").alias("first_doc_id"), "origin"
     )
     home = ["doc_id", "row_tag"]
@@ -291,7 +383,7 @@ def repeated_spans(
     once = again.where("unit >= 0").withColumn("last", F.lag("unit").over(order)).where(
         "last is null or last != unit"  # a repeated row has its units again
     )
-    end = F.struct("first_doc_id", "digest", "unit", "origin")
+    end = F.struct("first_doc_id", "digest", "unit", "origin", "beside")
     islands = kept(
         once.withColumn("island", F.col("unit") - F.row_number().over(order))
         .groupBy(*home, "island")
@@ -302,12 +394,13 @@ def repeated_spans(
         ),
         "islands",
     )
-    holders = matched.where("doc_id = first_doc_id and unit >= 0").groupBy(
+    holders = matched.where("doc_id = first_doc_id and origin = unit and unit >= 0").groupBy(
         "digest", "first_doc_id"
-    ).agg(F.min(F.struct("row_tag", "unit")).alias("at")).select(
-        "digest", "first_doc_id", F.col("at.row_tag").alias("first_tag"), F.col("at.unit").alias("first_unit")
+    ).agg(F.min(F.struct("row_tag", "unit", "beside")).alias("at")).select(
+        "digest", "first_doc_id", F.col("at.row_tag").alias("first_tag"),
+        F.col("at.unit").alias("first_unit"), F.col("at.beside").alias("first_beside"),
     )
-    spans = _widened(islands, holders, rows, reach).where(F.col("stop") - F.col("word") >= min_words)
+    spans = _widened(islands, holders, rows, reach, min_words)
     if whole_lines:
         spans = spans.union(
             again.where("unit < 0").select(

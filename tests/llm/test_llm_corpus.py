@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -214,6 +215,75 @@ def test_short_passages_go_whole(spark):
     assert len(got) == 400 and cut == {i: t for i, t in found.items() if i >= 1000}
 
 
+def lone_phrases():
+    """Texts of their own words with one short line in common, its neighbours always others,
+    and a passage in the first and the last of them."""
+    common, passage = " ".join(words(10, 71)), words(60, 72)
+    rows = []
+    for i in range(60):
+        own = [f"{w}{i}" for w in words(200, 400 + i)]
+        inner = passage if i in (0, 59) else []
+        rows.append((i, "\n".join([" ".join(own[:100]), common, " ".join([*own[100:], *inner, f"end{i}"])])))
+    return rows, passage
+
+
+def test_only_repeats_are_written(spark, monkeypatch):
+    """Units of one document alone and words next to ends that cannot move stay in the task."""
+    written, kept = {}, substrings.kept
+
+    def counted(df, name):
+        out = kept(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(substrings, "kept", counted)
+    rows, passage = lone_phrases()
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = substrings.repeated_spans(docs).toPandas()
+    assert [(r.doc_id, rows[59][1][r.start : r.end]) for r in got.itertuples()] == [(59, " ".join(passage))]
+    units = substrings.unit_rows(substrings._rows(docs, "doc_id", "text")).count()
+    assert sum(written.values()) < units / 2
+    assert 59 <= written["islands"] and written["around"] < written["islands"] / 4
+
+
+def test_spans_do_not_depend_on_the_filter(spark, monkeypatch):
+    rows = [*passage_rows()[0], *[(200 + i, t) for i, t in lone_phrases()[0]]]
+    rows += [(300, f"{rows[3][1]}\n{rows[3][1]}"), (301, None), (302, "")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = sorted(substrings.repeated_spans(docs, whole_lines=True).collect())
+    monkeypatch.setattr(substrings, "digest_filter", lambda known: np.full(8, 255, np.uint8))
+    assert sorted(substrings.repeated_spans(docs, whole_lines=True).collect()) == want
+
+
+def test_a_filter_lets_all_its_digests_through(spark):
+    r = np.random.default_rng(3)
+    digests = r.integers(-(1 << 63), (1 << 63) - 1, 60_000)
+    digests[:3] = (-1, 0, -(1 << 63))
+    known = spark.createDataFrame([(int(x),) for x in digests[:50_000]], "known bigint")
+    bits = substrings.digest_filter(known)
+    assert 8 * len(bits) == 1 << 20
+    let = substrings._let_through(bits, digests)
+    assert let[:50_000].all() and let[50_000:].mean() < 0.02
+    none = substrings.digest_filter(known.limit(0))
+    assert not substrings._let_through(none, digests).any()
+
+
+def test_words_beside_units():
+    from kilospan.llm.common import spaced_words
+
+    texts = pa.array(["four\nfive", "", "five\nfour"])
+    found = {}
+    for row, unit in substrings._units_apart(texts, spaced_words(), 4, True):
+        for i, n, b in zip(row, unit["unit"], unit["beside"]):
+            found[int(i), int(n)] = int(b)
+    five, four = found[0, 0] >> 7, found[0, 1] & 127
+    assert four and five and four != five
+    assert found == {
+        (0, 0): five << 7, (0, 1): four, (0, -1): five << 7, (0, -2): four,
+        (2, 0): four << 7, (2, 1): five, (2, -1): four << 7, (2, -2): five,
+    }
+
+
 def test_units_of_a_passage_do_not_depend_on_what_is_around():
     from kilospan.llm.common import spaced_words
 
