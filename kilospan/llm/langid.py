@@ -208,27 +208,24 @@ def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", held_
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
     tables = probabilities(kept(count_runs(labelled), "runs"))
-    langs = sorted(r[0] for r in tables[0].select("lang").distinct().collect())
+    edges = tables[0].groupBy("lang").agg(F.max("weight"), F.max("kinds")).collect()
+    langs = sorted(r[0] for r in edges)
     model = Model(langs)
     size = sum(table.count() for table in tables)
     if size > (HELD_RUNS if held_runs is None else held_runs):
         model.tables = tables
         return model
+    model.unseen = {lang: float(np.log(weight / (kinds + 1))) for lang, weight, kinds in edges}
+    model.logs = {lang: {} for lang in langs}
+    model.weights = {lang: {} for lang in langs}
     for length, table in enumerate(tables, 1):
         cols = _symbol_columns(table)
-        rows = table.select("lang", *cols, "p", "weight", "kinds").toPandas()
-        for lang in langs:
-            mine = rows[rows["lang"] == lang]
-            symbols_ = [mine[c].to_numpy().astype(np.uint32) for c in cols]
-            model.logs.setdefault(lang, {})[length] = _sorted(symbols_, mine["p"])
-            if length > 1:
-                once = ~mine.duplicated(cols[:-1]).to_numpy()
-                model.weights.setdefault(lang, {})[length] = _sorted(
-                    [s[once] for s in symbols_[:-1]], mine["weight"][once]
-                )
-            else:
-                first = mine.iloc[0]
-                model.unseen[lang] = float(np.log(first["weight"] / (first["kinds"] + 1)))
+        for lang, found in _gathered(table.select("lang", *cols, "p")).items():
+            model.logs[lang][length] = found
+        if length > 1:
+            contexts = table.groupBy("lang", *cols[:-1]).agg(F.max("weight").alias("weight"))
+            for lang, found in _gathered(contexts).items():
+                model.weights[lang][length] = found
     return model
 
 
@@ -236,10 +233,37 @@ def _symbol_columns(table: DataFrame) -> list[str]:
     return [c for c in table.columns if c[0] == "c" and c[1:].isdigit()]
 
 
-def _sorted(columns: list[np.ndarray], values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
-    keys = run_hash(columns)
-    order = np.argsort(keys)
-    return keys[order], np.log(values.to_numpy())[order]
+def _packed(table: DataFrame) -> DataFrame:
+    """(lang, keys, logs) of a table of lang, symbols and a value: the runs' hashes and the
+    values' logarithms as bytes, in one row per batch and language."""
+
+    def pack(batches):
+        for batch in batches:
+            langs = np.array(batch.column(0).to_pylist(), object)
+            symbols_ = [c.to_numpy().astype(np.uint32) for c in batch.columns[1:-1]]
+            keys, logs = run_hash(symbols_), np.log(batch.column(batch.num_columns - 1).to_numpy())
+            found = sorted(set(langs))
+            columns = [[x[langs == lang].tobytes() for lang in found] for x in (keys, logs)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found, pa.string()), *[pa.array(c, pa.binary()) for c in columns]],
+                ["lang", "keys", "logs"],
+            )
+
+    return table.mapInArrow(pack, "lang string, keys binary, logs binary")
+
+
+def _gathered(table: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """Per language the sorted hashes and the logarithms of ``_packed``. The driver gets
+    these 16 bytes a run and no rows of runs."""
+    parts: dict[str, list] = {}
+    for lang, keys, logs in _packed(table).collect():
+        parts.setdefault(lang, []).append((keys, logs))
+    out = {}
+    for lang in list(parts):
+        keys, logs = (b"".join(x) for x in zip(*parts.pop(lang)))
+        order = np.argsort(np.frombuffer(keys, np.uint64))
+        out[lang] = np.frombuffer(keys, np.uint64)[order], np.frombuffer(logs, np.float64)[order]
+    return out
 
 
 def cross_entropies(docs: DataFrame, model: Model, carry: list[str]) -> DataFrame:

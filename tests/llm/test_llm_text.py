@@ -275,6 +275,35 @@ def test_a_model_beyond_the_arrays_scores_alike(spark, sf):
     assert np.allclose(np.stack(one["ce"][both]), np.stack(two["ce"][both]), rtol=1e-9)
 
 
+def test_the_driver_gets_no_rows_of_runs(spark, sf, monkeypatch):
+    docs = table(spark, sf, "documents")
+    rows, gather = [], type(docs).collect
+
+    def collect(df):
+        found = gather(df)
+        rows.append(len(found))
+        return found
+
+    monkeypatch.setattr(type(docs), "collect", collect)
+    model = langid.train(docs)
+    runs = sum(len(keys) for tables in model.logs.values() for keys, _ in tables.values())
+    assert 0 < 20 * sum(rows) < runs
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, 1000)
+    try:
+        again = langid.train(docs)
+    finally:
+        spark.conf.set(size, before)
+    assert again.langs == model.langs and again.unseen == model.unseen
+    for one, two in ((model.logs, again.logs), (model.weights, again.weights)):
+        for lang in model.langs:
+            assert one[lang].keys() == two[lang].keys()
+            for length, (keys, logs) in one[lang].items():
+                assert (np.diff(keys) > 0).all()
+                assert (keys == two[lang][length][0]).all() and (logs == two[lang][length][1]).all()
+
+
 def test_held_out_accuracy(spark, sf):
     got = QUERIES["op6_language_id"](spark, sf).toPandas()
     docs = table(spark, sf, "documents").toPandas()
