@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+BATCH_BYTES = 4 << 20
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +40,14 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on, what this session hands to Python goes in batches of about BATCH_BYTES, or
+    a row. Spark's own limit is 64 MB, which the executor's JVM holds beside its heap and every
+    worker once more. A limit that the session has been given stays."""
+    if spark.conf.get(_BATCH, None) is None:
+        spark.conf.set(_BATCH, str(BATCH_BYTES))
+
+
 def same(df: DataFrame, other: DataFrame, on: list[str]) -> Column:
     cond = F.lit(True)
     for c in on:

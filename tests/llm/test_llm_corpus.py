@@ -434,6 +434,31 @@ def test_pipeline_with_odd_rows(spark, tmp_path):
     assert sorted(got["doc_id"].fillna(-1)) == [-1, -1, 3, 3]
 
 
+def test_stages_bound_the_batches(spark, tmp_path):
+    def weigh(batches):
+        yield from (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches)
+
+    rows = [(i, " ".join(words(30, i)), "en", "s", 150) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    spark.createDataFrame([(1, "x y z")], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    long = spark.range(0, 1500, 1, 1).select("id", F.repeat(F.lit("x"), 10_000).alias("text"))
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(limit, None)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            spark.conf.unset(limit)
+            stage(spark, docs, str(tmp_path))
+            found = [r["n"] for r in long.mapInArrow(weigh, "n bigint").collect()]
+            assert sum(found) >= 15_000_000 and max(found) <= 5 << 20
+        spark.conf.set(limit, "100000")
+        corpus_pipeline.packing_stage(spark, docs, str(tmp_path))
+        assert spark.conf.get(limit) == "100000"
+    finally:
+        spark.conf.unset(limit)
+        if before is not None:
+            spark.conf.set(limit, before)
+
+
 def test_a_pair_has_one_first_key():
     r = np.random.default_rng(2)
     for _ in range(300):
